@@ -7,9 +7,8 @@ from pyspark.sql import Column, functions as F
 
 # The characters Python counts as white space, which Java's and RE2's \s do not cover.
 WHITESPACE = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0 "
-    "           "
-    "    　")
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 # The same set as a negated class both Java and RE2 read.
 NON_SPACE = (
     r"[^\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"

@@ -49,7 +49,8 @@ def dedup_external(df: DataFrame, key="external_id") -> DataFrame:
     order = Window.partitionBy(key).orderBy(
         F.col("interaction_timestamp").asc_nulls_last(),
         F.md5(F.coalesce("content_text", F.lit(""))).asc(),
-        F.col("content_text").isNull().asc())
+        F.col("content_text").isNull().asc(),
+        F.col("participant_external_id").asc_nulls_last())
     return df.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1").drop("_rank")
 
 
