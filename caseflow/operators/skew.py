@@ -19,16 +19,22 @@ def frequent_keys(df: DataFrame, key, limit=FREQUENT_KEYS) -> DataFrame:
 def join_unique(left: DataFrame, right: DataFrame, key) -> DataFrame:
     """Left join to a table with one row per key, for a left side with very frequent keys.
 
-    The frequent keys (a list of fixed length) and their right rows are broadcast, so their left rows
+    The frequent keys (a list of bounded length) and their right rows are broadcast, so their left rows
     stay where they are. The others are joined by shuffle, where no key is large any more. Rows without
-    a key cannot match and skip the join.
+    a key cannot match and stay where they are too.
     """
-    frequent = F.broadcast(frequent_keys(left, key))
-    frequent_right = F.broadcast(right.join(frequent, key, "left_semi"))
-    rest = left.filter(F.col(key).isNotNull()).join(frequent, key, "left_anti")
-    matched = left.join(frequent, key, "left_semi").join(frequent_right, key, "left").unionByName(
-        rest.join(right, key, "left"))
-    return matched.unionByName(left.filter(F.col(key).isNull()), allowMissingColumns=True)
+    frequent = frequent_keys(left, key)
+    frequent_right = right.join(F.broadcast(frequent), key, "left_semi")
+    known = frequent.withColumn("_frequent", F.lit(True)).join(
+        F.broadcast(frequent_right), key, "left")
+    in_place = (
+        left.join(F.broadcast(known), key, "left")
+        .filter(F.col("_frequent") | F.col(key).isNull()).drop("_frequent"))
+    shuffled = (
+        left.filter(F.col(key).isNotNull())
+        .join(F.broadcast(frequent), key, "left_anti")
+        .join(right, key, "left"))
+    return in_place.unionByName(shuffled)
 
 
 def semi_join(left: DataFrame, right: DataFrame, on) -> DataFrame:
