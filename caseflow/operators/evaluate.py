@@ -2,25 +2,27 @@
 
 from pyspark.sql import DataFrame, functions as F
 
+from caseflow.operators.history import PART_BITS
 from caseflow.operators.lookup import latest_profile
-from caseflow.operators.predict import _history_of_few, first_profiles, recommend, send_time, with_chat_log
+from caseflow.operators.predict import (
+    first_profiles, history_of_few, recommend, send_time, with_chat_log)
 from caseflow.operators.rules import DEFAULT_RULES, issue_status
 from caseflow.schemas import EVALUATION_COLUMNS
 
 
 def evaluate(
         profiles: DataFrame, interactions: DataFrame, as_of, n=1000, rules=DEFAULT_RULES,
-        **options) -> DataFrame:
+        part_bits=PART_BITS) -> DataFrame:
     """Score the first ``n`` profiles; a customer without messages keeps an empty history."""
     chosen = latest_profile(profiles).select("customer_id", "created_at")
     if n:
         chosen = first_profiles(chosen, n)
-        interactions = _history_of_few(interactions, chosen, n)
+        interactions = history_of_few(interactions, chosen, n)
     return (
         recommend(chosen, interactions, as_of, rules)
         .withColumns({"message": F.col("reasoning"), "send_time": send_time(as_of)})
         .transform(issue_status, "evaluation")
-        .transform(with_chat_log, interactions, "evaluation", **options))
+        .transform(with_chat_log, interactions, "evaluation", part_bits))
 
 
 def project_evaluation(df: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from caseflow.operators.skew import join_unique
 from caseflow.storage import durable
 
 PART_BITS = 13
+FIND = object()
 BY_TIME = ("interaction_timestamp", "external_id")
 
 
@@ -50,33 +51,55 @@ def _split(rows, part_bits):
     return placed.groupBy(*keys).agg(items).join(numbered, ["customer_id", "block"]).drop("block")
 
 
+def long_histories(df: DataFrame, key="participant_external_id", part_bits=PART_BITS):
+    """The customers whose history needs several parts, or None. Runs a job over the key column."""
+    long = (
+        df.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("customer_id"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .filter(F.col("n") > 2 ** part_bits)
+        .select("customer_id", F.lit(True).alias("is_long")))
+    return None if long.isEmpty() else durable(long)
+
+
 def history_parts(
         df: DataFrame, item, key="participant_external_id", order=BY_TIME,
-        part_bits=PART_BITS) -> DataFrame:
+        part_bits=PART_BITS, long=FIND) -> DataFrame:
     """``customer_id, part, parts, offset, items``: each history in order, in parts of bounded length.
 
-    ``item`` is the Column kept per message and ``offset`` the number of messages before the part. A
-    first narrow job counts messages per customer; only if some history is too long for one row is the
-    range shuffle planned, for those histories alone.
+    ``item`` is the Column kept per message and ``offset`` the number of messages before the part. The
+    range shuffle is planned only for the customers in ``long``, which is found out when not given.
     """
+    if long is FIND:
+        long = long_histories(df, key, part_bits)
     rows = df.filter(F.col(key).isNotNull()).select(
         F.col(key).alias("customer_id"), F.struct(*order).alias("order"), item.alias("item"))
-    long = (
-        rows.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") > 2 ** part_bits)
-        .select("customer_id", F.lit(True).alias("is_long")))
-    if long.isEmpty():
-        return _single(rows).select("customer_id", "part", "parts", "offset", "items")
-    marked = join_unique(rows, durable(long), "customer_id")
+    columns = ["customer_id", "part", "parts", "offset", "items"]
+    if long is None:
+        return _single(rows).select(columns)
+    marked = join_unique(rows, long, "customer_id")
     single = _single(marked.filter("is_long is null").drop("is_long"))
     split = _split(marked.filter("is_long").drop("is_long"), part_bits)
-    columns = ["customer_id", "part", "parts", "offset", "items"]
     return single.select(columns).unionByName(split.select(columns))
 
 
-def collect_history(df: DataFrame, part_bits=PART_BITS) -> DataFrame:
+def join_parts(customers: DataFrame, parts: DataFrame, long) -> DataFrame:
+    """Left join of unique customers to their history parts.
+
+    First parts are unique too. The further parts of a customer are many, so that side must not be
+    shuffled by customer.
+    """
+    if long is None:
+        return customers.join(parts, "customer_id", "left").fillna({"part": 0})
+    customers = durable(customers)
+    first = customers.join(parts.filter("part = 0"), "customer_id", "left").fillna({"part": 0})
+    found = customers.withColumn("_found", F.lit(True))
+    further = join_unique(parts.filter("part > 0"), found, "customer_id").filter("_found")
+    return first.unionByName(further.drop("_found"))
+
+
+def collect_history(df: DataFrame, part_bits=PART_BITS, long=FIND) -> DataFrame:
     """Each customer's messages as an ordered list of (time, id, text)."""
-    parts = history_parts(df, F.struct("content_text"), part_bits=part_bits)
+    parts = history_parts(df, F.struct("content_text"), part_bits=part_bits, long=long)
     return parts.select(
         "customer_id", "part", "offset",
         F.transform("items", lambda row: F.struct(
@@ -87,7 +110,7 @@ def collect_history(df: DataFrame, part_bits=PART_BITS) -> DataFrame:
 
 def chat_log(
         df: DataFrame, variant="prediction", key="participant_external_id", order=BY_TIME,
-        speaker=None, text="content_text", part_bits=PART_BITS) -> DataFrame:
+        speaker=None, text="content_text", part_bits=PART_BITS, long=FIND) -> DataFrame:
     """The history as lines of ``speaker: text``.
 
     ``prediction`` names the speaker and strips the whole log; ``evaluation`` calls everyone
@@ -109,11 +132,11 @@ def chat_log(
             .otherwise(joined))
     else:
         raise ValueError(f"unknown chat log variant: {variant}")
-    return history_parts(df, line, key, order, part_bits).select(
+    return history_parts(df, line, key, order, part_bits, long).select(
         "customer_id", "part", joined.alias("chat_log"))
 
 
-def render_history(df: DataFrame, part_bits=PART_BITS) -> DataFrame:
+def render_history(df: DataFrame, part_bits=PART_BITS, long=FIND) -> DataFrame:
     """The history as numbered ``Interaction i (time) by who: text`` pieces without separator."""
     item = F.concat(
         F.lit(" ("), F.coalesce(iso_utc(F.col("interaction_timestamp")), F.lit("No timestamp")),
@@ -121,5 +144,5 @@ def render_history(df: DataFrame, part_bits=PART_BITS) -> DataFrame:
         F.coalesce("content_text", F.lit("No content")))
     numbered = F.transform("items", lambda row, i: F.concat(
         F.lit("Interaction "), (F.col("offset") + i + 1).cast("string"), row["item"]))
-    return history_parts(df, item, part_bits=part_bits).select(
+    return history_parts(df, item, part_bits=part_bits, long=long).select(
         "customer_id", "part", F.array_join(numbered, "").alias("history"))

@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from caseflow.functions.instants import instant, iso_offset
 from caseflow.operators.features import activity
-from caseflow.operators.history import chat_log, render_history
+from caseflow.operators.history import (
+    PART_BITS, chat_log, join_parts, long_histories, render_history)
 from caseflow.operators.lookup import latest_profile, with_conversation, with_history
 from caseflow.operators.quality import open_only
 from caseflow.operators.rules import ACTIVITY_DEFAULTS, DEFAULT_RULES, decide, issue_status
 from caseflow.operators.skew import SMALL_KEYS, is_small, join_unique
 from caseflow.schemas import PREDICTION_COLUMNS
+from caseflow.storage import durable
 
 NO_HISTORY = "No detailed conversation history available."
 
@@ -37,7 +39,7 @@ def send_time(as_of):
     return iso_offset(instant(as_of) + F.expr("interval 1 hour"))
 
 
-def _history_of_few(interactions, customers, count):
+def history_of_few(interactions, customers, count):
     """Filter the history before aggregating it when the customers are few enough to broadcast."""
     if count > SMALL_KEYS:
         return interactions
@@ -64,7 +66,7 @@ def predict(
     profiles = latest_profile(profiles).select("customer_id", "created_at")
     if limit is not None:
         profiles = first_profiles(profiles, limit)
-        interactions = _history_of_few(interactions, profiles, limit)
+        interactions = history_of_few(interactions, profiles, limit)
     cases = with_conversation(profiles, conversations)
     if skip_resolved:
         cases = open_only(cases)
@@ -81,15 +83,18 @@ def predict(
             "customer_id", "channel", "message", "send_time", "reasoning", "issue_status", "error"))
 
 
-def with_chat_log(predictions: DataFrame, interactions: DataFrame, variant="prediction", **options):
+def with_chat_log(
+        predictions: DataFrame, interactions: DataFrame, variant="prediction",
+        part_bits=PART_BITS) -> DataFrame:
     """Predictions with their chat log. A log of several parts repeats the prediction, one row each."""
-    empty = {"part": 0, "chat_log": ""}
-    return predictions.join(
-        chat_log(interactions, variant, **options), "customer_id", "left").fillna(empty)
+    long = long_histories(interactions, part_bits=part_bits)
+    logs = chat_log(interactions, variant, part_bits=part_bits, long=long)
+    return join_parts(predictions, logs, long).fillna({"chat_log": ""})
 
 
 def build_prompt(
-        decided: DataFrame, interactions: DataFrame, template=PROMPT_TEMPLATE, **options) -> DataFrame:
+        decided: DataFrame, interactions: DataFrame, template=PROMPT_TEMPLATE,
+        part_bits=PART_BITS) -> DataFrame:
     """One enhancement request per customer, or per part of a long history.
 
     ``decided`` needs customer_id, channel and reasoning; summary and conversation_topic are optional.
@@ -110,10 +115,10 @@ def build_prompt(
         pieces.append(F.lit(literal))
         if field:
             pieces.append(values[field])
-    return (
-        decided.join(render_history(interactions, **options), "customer_id", "left")
-        .fillna({"part": 0})
-        .select("customer_id", "part", F.concat(*pieces).alias("prompt")))
+    long = long_histories(interactions, part_bits=part_bits)
+    histories = render_history(interactions, part_bits=part_bits, long=long)
+    return join_parts(decided, histories, long).select(
+        "customer_id", "part", F.concat(*pieces).alias("prompt"))
 
 
 def apply_enhancement(df: DataFrame, response) -> DataFrame:
@@ -144,15 +149,19 @@ def score_requests(
     Ids may repeat and one may dominate: each is scored once. Resolved customers are answered too.
     """
     ids = requests.select("customer_id").filter("customer_id is not null").distinct()
-    if is_small(ids):
+    few = is_small(ids)
+    if few:
         profiles = profiles.join(F.broadcast(ids), "customer_id", "left_semi")
         conversations = conversations.join(F.broadcast(ids), "customer_id", "left_semi")
-        interactions = _history_of_few(interactions, ids, SMALL_KEYS)
+        interactions = history_of_few(interactions, ids, SMALL_KEYS)
     scored = predict(
         profiles, conversations, interactions, as_of, rules=rules, responses=responses,
         skip_resolved=False).withColumn("status", F.lit("ok"))
-    return join_unique(requests, scored, "customer_id").withColumn(
-        "status", F.coalesce("status", F.lit("not_found")))
+    if few:
+        answered = requests.join(F.broadcast(scored), "customer_id", "left")
+    else:
+        answered = join_unique(requests, durable(scored), "customer_id")
+    return answered.withColumn("status", F.coalesce("status", F.lit("not_found")))
 
 
 def project_predictions(df: DataFrame) -> DataFrame:
