@@ -14,7 +14,7 @@ from caseflow.operators.normalize import normalize, parse_created_at
 from caseflow.operators.quality import PROFILES, apply_profile, since
 from caseflow.operators.rollup import batch_stats
 from caseflow.operators.skew import join_unique
-from caseflow.plans.session import now_text, utc
+from caseflow.plans.session import job_settings, now_text
 from caseflow.sources import sinks, tables
 from caseflow.sources.tweets import read_tweets
 
@@ -72,7 +72,7 @@ def ingest(
     """
     if profile not in PROFILES:
         raise ValueError(f"unknown quality profile: {profile}; expected one of {PROFILES}")
-    with utc(spark):
+    with job_settings(spark):
         as_of = as_of or now_text()
         result = IngestResult(run_id or str(uuid.uuid4()))
         tables.ensure_tables(spark, root)
@@ -86,7 +86,7 @@ def ingest(
             result.status = "completed"
         except Exception as error:  # the run log has to show every failure
             result.status, result.error = "failed", str(error)
-        end = sinks._one_row(spark, schemas.RUN, {
+        end = sinks.one_row(spark, schemas.RUN, {
             "run_id": result.run_id, "end_timestamp": now_text(), "status": result.status,
             "records_processed": result.records_processed, "error_message": result.error})
         sinks.append_rows(

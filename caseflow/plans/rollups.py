@@ -3,13 +3,13 @@
 from pyspark.sql import SparkSession
 
 from caseflow.operators.rollup import build_conversations, build_profiles
-from caseflow.plans.session import now_text, utc
+from caseflow.plans.session import job_settings, now_text
 from caseflow.sources import sinks, tables
 
 
 def build_rollups(spark: SparkSession, root, as_of=None, brand="brand") -> None:
     """One aggregation over all interactions; profiles are a projection of the stored result."""
-    with utc(spark):
+    with job_settings(spark):
         as_of = as_of or now_text()
         tables.ensure_tables(spark, root)
         sinks.write_conversations(

@@ -3,17 +3,29 @@
 from contextlib import contextmanager
 from datetime import datetime, timezone
 
+ZONE = "spark.sql.session.timeZone"
+EXCLUDED = "spark.sql.adaptive.optimizer.excludedRules"
+EMPTY_RELATION = "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation"
+
 
 @contextmanager
-def utc(spark):
-    """Run a job with the session zone set to UTC, so that months, texts and marks mean the same."""
-    name = "spark.sql.session.timeZone"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "UTC")
+def job_settings(spark):
+    """Session settings while a job runs.
+
+    The zone is UTC, so that months, texts and marks mean the same everywhere. Stages that turn out
+    empty stay in the plan, since row counts observed below them would be lost with them.
+    """
+    before = {name: spark.conf.get(name, None) for name in (ZONE, EXCLUDED)}
+    spark.conf.set(ZONE, "UTC")
+    spark.conf.set(EXCLUDED, ",".join(filter(None, [before[EXCLUDED], EMPTY_RELATION])))
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def now_text():

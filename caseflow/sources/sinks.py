@@ -10,7 +10,10 @@ from caseflow.operators.lookup import latest_run
 from caseflow.operators.predict import project_predictions
 from caseflow.sources.tables import SORT_KEYS, path_of
 
-CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
+# The writer would cut blanks at both ends of a text by default.
+CSV_OPTIONS = {
+    "header": "true", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false"}
 
 
 def _shape(df, schema, defaults=None):
@@ -72,7 +75,7 @@ def write_profiles(df: DataFrame, root) -> None:
         df, path_of(root, "customer_profiles"), schemas.PROFILE, SORT_KEYS["customer_profiles"])
 
 
-def _one_row(spark, schema, values):
+def one_row(spark, schema, values):
     """A frame of one row from text, numbers and ISO times; columns are typed by Spark, not Python."""
     columns = []
     for field in schema.fields:
@@ -91,7 +94,7 @@ def append_rows(df: DataFrame, root, name) -> None:
 def watermark_row(
         spark: SparkSession, row_id, pipeline, platform, timestamp, records, status, updated_at,
         external_id="") -> DataFrame:
-    return _one_row(spark, schemas.WATERMARK, {
+    return one_row(spark, schemas.WATERMARK, {
         "id": row_id, "pipeline_name": pipeline, "platform_type": platform,
         "last_processed_timestamp": timestamp, "last_processed_external_id": external_id,
         "records_processed": records, "last_run_status": status, "updated_at": updated_at})
@@ -118,7 +121,7 @@ def upsert_watermark(current: DataFrame, new: DataFrame) -> DataFrame:
 
 def run_start_row(
         spark: SparkSession, run_id, pipeline, run_type, target, started, config_json) -> DataFrame:
-    return _one_row(spark, schemas.RUN, {
+    return one_row(spark, schemas.RUN, {
         "run_id": run_id, "pipeline_name": pipeline, "run_type": run_type,
         "database_target": target, "start_timestamp": started,
         "end_timestamp": "1970-01-01 00:00:00", "status": "running", "records_processed": 0,
@@ -171,7 +174,7 @@ def write_version(df: DataFrame, path, version) -> None:
     df.coalesce(1).write.mode("overwrite").parquet(f"{path}/version={version}")
 
 
-def _write_csv(df, path):
+def write_csv(df: DataFrame, path) -> None:
     df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
@@ -182,8 +185,8 @@ def _in_order(df):
 
 
 def export_predictions(df: DataFrame, path) -> None:
-    _write_csv(project_predictions(_in_order(df)), path)
+    write_csv(project_predictions(_in_order(df)), path)
 
 
 def export_evaluation(df: DataFrame, path) -> None:
-    _write_csv(project_evaluation(_in_order(df)), path)
+    write_csv(project_evaluation(_in_order(df)), path)
