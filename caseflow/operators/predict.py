@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from caseflow.functions.instants import instant, iso_offset
 from caseflow.operators.features import activity
 from caseflow.operators.history import (
-    PART_BITS, chat_log, join_parts, long_histories, render_history)
+    FIND, PART_BITS, chat_log, join_parts, long_histories, render_history)
 from caseflow.operators.lookup import latest_profile, with_conversation, with_history
 from caseflow.operators.quality import open_only
 from caseflow.operators.rules import ACTIVITY_DEFAULTS, DEFAULT_RULES, decide, issue_status
@@ -85,9 +85,10 @@ def predict(
 
 def with_chat_log(
         predictions: DataFrame, interactions: DataFrame, variant="prediction",
-        part_bits=PART_BITS) -> DataFrame:
+        part_bits=PART_BITS, long=FIND) -> DataFrame:
     """Predictions with their chat log. A log of several parts repeats the prediction, one row each."""
-    long = long_histories(interactions, part_bits=part_bits)
+    if long is FIND:
+        long = long_histories(interactions, part_bits=part_bits)
     logs = chat_log(interactions, variant, part_bits=part_bits, long=long)
     return join_parts(predictions, logs, long).fillna({"chat_log": ""})
 

@@ -17,6 +17,7 @@ from caseflow.operators.skew import join_unique
 from caseflow.plans.session import job_settings, now_text
 from caseflow.sources import sinks, tables
 from caseflow.sources.tweets import read_tweets
+from caseflow.storage import durable
 
 PIPELINE = "data_ingestion"
 INSTANT_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
@@ -67,7 +68,7 @@ def ingest(
 
     Reading, normalizing, checking and writing are one plan and one write. What the commit depends on
     (row count and latest time) is read back from the written batch, so a task that ran twice cannot
-    change it. The mark moves only after the write; a load that failed in between is replaced as a
+    change it; only ``records_read``, which nothing depends on, is counted on the way. The mark moves only after the write; a load that failed in between is replaced as a
     whole by the next one.
     """
     if profile not in PROFILES:
@@ -108,7 +109,7 @@ def _load(spark, path, root, as_of, profile, allowed_lateness, platform, encodin
         stored = tables.interactions(spark, root).filter(F.col("batch_id") != batch_id)
         # Stored times are cut to milliseconds, so the window starts one earlier.
         stored = since(stored, instant(mark) - F.expr("interval 1 millisecond"), allowed_lateness)
-        rows = drop_stored(rows, stored)
+        rows = drop_stored(durable(rows), stored)
     folder = sinks.write_interactions(rows, root, batch_id, as_of, batch_size)
     result.records_read = read.get["records"]
 

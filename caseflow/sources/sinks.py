@@ -178,15 +178,21 @@ def write_csv(df: DataFrame, path) -> None:
     df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
-def _in_order(df):
-    """Files in customer order, the parts of a long chat log one after the other."""
+def _arranged(df, in_order):
+    """Rows sorted by customer within files, or over all files.
+
+    Order over all files keeps the parts of one long chat log together without holding them in one
+    task; it samples the rows first, so it is worth asking for only when there are such logs.
+    """
     order = ["customer_id", "part"] if "part" in df.columns else ["customer_id"]
-    return df.repartitionByRange(*order).sortWithinPartitions(*order)
+    if in_order:
+        df = df.repartitionByRange(*order)
+    return df.sortWithinPartitions(*order)
 
 
-def export_predictions(df: DataFrame, path) -> None:
-    write_csv(project_predictions(_in_order(df)), path)
+def export_predictions(df: DataFrame, path, in_order=True) -> None:
+    write_csv(project_predictions(_arranged(df, in_order)), path)
 
 
-def export_evaluation(df: DataFrame, path) -> None:
-    write_csv(project_evaluation(_in_order(df)), path)
+def export_evaluation(df: DataFrame, path, in_order=True) -> None:
+    write_csv(project_evaluation(_arranged(df, in_order)), path)

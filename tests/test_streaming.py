@@ -1,0 +1,87 @@
+import pytest
+
+from caseflow.plans.ingest import ingest
+from caseflow.plans.rollups import build_rollups
+from caseflow.schemas import RAW_TWEET
+from caseflow.sources import sinks, tables
+from caseflow.streaming.ingest import stream_ingest, stream_metrics
+from caseflow.streaming.scoring import score_stream
+
+AS_OF = "2024-01-16T12:00:00+00:00"
+
+
+def add(tmp_path, name, rows):
+    inbox = tmp_path / "in"
+    inbox.mkdir(exist_ok=True)
+    lines = [",".join(RAW_TWEET.names)] + [
+        f'{i},{who},True,Mon Jan {day:02d} {hour:02d}:00:00 +0000 2024,"{text}",,'
+        for i, who, day, hour, text in rows]
+    (inbox / name).write_text("\n".join(lines) + "\n")
+    return str(inbox)
+
+
+def stored(spark, root):
+    return sorted(r["external_id"] for r in tables.interactions(spark, root).collect())
+
+
+def test_files_one_by_one_equal_all_at_once(spark, tmp_path, folder):
+    state = folder + "/state"
+    root, batch_root = folder + "/stream", folder + "/batch"
+    days = {1: [(1, "a", 1, 1, "hello there"), (2, "b", 1, 2, "two\nlines")],
+            2: [(3, "a", 2, 1, "hello again"), (1, "a", 1, 1, "hello there")],
+            3: [(4, "c", 3, 1, "hi")]}
+    for day, rows in days.items():
+        inbox = add(tmp_path, f"{day}.csv", rows)
+        stream_ingest(spark, inbox, root, state, AS_OF, delay="3 days")
+    ingest(spark, inbox, batch_root, AS_OF, profile="clean")
+    assert stored(spark, root) == stored(spark, batch_root) == ["1", "2", "3", "4"]
+    texts = {r["external_id"]: r["content_text"] for r in tables.interactions(spark, root).collect()}
+    assert texts["2"] == "two\nlines"
+    query = stream_ingest(spark, inbox, root, state, AS_OF, delay="3 days")
+    assert stored(spark, root) == ["1", "2", "3", "4"] and stream_metrics(query) == 0
+
+
+def test_late_rows_are_dropped(spark, tmp_path, folder):
+    root, state = folder + "/t", folder + "/s"
+    add(tmp_path, "1.csv", [(1, "a", 10, 1, "hello there")])
+    inbox = add(tmp_path, "2.csv", [(2, "a", 10, 2, "next one please")])
+    stream_ingest(spark, inbox, root, state, AS_OF, delay="1 hour", max_files_per_trigger=1)
+    add(tmp_path, "3.csv", [(3, "a", 9, 1, "a day late"), (4, "a", 10, 3, "in time")])
+    stream_ingest(spark, inbox, root, state, AS_OF, delay="1 hour", max_files_per_trigger=1)
+    assert stored(spark, root) == ["1", "2", "4"]
+
+
+def test_replayed_micro_batch_replaces_itself(spark, tmp_path, folder):
+    root = folder + "/t"
+    inbox = add(tmp_path, "1.csv", [(1, "a", 10, 1, "hello there"), (2, "a", 10, 1, "hello you")])
+    for state in ("/s1", "/s2"):  # a lost checkpoint starts at micro-batch 0 again
+        stream_ingest(spark, inbox, root, folder + state, AS_OF)
+    assert stored(spark, root) == ["1", "2"]
+
+
+@pytest.mark.parametrize("profile, texts", [
+    ("flag", {"1": "see http://x", "2": ""}), ("clean", {"1": "see "})])
+def test_profiles(spark, tmp_path, folder, profile, texts):
+    inbox = add(tmp_path, "1.csv", [(1, "a", 10, 1, "see http://x"), (2, "a", 10, 1, "")])
+    stream_ingest(spark, inbox, folder + "/t", folder + "/s", AS_OF, profile=profile)
+    assert {r["external_id"]: r["content_text"]
+            for r in tables.interactions(spark, folder + "/t").collect()} == texts
+
+
+def test_unknown_profile(spark, tmp_path, folder):
+    inbox = add(tmp_path, "1.csv", [])
+    with pytest.raises(ValueError):
+        stream_ingest(spark, inbox, folder + "/t", folder + "/s", AS_OF, profile="x")
+
+
+def test_request_stream(spark, tmp_path, folder, interactions):
+    df = interactions([(1, "a", "2024-01-01", "x")]).selectExpr("*", "'twitter' as platform_type")
+    sinks.write_interactions(df, folder, "b", AS_OF)
+    build_rollups(spark, folder, AS_OF)
+    spark.createDataFrame([("a",), ("b",), ("a",)], "customer_id string").coalesce(1).write.json(
+        folder + "/requests")
+    stream = spark.readStream.schema("customer_id string").json(folder + "/requests")
+    score_stream(spark, stream, folder, folder + "/answers", folder + "/s", AS_OF)
+    got = spark.read.parquet(folder + "/answers").collect()
+    assert sorted((r["customer_id"], r["status"]) for r in got) == [
+        ("a", "ok"), ("a", "ok"), ("b", "not_found")]
