@@ -3,9 +3,8 @@
 from pyspark.sql import DataFrame, functions as F
 
 from caseflow.operators.history import PART_BITS
-from caseflow.operators.lookup import latest_profile
 from caseflow.operators.predict import (
-    first_profiles, history_of_few, recommend, send_time, with_chat_log)
+    customers, first_profiles, history_of_few, recommend, send_time, with_chat_log)
 from caseflow.operators.rules import DEFAULT_RULES, issue_status
 from caseflow.schemas import EVALUATION_COLUMNS
 
@@ -14,7 +13,7 @@ def evaluate(
         profiles: DataFrame, interactions: DataFrame, as_of, n=1000, rules=DEFAULT_RULES,
         part_bits=PART_BITS) -> DataFrame:
     """Score the first ``n`` profiles; a customer without messages keeps an empty history."""
-    chosen = latest_profile(profiles).select("customer_id", "created_at")
+    chosen = customers(profiles)
     if n:
         chosen = first_profiles(chosen, n)
         interactions = history_of_few(interactions, chosen, n)

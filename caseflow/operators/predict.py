@@ -8,7 +8,7 @@ from caseflow.functions.instants import instant, iso_offset
 from caseflow.operators.features import activity
 from caseflow.operators.history import (
     FIND, PART_BITS, chat_log, join_parts, long_histories, render_history)
-from caseflow.operators.lookup import latest_profile, with_conversation, with_history
+from caseflow.operators.lookup import with_conversation, with_history
 from caseflow.operators.quality import open_only
 from caseflow.operators.rules import ACTIVITY_DEFAULTS, DEFAULT_RULES, decide, issue_status
 from caseflow.operators.skew import SMALL_KEYS, is_small, join_unique
@@ -30,6 +30,11 @@ _RESPONSE = T.StructType([
     T.StructField("_corrupt_record", T.StringType())])
 
 
+def customers(profiles: DataFrame) -> DataFrame:
+    """Each customer once, with the creation time of the latest profile."""
+    return profiles.groupBy("customer_id").agg(F.max("created_at").alias("created_at"))
+
+
 def first_profiles(profiles: DataFrame, limit) -> DataFrame:
     """The first customers by id. The order is total, so the choice is the same in every run."""
     return profiles.orderBy("customer_id", "created_at").limit(limit)
@@ -39,11 +44,11 @@ def send_time(as_of):
     return iso_offset(instant(as_of) + F.expr("interval 1 hour"))
 
 
-def history_of_few(interactions, customers, count):
-    """Filter the history before aggregating it when the customers are few enough to broadcast."""
+def history_of_few(interactions: DataFrame, chosen: DataFrame, count) -> DataFrame:
+    """Filter the history before aggregating it when the chosen customers are few enough to broadcast."""
     if count > SMALL_KEYS:
         return interactions
-    ids = customers.select(F.col("customer_id").alias("participant_external_id"))
+    ids = chosen.select(F.col("customer_id").alias("participant_external_id"))
     return interactions.join(F.broadcast(ids), "participant_external_id", "left_semi")
 
 
@@ -63,7 +68,7 @@ def predict(
     ``limit`` takes the first customers before anything else is read. ``responses`` (customer_id,
     response) carries enhancement answers; without one the rule reason is both message and reasoning.
     """
-    profiles = latest_profile(profiles).select("customer_id", "created_at")
+    profiles = customers(profiles)
     if limit is not None:
         profiles = first_profiles(profiles, limit)
         interactions = history_of_few(interactions, profiles, limit)

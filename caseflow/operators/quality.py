@@ -41,15 +41,14 @@ def quarantine(df: DataFrame):
 
 
 def dedup_external(df: DataFrame, key="external_id") -> DataFrame:
-    """One row per external id: the earliest, ties by text hash.
+    """One row per external id: the earliest, ties by text and participant, missing values last.
 
     The rank filter runs before the shuffle too, so copies of one id collapse inside each map task
     and a very frequent id costs no more than any other.
     """
     order = Window.partitionBy(key).orderBy(
         F.col("interaction_timestamp").asc_nulls_last(),
-        F.md5(F.coalesce("content_text", F.lit(""))).asc(),
-        F.col("content_text").isNull().asc(),
+        F.col("content_text").asc_nulls_last(),
         F.col("participant_external_id").asc_nulls_last())
     return df.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1").drop("_rank")
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from caseflow import schemas
+from caseflow.operators.conform import serialize_nested
 
 SCHEMAS = {
     "interactions": schemas.INTERACTION_TABLE,
@@ -53,8 +54,11 @@ def interactions(spark: SparkSession, root, limit=None) -> DataFrame:
     return _first(table(spark, root, "interactions"), "interactions", limit)
 
 
-def profiles(spark: SparkSession, root, limit=None, order_by=("customer_id", "created_at")):
-    return _first(table(spark, root, "customer_profiles"), "customer_profiles", limit, order_by)
+def profiles(
+        spark: SparkSession, root, limit=None, order_by=("customer_id", "created_at"), as_text=False):
+    """Profiles, with their timestamps as ISO text when asked for."""
+    df = _first(table(spark, root, "customer_profiles"), "customer_profiles", limit, order_by)
+    return serialize_nested(df) if as_text else df
 
 
 def conversations(spark: SparkSession, root) -> DataFrame:

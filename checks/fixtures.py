@@ -133,16 +133,14 @@ def requests(spark, sf_dir) -> DataFrame:
 
 
 def conversations(spark, sf_dir) -> DataFrame:
-    """Rolled-up conversations; some are resolved, some have no status, some are missing."""
-    return (
-        build_conversations(interactions(spark, sf_dir), AS_OF)
-        .filter("total_interactions <> 4")
-        .withColumn("resolution_status", F.expr(
-            "CASE total_interactions % 3 WHEN 0 THEN 'resolved' WHEN 1 THEN 'open' END")))
+    """Rolled-up conversations; some are resolved, some have no status."""
+    return build_conversations(interactions(spark, sf_dir), AS_OF).withColumn(
+        "resolution_status", F.expr(
+            "CASE total_interactions % 3 WHEN 0 THEN 'resolved' WHEN 1 THEN 'open' END"))
 
 
 def profiles(spark, sf_dir) -> DataFrame:
-    """Rolled-up profiles, and customers who never wrote."""
+    """Rolled-up profiles, and customers who never wrote and have no conversation."""
     silent = load(spark, sf_dir, "customer").select(
         F.concat(F.lit("silent-"), F.col("c_custkey").cast("string")).alias("customer_id"),
         instant(AS_OF).alias("created_at"))

@@ -1,5 +1,7 @@
 """Every operator as a registered query, and its SQL twin where SQL can express it."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from caseflow.functions import instants
@@ -44,7 +46,7 @@ FROM tweets""",
     "deduped": """
 SELECT * FROM csv_tweets QUALIFY row_number() OVER (
   PARTITION BY external_id ORDER BY interaction_timestamp ASC NULLS LAST,
-  md5(coalesce(content_text, '')), content_text IS NULL, participant_external_id NULLS LAST) = 1""",
+  content_text ASC NULLS LAST, participant_external_id ASC NULLS LAST) = 1""",
     "conv": """
 SELECT participant_external_id AS customer_id, count(*) AS n, min(interaction_timestamp) AS first_ts,
        max(interaction_timestamp) AS last_ts
@@ -54,7 +56,7 @@ SELECT customer_id, last_ts FROM conv
 UNION ALL SELECT 'silent-' || CAST(c_custkey AS VARCHAR), NULL FROM customer""",
     "status": """
 SELECT customer_id, CASE n % 3 WHEN 0 THEN 'resolved' WHEN 1 THEN 'open' END AS resolution_status
-FROM conv WHERE n <> 4""",
+FROM conv""",
     "act": f"""
 SELECT participant_external_id AS customer_id, count(*) AS n,
        coalesce((epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(max(interaction_timestamp))) / 3.6e9, 0.0)
@@ -127,7 +129,6 @@ def _with(names, select):
 
 
 def _mentions(sql, name):
-    import re
     return re.search(rf"\b(FROM|JOIN)\s+{name}\b", sql) is not None
 
 
@@ -342,7 +343,7 @@ def quarantine_rejected(spark, sf):
 
 @query("""SELECT external_id, participant_external_id, content_text, interaction_timestamp FROM tweets
 QUALIFY row_number() OVER (PARTITION BY external_id ORDER BY interaction_timestamp ASC NULLS LAST,
-md5(coalesce(content_text, '')), content_text IS NULL, participant_external_id NULLS LAST) = 1""",
+content_text ASC NULLS LAST, participant_external_id ASC NULLS LAST) = 1""",
        "tweets")
 def dedup_external(spark, sf):
     return naive(quality.dedup_external(_normalized(spark, sf)).select(
@@ -436,11 +437,12 @@ def last_watermark(spark, sf):
 
 _NEWEST = """QUALIFY row_number() OVER (PARTITION BY pipeline_name, platform_type
 ORDER BY updated_at DESC, id DESC) = 1"""
+_SWITCH = "1995-06-01"
 
 
-def _marks(spark, sf, even):
-    """The current row per key among even or among odd orders."""
-    rows = fx.watermarks(spark, sf).filter((F.col("records_processed") % 2 == 0) == even)
+def _marks(spark, sf, when):
+    """The current row per key among the marks before or since the switch."""
+    rows = fx.watermarks(spark, sf).filter(f"updated_at {when} timestamp'{_SWITCH}'")
     return lookup.latest(rows, ["pipeline_name", "platform_type"], "updated_at", "id")
 
 
@@ -448,11 +450,11 @@ def _marks(spark, sf, even):
 coalesce(o.platform_type, n.platform_type) AS platform_type, coalesce(o.id, n.id) AS id,
 coalesce(n.last_processed_timestamp, o.last_processed_timestamp) AS last_processed_timestamp,
 coalesce(n.records_processed, o.records_processed) AS records_processed
-FROM (SELECT * FROM marks WHERE records_processed % 2 = 0 {_NEWEST}) o
-FULL JOIN (SELECT * FROM marks WHERE records_processed % 2 = 1 {_NEWEST}) n
+FROM (SELECT * FROM marks WHERE updated_at < TIMESTAMP '{_SWITCH}' {_NEWEST}) o
+FULL JOIN (SELECT * FROM marks WHERE updated_at >= TIMESTAMP '{_SWITCH}' {_NEWEST}) n
 ON o.pipeline_name = n.pipeline_name AND o.platform_type = n.platform_type""", "marks")
 def upsert_watermark(spark, sf):
-    return naive(sinks.upsert_watermark(_marks(spark, sf, True), _marks(spark, sf, False)).select(
+    return naive(sinks.upsert_watermark(_marks(spark, sf, "<"), _marks(spark, sf, ">=")).select(
         "pipeline_name", "platform_type", "id", "last_processed_timestamp", "records_processed"))
 
 
@@ -465,10 +467,12 @@ def lookup_conversation(spark, sf):
         "customer_id", "created_at", "total_interactions"))
 
 
-@query("""SELECT customer_id, created_at FROM versions WHERE customer_id IN ('c1', 'c2', 'c40')
+@query("""SELECT customer_id, created_at FROM versions
+WHERE customer_id IN (SELECT 'c' || c_custkey FROM customer)
 QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY created_at DESC) = 1""", "versions")
 def lookup_profile(spark, sf):
-    return naive(lookup.profile_of(fx.versions(spark, sf), ["c1", "c2", "c40"]).select(
+    ids = fx.load(spark, sf, "customer").selectExpr("'c' || c_custkey AS id")
+    return naive(lookup.profile_of(fx.versions(spark, sf), ids).select(
         "customer_id", "created_at"))
 
 
@@ -481,6 +485,16 @@ def lookup_history(spark, sf):
         "participant_external_id", "interaction_timestamp", "external_id", "content_text"))
 
 
+@query("""SELECT customer_id, strftime(date_trunc('millisecond', last_ts), '%Y-%m-%dT%H:%M:%SZ')
+AS last_interaction_timestamp, '2024-01-16T12:00:00Z' AS created_at FROM conv""", "conv")
+def profiles_as_text(spark, sf):
+    root = fx.new_folder(spark, "tables")
+    sinks.write_profiles(rollup.build_profiles(
+        rollup.build_conversations(fx.interactions(spark, sf), AS_OF), AS_OF), root)
+    return tables.profiles(spark, root, as_text=True).select(
+        "customer_id", "last_interaction_timestamp", "created_at")
+
+
 @query("""SELECT customer_id, last_ts AS last_interaction_timestamp FROM prof
 ORDER BY customer_id LIMIT 40""", "prof")
 def profiles_limit(spark, sf):
@@ -771,11 +785,11 @@ def predict_enhanced(spark, sf):
         "customer_id", "channel", "message", "reasoning", "error")
 
 
-@query("SELECT customer_id, message, reasoning, error FROM answered WHERE response IS NOT NULL",
-       "answered")
+@query("""SELECT customer_id, message, reasoning, error FROM answered
+WHERE customer_id NOT LIKE 'silent-%'""", "answered")
 def apply_enhancement(spark, sf):
     decided = rules.decide(features.activity(fx.interactions(spark, sf), AS_OF))
-    rows = decided.join(fx.responses(spark, sf), "customer_id").filter("response IS NOT NULL")
+    rows = decided.join(fx.responses(spark, sf), "customer_id")
     return predict.apply_enhancement(rows, "response").select(
         "customer_id", "message", "reasoning", "error")
 
