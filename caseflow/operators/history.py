@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from caseflow.functions.instants import iso_utc
 from caseflow.functions.text import WHITESPACE, strip
-from caseflow.operators.skew import join_unique
+from caseflow.operators.skew import is_small, join_unique
 from caseflow.storage import durable
 
 PART_BITS = 13
@@ -77,7 +77,10 @@ def history_parts(
     columns = ["customer_id", "part", "parts", "offset", "items"]
     if long is None:
         return _single(rows).select(columns)
-    marked = join_unique(rows, long, "customer_id")
+    if is_small(long):
+        marked = rows.join(F.broadcast(long), "customer_id", "left")
+    else:
+        marked = join_unique(rows, long, "customer_id")
     single = _single(marked.filter("is_long is null").drop("is_long"))
     split = _split(marked.filter("is_long").drop("is_long"), part_bits)
     return single.select(columns).unionByName(split.select(columns))

@@ -30,57 +30,60 @@ def _read_split(spark, path):
     """Records of CSV files that are read in pieces.
 
     A line starts a record when the number of quotes before it in its file is even. Quotes are counted
-    per piece first, so each piece knows how it starts; the lines of a piece are then numbered on
-    their own, and only the record that crosses into the next piece is put together afterwards.
+    per piece first, so each piece knows how it starts. Most records are one line between two starts;
+    only the others, and those that cross into the next piece, are put together from their lines.
     """
     lines = spark.read.option("lineSep", "\n").text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("piece"),
         F.monotonically_increasing_id().alias("line"),
         F.col("value"),
-        (F.length("value") - F.length(F.replace("value", F.lit('"')))).alias("quotes"))
+        (F.size(F.split("value", F.lit('"'))) - 1).alias("quotes"))
 
+    earlier = Window.unboundedPreceding
     by_piece = Window.partitionBy("file").orderBy("piece")
     pieces = (
         lines.groupBy("file", "piece").agg(F.sum("quotes").alias("n"))
         .select("file", "piece", F.coalesce(
-            F.sum("n").over(by_piece.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-            .alias("quotes_before")))
+            F.sum("n").over(by_piece.rowsBetween(earlier, -1)), F.lit(0)).alias("quotes_before")))
 
     in_piece = Window.partitionBy("file", "piece").orderBy("line")
     quotes_before = F.col("quotes_before") + F.coalesce(
-        F.sum("quotes").over(in_piece.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = (F.pmod(quotes_before, F.lit(2)) == 0).cast("int")
-    fragments = (
+        F.sum("quotes").over(in_piece.rowsBetween(earlier, -1)), F.lit(0))
+    placed = (
         lines.join(pieces, ["file", "piece"])
-        .withColumn("starts", starts)
-        .withColumn("record", F.sum("starts").over(
-            in_piece.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        .groupBy("file", "piece", "record")
-        .agg(F.array_join(F.transform(
-            F.sort_array(F.collect_list(F.struct("line", "value"))), lambda row: row["value"]), "\n")
-            .alias("text"))
-        .withColumn("last", F.max("record").over(Window.partitionBy("file", "piece"))))
+        .withColumn("starts", (F.pmod(quotes_before, F.lit(2)) == 0).cast("int"))
+        .withColumn("record", F.sum("starts").over(in_piece.rowsBetween(earlier, 0)))
+        .withColumn("next_starts", F.lead("starts", 1, 0).over(in_piece)))
+    is_line = (F.col("starts") == 1) & (F.col("next_starts") == 1)
+    whole = placed.filter(is_line).select("piece", "record", F.col("value").alias("text"))
+
+    def joined(columns):
+        pieces_in_order = F.sort_array(F.collect_list(F.struct(*columns)))
+        return F.array_join(F.transform(pieces_in_order, lambda row: row[columns[-1]]), "\n")
 
+    fragments = (
+        placed.filter(~is_line).groupBy("file", "piece", "record")
+        .agg(joined(["line", "value"]).alias("text"))
+        .withColumn("last", F.max("record").over(Window.partitionBy("file", "piece"))))
+    inner = fragments.filter("record > 0 and record < last").select("piece", "record", "text")
     # Record 0 of a piece continues the last record of the piece before, which may itself be a
     # continuation; two rows per piece decide it.
-    inner = fragments.filter("record > 0 and record < last").select("file", "piece", "record", "text")
     in_file = Window.partitionBy("file").orderBy("piece", "record")
-    joined = (
+    crossing = (
         fragments.filter("record = 0 or record = last")
         .withColumn("owner", F.sum((F.col("record") > 0).cast("int")).over(in_file))
         .groupBy("file", "owner")
         .agg(
             F.min(F.struct("piece", "record")).alias("at"),
-            F.array_join(F.transform(
-                F.sort_array(F.collect_list(F.struct("piece", "record", "text"))),
-                lambda row: row["text"]), "\n").alias("text"))
-        .select("file", "at.piece", "at.record", "text"))
+            joined(["piece", "record", "text"]).alias("text"))
+        .select("at.piece", "at.record", "text"))
 
     is_header = (F.col("piece") == 0) & (F.col("record") == 1)
     record = F.from_csv(
         F.regexp_replace("text", r"\r\z", ""), RAW_TWEET.simpleString()[7:-1].replace(":", " "),
         {name: value for name, value in CSV_OPTIONS.items() if name in ("quote", "escape")})
     return (
-        inner.unionByName(joined).filter(~is_header & (F.col("text") != ""))
+        whole.unionByName(inner).unionByName(crossing)
+        .filter(~is_header & (F.col("text") != ""))
         .select(record.alias("tweet")).select("tweet.*"))

@@ -25,8 +25,9 @@ def expected_log(rows, who):
     return "\n".join(f"{who}: {text or ''}" for _, _, text in mine).strip()
 
 
-@pytest.mark.parametrize("bits", [2, 4, 13])
-def test_parts_hold_everything_in_order(skewed, bits):
+@pytest.mark.parametrize("bits, few", [(2, True), (2, False), (4, True), (13, True)])
+def test_parts_hold_everything_in_order(skewed, monkeypatch, bits, few):
+    monkeypatch.setattr(history, "is_small", lambda keys: few)
     rows, df = skewed
     parts = history.chat_log(df, part_bits=bits).orderBy("customer_id", "part").collect()
     joined = {}

@@ -41,6 +41,15 @@ def test_files_one_by_one_equal_all_at_once(spark, tmp_path, folder):
     assert stored(spark, root) == ["1", "2", "3", "4"] and stream_metrics(query) == 0
 
 
+def test_split_copies(spark, tmp_path, folder):
+    for name in "abcd":
+        inbox = add(tmp_path, f"{name}.csv", [(1, "a", 1, 1, "hello there")] * 20 + [(name, "a", 1, 1, "own")])
+    stream_ingest(spark, inbox, folder + "/t", folder + "/s", AS_OF, split_copies=True)
+    add(tmp_path, "e.csv", [(1, "a", 1, 1, "hello there"), ("a", "a", 1, 1, "own"), ("e", "a", 1, 2, "x")])
+    stream_ingest(spark, inbox, folder + "/t", folder + "/s", AS_OF, split_copies=True)
+    assert stored(spark, folder + "/t") == ["1", "a", "b", "c", "d", "e"]
+
+
 def test_late_rows_are_dropped(spark, tmp_path, folder):
     root, state = folder + "/t", folder + "/s"
     add(tmp_path, "1.csv", [(1, "a", 10, 1, "hello there")])
