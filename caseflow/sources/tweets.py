@@ -2,7 +2,9 @@
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from caseflow.operators.skew import is_small
 from caseflow.schemas import RAW_TWEET
+from caseflow.storage import durable
 
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
 
@@ -29,61 +31,59 @@ def scan_csv(spark: SparkSession, path) -> DataFrame:
 def _read_split(spark, path):
     """Records of CSV files that are read in pieces.
 
-    A line starts a record when the number of quotes before it in its file is even. Quotes are counted
-    per piece first, so each piece knows how it starts. Most records are one line between two starts;
-    only the others, and those that cross into the next piece, are put together from their lines.
+    A line is inside a text when the number of quotes before it in its file is odd. Quotes are counted
+    per piece first, so each piece knows how it starts. Most records are one line that is outside and
+    has an even number of quotes; only the lines of the others are put together, within their piece
+    and, for the few that cross, over pieces.
     """
+    earlier = Window.unboundedPreceding
     lines = spark.read.option("lineSep", "\n").text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("piece"),
         F.monotonically_increasing_id().alias("line"),
         F.col("value"),
         (F.size(F.split("value", F.lit('"'))) - 1).alias("quotes"))
-
-    earlier = Window.unboundedPreceding
-    by_piece = Window.partitionBy("file").orderBy("piece")
-    pieces = (
+    by_piece = Window.partitionBy("file").orderBy("piece").rowsBetween(earlier, -1)
+    pieces = durable(
         lines.groupBy("file", "piece").agg(F.sum("quotes").alias("n"))
-        .select("file", "piece", F.coalesce(
-            F.sum("n").over(by_piece.rowsBetween(earlier, -1)), F.lit(0)).alias("quotes_before")))
+        .select("file", "piece", F.coalesce(F.sum("n").over(by_piece), F.lit(0)).alias("so_far")))
+    if is_small(pieces):
+        pieces = F.broadcast(pieces)
 
     in_piece = Window.partitionBy("file", "piece").orderBy("line")
-    quotes_before = F.col("quotes_before") + F.coalesce(
+    before = F.col("so_far") + F.coalesce(
         F.sum("quotes").over(in_piece.rowsBetween(earlier, -1)), F.lit(0))
-    placed = (
-        lines.join(pieces, ["file", "piece"])
-        .withColumn("starts", (F.pmod(quotes_before, F.lit(2)) == 0).cast("int"))
-        .withColumn("record", F.sum("starts").over(in_piece.rowsBetween(earlier, 0)))
-        .withColumn("next_starts", F.lead("starts", 1, 0).over(in_piece)))
-    is_line = (F.col("starts") == 1) & (F.col("next_starts") == 1)
-    whole = placed.filter(is_line).select("piece", "record", F.col("value").alias("text"))
+    placed = lines.join(pieces, ["file", "piece"]).select(
+        "file", "piece", "line", "value", (before % 2 == 1).alias("inside"),
+        (F.col("quotes") % 2 == 1).alias("turns"),
+        ((F.col("piece") == 0) & F.lag("line").over(in_piece).isNull()).alias("header"))
+    whole = placed.filter("not inside and not turns").select(F.col("value").alias("text"), "header")
 
     def joined(columns):
-        pieces_in_order = F.sort_array(F.collect_list(F.struct(*columns)))
-        return F.array_join(F.transform(pieces_in_order, lambda row: row[columns[-1]]), "\n")
+        in_order = F.sort_array(F.collect_list(F.struct(*columns)))
+        return F.array_join(F.transform(in_order, lambda row: row[columns[-1]]), "\n")
 
+    opens = (F.col("turns") & ~F.col("inside")).cast("int")
     fragments = (
-        placed.filter(~is_line).groupBy("file", "piece", "record")
-        .agg(joined(["line", "value"]).alias("text"))
-        .withColumn("last", F.max("record").over(Window.partitionBy("file", "piece"))))
-    inner = fragments.filter("record > 0 and record < last").select("piece", "record", "text")
-    # Record 0 of a piece continues the last record of the piece before, which may itself be a
-    # continuation; two rows per piece decide it.
-    in_file = Window.partitionBy("file").orderBy("piece", "record")
+        placed.filter("inside or turns")
+        .withColumn("record", F.sum(opens).over(in_piece.rowsBetween(earlier, 0)))
+        .groupBy("file", "piece", "record")
+        .agg(
+            F.bool_or("header").alias("header"),
+            F.bool_or(F.col("inside") & F.col("turns")).alias("closed"),
+            joined(["line", "value"]).alias("text")))
+    inner = fragments.filter("record > 0 and closed").select("text", "header")
+    # Record 0 of a piece goes on with the record the pieces before left open.
+    in_file = Window.partitionBy("file").orderBy("piece", "record").rowsBetween(earlier, 0)
     crossing = (
-        fragments.filter("record = 0 or record = last")
+        fragments.filter("record = 0 or not closed")
         .withColumn("owner", F.sum((F.col("record") > 0).cast("int")).over(in_file))
         .groupBy("file", "owner")
-        .agg(
-            F.min(F.struct("piece", "record")).alias("at"),
-            joined(["piece", "record", "text"]).alias("text"))
-        .select("at.piece", "at.record", "text"))
+        .agg(joined(["piece", "record", "text"]).alias("text"), F.bool_or("header").alias("header"))
+        .select("text", "header"))
+    records = whole.unionByName(inner).unionByName(crossing)
 
-    is_header = (F.col("piece") == 0) & (F.col("record") == 1)
-    record = F.from_csv(
+    tweet = F.from_csv(
         F.regexp_replace("text", r"\r\z", ""), RAW_TWEET.simpleString()[7:-1].replace(":", " "),
         {name: value for name, value in CSV_OPTIONS.items() if name in ("quote", "escape")})
-    return (
-        whole.unionByName(inner).unionByName(crossing)
-        .filter(~is_header & (F.col("text") != ""))
-        .select(record.alias("tweet")).select("tweet.*"))
+    return records.filter("not header and text <> ''").select(tweet.alias("tweet")).select("tweet.*")
