@@ -5,7 +5,7 @@ from pyspark.sql import SparkSession, functions as F
 from caseflow.operators.normalize import normalize, parse_created_at
 from caseflow.operators.quality import (
     clean_text, drop_missing_text, flag_length, flag_required, score)
-from caseflow.plans.session import now_text
+from caseflow.plans.session import job_settings, now_text
 from caseflow.schemas import RAW_TWEET
 from caseflow.sources import sinks, tables
 from caseflow.sources.tweets import CSV_OPTIONS
@@ -48,23 +48,23 @@ def stream_ingest(
         max_files_per_trigger=None, name="stream", encoding="UTF-8", split_copies=False):
     """Load all files that are there, then stop; the next call goes on after them.
 
-    A micro-batch owns the folder of its number, so one that is replayed replaces itself. The caller's
-    session zone should be UTC, since a running query cannot change it.
+    A micro-batch owns the folder of its number, so one that is replayed replaces itself.
     """
     as_of = as_of or now_text()
-    tables.ensure_tables(spark, root)
 
     def store(batch, number):
         sinks.write_interactions(batch, root, f"{name}-{number:010d}", as_of)
 
-    raw = tweet_stream(spark, in_dir, encoding, max_files_per_trigger)
-    query = (
-        stream_rows(raw, as_of, profile, delay, split_copies=split_copies).writeStream
-        .foreachBatch(store)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start())
-    query.awaitTermination()
+    with job_settings(spark):
+        tables.ensure_tables(spark, root)
+        raw = tweet_stream(spark, in_dir, encoding, max_files_per_trigger)
+        query = (
+            stream_rows(raw, as_of, profile, delay, split_copies=split_copies).writeStream
+            .foreachBatch(store)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start())
+        query.awaitTermination()
     return query
 
 
