@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame
 
+from caseflow.operators.limits import first_rows
 from caseflow.operators.quality import contains
 from caseflow.operators.skew import semi_join
 
@@ -10,4 +11,4 @@ __all__ = ["contains", "head", "semi_join"]
 
 def head(df: DataFrame, n, order_by) -> DataFrame:
     """The first ``n`` rows in a stated order, which should end in a unique column."""
-    return df.orderBy(*order_by).limit(n)
+    return first_rows(df, order_by, n)

@@ -8,6 +8,7 @@ from caseflow.functions.instants import instant, iso_offset
 from caseflow.operators.features import activity
 from caseflow.operators.history import (
     FIND, PART_BITS, chat_log, join_parts, long_histories, render_history)
+from caseflow.operators.limits import first_rows
 from caseflow.operators.lookup import with_conversation, with_history
 from caseflow.operators.quality import open_only
 from caseflow.operators.rules import ACTIVITY_DEFAULTS, DEFAULT_RULES, decide, issue_status
@@ -37,7 +38,7 @@ def customers(profiles: DataFrame) -> DataFrame:
 
 def first_profiles(profiles: DataFrame, limit) -> DataFrame:
     """The first customers by id. The order is total, so the choice is the same in every run."""
-    return profiles.orderBy("customer_id", "created_at").limit(limit)
+    return first_rows(profiles, ["customer_id", "created_at"], limit)
 
 
 def send_time(as_of):

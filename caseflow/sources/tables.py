@@ -9,6 +9,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from caseflow import schemas
 from caseflow.operators.conform import serialize_nested
+from caseflow.operators.limits import first_rows
 
 SCHEMAS = {
     "interactions": schemas.INTERACTION_TABLE,
@@ -47,7 +48,7 @@ def table(spark: SparkSession, root, name) -> DataFrame:
 def _first(df, name, limit, order_by=None):
     if limit is None:
         return df
-    return df.orderBy(*(order_by or SORT_KEYS[name])).limit(limit)
+    return first_rows(df, order_by or SORT_KEYS[name], limit)
 
 
 def interactions(spark: SparkSession, root, limit=None) -> DataFrame:

@@ -1,6 +1,8 @@
 import json
+from datetime import datetime, timedelta
 
 import pytest
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from caseflow.operators import evaluate, features, predict, rollup, rules
@@ -65,6 +67,48 @@ def test_activity_does_not_read_text(spark, interactions, folder):
     assert "content_text" not in plan and "external_id:" not in plan.replace("participant_external_id:", "")
 
 
+TEXTS = st.sampled_from([None, "", "ok", "NOW please", "the manager", "café \U0001f44d", "knowledge"])
+MINUTES = st.one_of(st.none(), st.integers(-600, 3000))
+MESSAGES = st.lists(st.tuples(st.sampled_from("abc"), MINUTES, TEXTS), min_size=1, max_size=20)
+
+
+def plain_outcome(messages):
+    """Features and decision of one customer, message by message."""
+    ages = [0.0 if age is None else age / 60 for age, _ in messages]
+    known = [age / 60 for age, _ in messages if age is not None]
+    last = min(known) if known else 0.0
+    words = " ".join(text or "" for _, text in messages).lower()
+    recent = sum(age <= 24 for age in ages)
+    n = len(messages)
+    channel = ("scheduling_phone_call" if n > 5 else "email_reply" if last > 24 else "twitter_dm_reply")
+    return {
+        "total_interactions": n, "hours_since_last_interaction": pytest.approx(last),
+        "avg_message_length": sum(len(text or "") for _, text in messages) / n,
+        "contains_urgent_keywords": any(w in words for w in ("urgent", "asap", "immediately", "now", "help")),
+        "has_escalation_words": "manager" in words,
+        "response_pattern": "spread_out" if known and max(known) - min(known) > 1 else "clustered",
+        "channel": channel,
+        "active": n <= 5 and last <= 24 and recent >= 3,
+    }
+
+
+@settings(max_examples=15, deadline=None)
+@given(messages=MESSAGES)
+def test_random_histories(spark, interactions, messages):
+    as_of = datetime.fromisoformat(AS_OF)
+    df = interactions([
+        (i, who, None if age is None else str(as_of - timedelta(minutes=age)), text)
+        for i, (who, age, text) in enumerate(messages)])
+    joined = features.extract_features(df, AS_OF).join(
+        rules.decide(features.activity(df, AS_OF)).drop("total_interactions"), "customer_id")
+    rows = {r["customer_id"]: r for r in joined.collect()}
+    assert set(rows) == {who for who, _, _ in messages}
+    for who, row in rows.items():
+        want = plain_outcome([(age, text) for person, age, text in messages if person == who])
+        got = row.asDict() | {"active": "very active" in row["reasoning"]}
+        assert {name: got[name] for name in want} == want
+
+
 # Message counts of a published sample run: one customer with ten messages, nine with one or two, all long
 # silent.
 SAMPLE = {"10026": 2, "10103": 2, "10221": 2, "10286": 1, "10297": 2, "10298": 1, "10304": 10,

@@ -1,7 +1,7 @@
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
-from caseflow.operators import explore, lookup, skew
+from caseflow.operators import explore, limits, lookup, skew
 from conftest import plan_of
 
 KEYS = st.lists(st.one_of(st.none(), st.sampled_from("abcdefgh")), max_size=40)
@@ -97,6 +97,15 @@ def test_profile_lookup_by_list_is_pushed_down(spark, folder):
     assert "In(customer_id" in plan_of(found)
 
 
+@pytest.mark.parametrize("n", [1, 49, 50, 51, 499, 500, 900])
+def test_first_rows_without_one_task(spark, monkeypatch, n):
+    """Half of the rows share one sort key and the rest of the order decides."""
+    df = spark.range(500).selectExpr("if(id % 2 = 0, 7, id % 11) as k", "(id * 37) % 500 as u")
+    want = [tuple(r) for r in df.orderBy("k", "u").limit(n).collect()]
+    monkeypatch.setattr(limits, "SMALL_KEYS", 0)
+    assert sorted(map(tuple, limits.first_rows(df, ["k", "u"], n).collect())) == want
+
+
 def test_hot_broadcast_is_bounded(spark):
     assert skew.frequent_keys(spark.range(5000).withColumnRenamed("id", "k"), "k").count() == 1000
     counted = spark.range(30).selectExpr("if(id < 20, 7, id) as k")
