@@ -69,7 +69,7 @@ def main():
     for name in QUERIES:
         seconds[name], _ = timed(lambda: run_query(spark, name))
 
-    csv, root = registry._csv(spark, SF_DIR), fx.new_folder(spark, "tables")
+    csv, root = registry.csv_folder(spark, SF_DIR), fx.new_folder(spark, "tables")
     for profile in ("clean", "flag"):
         target = root if profile == "flag" else fx.new_folder(spark, "tables")
         seconds[f"ingest_{profile}"], result = timed(

@@ -12,18 +12,22 @@ def shared_dir(spark: SparkSession) -> str:
     a machine-local folder cannot be read by the rest of the cluster.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return folder or _checkpoint_dir(spark)
+
+
+def _checkpoint_dir(spark):
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            if not context.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+            folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+        context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
 
 
 def durable(df: DataFrame) -> DataFrame:
     """Store the rows once in the shared folder and go on from there."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
+    _checkpoint_dir(df.sparkSession)
     return df.checkpoint()

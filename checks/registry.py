@@ -150,7 +150,7 @@ def _normalized(spark, sf):
     return normalize.normalize(_parsed(spark, sf), AS_OF, extra=("interaction_type",))
 
 
-def _csv(spark, sf):
+def csv_folder(spark, sf):
     """The raw tweets as CSV files."""
     folder = fx.new_folder(spark, "tweets")
     sinks.write_csv(fx.raw_tweets(spark, sf), folder)
@@ -165,12 +165,12 @@ response_tweet_id, in_response_to_tweet_id"""
 
 @query(f"SELECT {_RAW_COLUMNS} FROM raw", "raw")
 def read_tweets_csv(spark, sf):
-    return read_tweets(spark, _csv(spark, sf))
+    return read_tweets(spark, csv_folder(spark, sf))
 
 
 @query(f"SELECT {_RAW_COLUMNS} FROM raw", "raw")
 def read_tweets_split(spark, sf):
-    return read_tweets(spark, _csv(spark, sf), split_files=True)
+    return read_tweets(spark, csv_folder(spark, sf), split_files=True)
 
 
 @query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
@@ -905,7 +905,7 @@ def write_profiles(spark, sf):
 interaction_timestamp, {_flagged(_LINE_OF_FIVE)} AS is_valid FROM csv_tweets""", "csv_tweets")
 def ingest_flag(spark, sf):
     root = fx.new_folder(spark, "tables")
-    _done(ingest(spark, _csv(spark, sf), root, AS_OF, "flag"))
+    _done(ingest(spark, csv_folder(spark, sf), root, AS_OF, "flag"))
     return naive(tables.interactions(spark, root).select(
         "external_id", "participant_external_id", "content_text", "interaction_timestamp",
         F.coalesce("is_valid", F.lit(False)).alias("is_valid")))
@@ -918,7 +918,7 @@ FROM deduped WHERE content_text IS NOT NULL"""
 @query(_CLEAN, "deduped")
 def ingest_clean(spark, sf):
     root = fx.new_folder(spark, "tables")
-    _done(ingest(spark, _csv(spark, sf), root, AS_OF, "clean"))
+    _done(ingest(spark, csv_folder(spark, sf), root, AS_OF, "clean"))
     return _ingested(spark, root)
 
 
@@ -938,7 +938,7 @@ FROM csv_tweets WHERE interaction_timestamp IS NOT NULL""", "csv_tweets")
 def ingest_twice(spark, sf):
     """A first load up to a mark, then two loads of everything: the second adds, the third does not."""
     root = fx.new_folder(spark, "tables")
-    old, both = fx.new_folder(spark, "tweets"), _csv(spark, sf)
+    old, both = fx.new_folder(spark, "tweets"), csv_folder(spark, sf)
     raw = fx.raw_tweets(spark, sf)
     sinks.write_csv(raw.filter(
         instants.parse_created_at(F.col("created_at")) <= instants.instant(MARK)), old)
@@ -1018,7 +1018,7 @@ SELECT DISTINCT external_id FROM tweets WHERE interaction_timestamp IS NOT NULL)
 def stream_ingest_once(spark, sf):
     """All files as a stream; which copy of an id stays depends on arrival, that one stays does not."""
     root, state = fx.new_folder(spark, "tables"), fx.new_folder(spark, "state")
-    stream_ingest(spark, _csv(spark, sf), root, state, AS_OF)
+    stream_ingest(spark, csv_folder(spark, sf), root, state, AS_OF)
     return tables.interactions(spark, root).groupBy("external_id").agg(
         F.count(F.lit(1)).alias("copies"))
 
