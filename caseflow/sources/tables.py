@@ -35,7 +35,9 @@ def path_of(root, name):
 def ensure_tables(spark: SparkSession, root) -> None:
     """Create the tables that do not exist yet, empty."""
     for name, schema in SCHEMAS.items():
-        writer = spark.createDataFrame([], schema).write.mode("ignore")
+        empty = spark.range(0, 0, 1, 1).select([
+            F.lit(None).cast(field.dataType).alias(field.name) for field in schema.fields])
+        writer = empty.write.mode("ignore")
         if name in PARTITIONS:
             writer = writer.partitionBy(*PARTITIONS[name])
         writer.parquet(path_of(root, name))
