@@ -1,6 +1,7 @@
 """The registered queries: each applies one operator, with production parameters, to its whole table."""
 
 from caseflow.llm.exact_dedup import exact_dedup
+from caseflow.llm.token_counts import count_tokens
 
 
 def _table(spark, sf_dir, name):
@@ -11,8 +12,13 @@ def op1_exact_dedup(spark, sf_dir):
     return exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op3_token_counts(spark, sf_dir):
+    return count_tokens(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_token_counts": op3_token_counts,
 }
 
 ORACLES = {
