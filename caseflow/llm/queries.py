@@ -1,6 +1,7 @@
 """The registered queries: each applies one operator, with production parameters, to its whole table."""
 
 from caseflow.llm.exact_dedup import exact_dedup
+from caseflow.llm.near_dedup import near_dedup
 from caseflow.llm.quality import classify
 from caseflow.llm.token_counts import count_tokens
 
@@ -21,10 +22,15 @@ def op7_quality_classifier(spark, sf_dir):
     return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op8_near_dedup(spark, sf_dir):
+    return near_dedup(_table(spark, sf_dir, "documents"), width=4)
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_token_counts": op3_token_counts,
     "op7_quality_classifier": op7_quality_classifier,
+    "op8_near_dedup": op8_near_dedup,
 }
 
 ORACLES = {
