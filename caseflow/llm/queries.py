@@ -1,8 +1,13 @@
 """The registered queries: each applies one operator, with production parameters, to its whole table."""
 
+from pyspark.sql import functions as F
+
 from caseflow.llm.exact_dedup import exact_dedup
+from caseflow.llm.mixing import mix_report
 from caseflow.llm.near_dedup import near_dedup
+from caseflow.llm.packing import pack
 from caseflow.llm.quality import classify
+from caseflow.llm.sharding import SHARDS, place
 from caseflow.llm.token_counts import count_tokens
 
 
@@ -18,6 +23,15 @@ def op3_token_counts(spark, sf_dir):
     return count_tokens(_table(spark, sf_dir, "documents"))
 
 
+def op5_packing(spark, sf_dir):
+    packed = pack(_table(spark, sf_dir, "documents"))
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+def op6_mixing(spark, sf_dir):
+    return mix_report(_table(spark, sf_dir, "documents"))
+
+
 def op7_quality_classifier(spark, sf_dir):
     return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -26,11 +40,20 @@ def op8_near_dedup(spark, sf_dir):
     return near_dedup(_table(spark, sf_dir, "documents"), width=4)
 
 
+def op9_sharding(spark, sf_dir):
+    shards = [f"shard-{i:02d}" for i in range(SHARDS)]
+    placed = place(_table(spark, sf_dir, "documents"), ["doc_id"], shards)
+    return placed.select("doc_id", "slot", "shard", F.coalesce(F.octet_length("text"), F.lit(0)).alias("n_bytes"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_token_counts": op3_token_counts,
+    "op5_packing": op5_packing,
+    "op6_mixing": op6_mixing,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_near_dedup": op8_near_dedup,
+    "op9_sharding": op9_sharding,
 }
 
 ORACLES = {
