@@ -3,12 +3,14 @@
 from pyspark.sql import functions as F
 
 from caseflow.llm.exact_dedup import exact_dedup
+from caseflow.llm.language_id import identify
 from caseflow.llm.mixing import mix_report
 from caseflow.llm.near_dedup import near_dedup
 from caseflow.llm.packing import pack
 from caseflow.llm.quality import classify
 from caseflow.llm.sharding import SHARDS, place
 from caseflow.llm.token_counts import count_tokens
+from caseflow.llm.topk import top_k
 
 
 def _table(spark, sf_dir, name):
@@ -19,6 +21,10 @@ def op1_exact_dedup(spark, sf_dir):
     return exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op2_language_id(spark, sf_dir):
+    return identify(_table(spark, sf_dir, "documents"))
+
+
 def op3_token_counts(spark, sf_dir):
     return count_tokens(_table(spark, sf_dir, "documents"))
 
@@ -46,14 +52,20 @@ def op9_sharding(spark, sf_dir):
     return placed.select("doc_id", "slot", "shard", F.coalesce(F.octet_length("text"), F.lit(0)).alias("n_bytes"))
 
 
+def op10_topk(spark, sf_dir):
+    return top_k(_table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0", k=20)
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_language_id": op2_language_id,
     "op3_token_counts": op3_token_counts,
     "op5_packing": op5_packing,
     "op6_mixing": op6_mixing,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_near_dedup": op8_near_dedup,
     "op9_sharding": op9_sharding,
+    "op10_topk": op10_topk,
 }
 
 ORACLES = {
@@ -61,4 +73,14 @@ ORACLES = {
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id IS NOT DISTINCT FROM max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+    "op10_topk": """
+WITH vectors AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM vectors q JOIN vectors c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v) WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(row_number() OVER best AS INTEGER) AS rank, vec_id, score FROM scores
+WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER best <= 20""",
 }
