@@ -8,6 +8,7 @@ from caseflow.llm.mixing import mix_report
 from caseflow.llm.near_dedup import near_dedup
 from caseflow.llm.packing import pack
 from caseflow.llm.quality import classify
+from caseflow.llm.quotation import reply_order
 from caseflow.llm.sharding import SHARDS, place
 from caseflow.llm.token_counts import count_tokens
 from caseflow.llm.topk import top_k
@@ -29,6 +30,10 @@ def op3_token_counts(spark, sf_dir):
     return count_tokens(_table(spark, sf_dir, "documents"))
 
 
+def op4_quotation_linking(spark, sf_dir):
+    return reply_order(_table(spark, sf_dir, "conversations"))
+
+
 def op5_packing(spark, sf_dir):
     packed = pack(_table(spark, sf_dir, "documents"))
     return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
@@ -60,6 +65,7 @@ QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_language_id": op2_language_id,
     "op3_token_counts": op3_token_counts,
+    "op4_quotation_linking": op4_quotation_linking,
     "op5_packing": op5_packing,
     "op6_mixing": op6_mixing,
     "op7_quality_classifier": op7_quality_classifier,
