@@ -33,17 +33,25 @@ def parse_event_text(text: Column) -> Column:
         F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss.SSSSSS")))
 
 
+def _utc_text(ts, fraction):
+    """Date and time in UTC, whatever the session zone: counted from the epoch without a zone."""
+    micros = F.unix_micros(ts)
+    seconds = F.floor(micros / F.lit(1000000)) if not fraction else micros / F.lit(1000000).cast("decimal(20,0)")
+    text = (F.expr("timestamp_ntz'1970-01-01 00:00:00'")
+            + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))).cast("string")
+    return F.replace(text, F.lit(" "), F.lit("T"))
+
+
 def iso_utc(ts: Column) -> Column:
     """ISO-8601 text to the second, ending in ``Z``."""
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    return F.concat(_utc_text(ts, False), F.lit("Z"))
 
 
 def iso_offset(ts: Column) -> Column:
-    """ISO-8601 text with its offset; the fraction is left out when it is zero."""
-    fraction = F.when(F.pmod(F.unix_micros(ts), F.lit(1000000)) == 0, F.lit("")).otherwise(
-        F.date_format(ts, ".SSSSSS"))
+    """ISO-8601 text in UTC with its offset; a fraction has six digits and is left out when it is zero."""
+    text = _utc_text(ts, True)
     return F.concat(
-        F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), fraction, F.date_format(ts, "xxx"))
+        F.when(text.contains("."), F.rpad(text, 26, "0")).otherwise(text), F.lit("+00:00"))
 
 
 def to_millis(ts: Column) -> Column:

@@ -42,7 +42,7 @@ def response_pattern(ts: Column) -> Column:
 
 
 def _by_customer(df, key):
-    return df.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("customer_id"))
+    return df.filter(F.col(key).cast("string") != "").groupBy(F.col(key).alias("customer_id"))
 
 
 def extract_features(df: DataFrame, as_of, key="participant_external_id") -> DataFrame:

@@ -55,7 +55,7 @@ def _split(rows, part_bits):
 def long_histories(df: DataFrame, key="participant_external_id", part_bits=PART_BITS):
     """The customers whose history needs several parts, or None. Runs a job over the key column."""
     long = (
-        df.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("customer_id"))
+        df.filter(F.col(key).cast("string") != "").groupBy(F.col(key).alias("customer_id"))
         .agg(F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") > 2 ** part_bits)
         .select("customer_id", F.lit(True).alias("is_long")))
@@ -72,7 +72,7 @@ def history_parts(
     """
     if long is FIND:
         long = long_histories(df, key, part_bits)
-    rows = df.filter(F.col(key).isNotNull()).select(
+    rows = df.filter(F.col(key).cast("string") != "").select(
         F.col(key).alias("customer_id"), F.struct(*order).alias("order"), item.alias("item"))
     columns = ["customer_id", "part", "parts", "offset", "items"]
     if long is None:

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from caseflow.functions import instants
+from caseflow.operators.quality import identity
 from caseflow.schemas import INTERACTION
 
 
@@ -32,7 +33,7 @@ def add_interaction_id(df: DataFrame, deterministic=True) -> DataFrame:
 
     A random id changes when a lost task is run again, so stored rows use the hash.
     """
-    key = F.md5(F.concat_ws("|", "platform_type", "external_id"))
+    key = F.md5(F.concat_ws("|", F.col("platform_type"), identity()))
     return df.withColumn("interaction_id", key if deterministic else F.expr("uuid()"))
 
 

@@ -80,7 +80,9 @@ def predict(
     if responses is None:
         answered = decided.withColumn("response", F.lit(None).cast("string"))
     else:
-        answered = decided.join(responses.select("customer_id", "response"), "customer_id", "left")
+        # One answer for each customer, however many came.
+        answers = responses.groupBy("customer_id").agg(F.min("response").alias("response"))
+        answered = decided.join(answers, "customer_id", "left")
     return (
         answered.transform(apply_enhancement, "response")
         .transform(issue_status)
@@ -134,9 +136,18 @@ def apply_enhancement(df: DataFrame, response) -> DataFrame:
     A missing answer, or one that is not a JSON object, falls back to the rule reason for both; a
     missing key is empty text. ``error`` names rows whose answer could not be used.
     """
-    parsed = F.from_json(response, _RESPONSE, {"mode": "PERMISSIVE"})
-    usable = F.col(response).isNotNull() & F.col("_parsed._corrupt_record").isNull() & (
-        F.trim(response).startswith("{"))
+    strict = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
+    parsed = F.from_json(response, _RESPONSE, strict)
+    # The reader stops at the end of the first value. What follows it breaks one of the two wrappings.
+    listed = F.from_json(F.concat(F.lit("["), response, F.lit("]")), "array<string>", strict)
+    keyed = F.from_json(
+        F.concat(F.lit('{"value":'), response, F.lit("}")),
+        "struct<value:string,_corrupt_record:string>",
+        {**strict, "columnNameOfCorruptRecord": "_corrupt_record"})
+    usable = (
+        F.col(response).isNotNull() & F.col("_parsed._corrupt_record").isNull()
+        & F.ltrim(F.col(response), F.lit(" \t\r\n")).startswith("{")
+        & F.coalesce(F.size(listed) == 1, F.lit(False)) & keyed["_corrupt_record"].isNull())
 
     def field(name):
         return F.when(usable, F.coalesce(f"_parsed.{name}", F.lit(""))).otherwise(F.col("reasoning"))

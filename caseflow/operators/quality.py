@@ -1,6 +1,6 @@
 """Quality flags, cleaning, deduplication and row filters."""
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from caseflow.functions import instants, text
 
@@ -40,13 +40,24 @@ def quarantine(df: DataFrame):
     return df.filter(valid), df.filter(~valid)
 
 
+def identity(key="external_id") -> Column:
+    """What tells two interactions apart: the external id, or the content where there is none.
+
+    Empty text is a missing value, as in the stored table, and times count to the millisecond.
+    """
+    content = F.concat_ws("|", *(F.coalesce(column, F.lit("")) for column in (
+        F.col("participant_external_id"), F.unix_millis("interaction_timestamp").cast("string"),
+        F.col("content_text"))))
+    return F.coalesce(F.nullif(F.col(key), F.lit("")), F.concat(F.lit("content:"), F.md5(content)))
+
+
 def dedup_external(df: DataFrame, key="external_id") -> DataFrame:
-    """One row per external id: the earliest, ties by text and participant, missing values last.
+    """One row per identity: the earliest, ties by text and participant, missing values last.
 
     The rank filter runs before the shuffle too, so copies of one id collapse inside each map task
     and a very frequent id costs no more than any other.
     """
-    order = Window.partitionBy(key).orderBy(
+    order = Window.partitionBy(identity(key)).orderBy(
         F.col("interaction_timestamp").asc_nulls_last(),
         F.col("content_text").asc_nulls_last(),
         F.col("participant_external_id").asc_nulls_last())

@@ -13,10 +13,10 @@ def _conform(df, schema):
 def build_conversations(df: DataFrame, as_of, brand="brand", inbound_only=False) -> DataFrame:
     """One conversation per participant from one aggregation with map-side combine.
 
-    Status, sentiment, topic and channel are fixed defaults. ``inbound_only`` keeps customer messages
+    Rows without a participant, stored as ``''``, belong to no conversation. Status, sentiment, topic and channel are fixed defaults. ``inbound_only`` keeps customer messages
     only and needs the raw ``inbound`` column.
     """
-    rows = df.filter(F.col("participant_external_id").isNotNull())
+    rows = df.filter(F.col("participant_external_id") != "")
     if inbound_only:
         rows = rows.filter(F.lower("inbound") == "true")
     return (

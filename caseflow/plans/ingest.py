@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from caseflow import schemas
 from caseflow.functions.instants import instant
-from caseflow.operators.lookup import last_watermark
+from caseflow.operators.lookup import last_watermark, latest_run
 from caseflow.operators.normalize import normalize, parse_created_at
-from caseflow.operators.quality import PROFILES, apply_profile, since
+from caseflow.operators.quality import PROFILES, apply_profile, identity, since
 from caseflow.operators.rollup import batch_stats
 from caseflow.operators.skew import join_unique
 from caseflow.plans.session import job_settings, now_text
@@ -41,22 +41,26 @@ def read_mark(spark: SparkSession, root, platform):
     return marks[0]["mark"] if marks else None
 
 
-def batch_id_for(platform, mark):
-    """A failed load starts again from the same mark, so it gets the same batch and replaces it."""
-    return hashlib.md5(f"{PIPELINE}|{platform}|{mark}".encode()).hexdigest()
+def batch_id_for(runs: DataFrame, run_id, platform, mark):
+    """A load has a batch of its own, unless an earlier load from the same mark did not complete: then it
+    takes over that batch and replaces it. A completed load never loses its batch."""
+    def said(name):
+        return F.get_json_object("config_snapshot", f"$.{name}")
 
-
-def _identity():
-    """What tells two interactions apart: the external id, or the content where there is none."""
-    return F.coalesce("external_id", F.md5(F.concat_ws(
-        "|", "participant_external_id", F.col("interaction_timestamp").cast("string"), "content_text")))
+    loads = latest_run(runs.filter(F.col("pipeline_name") == PIPELINE)).withColumn("batch", said("batch_id"))
+    completed = loads.filter("status = 'completed'").select("batch")
+    left = loads.filter(
+        (F.col("status") != "completed") & (F.col("run_id") != run_id) & F.col("batch").isNotNull()
+        & (said("platform") == platform) & said("mark").eqNullSafe(F.lit(mark)))
+    open_ = left.join(completed, "batch", "left_anti").agg(F.max("batch").alias("batch")).first()
+    return open_["batch"] or hashlib.md5(f"{PIPELINE}|{run_id}".encode()).hexdigest()
 
 
 def drop_stored(df: DataFrame, stored: DataFrame) -> DataFrame:
     """Rows that are not stored yet. Ids are made unique first and may be frequent in the new rows."""
-    known = stored.select(_identity().alias("_identity")).distinct().withColumn(
+    known = stored.select(identity().alias("_identity")).distinct().withColumn(
         "_stored", F.lit(True))
-    joined = join_unique(df.withColumn("_identity", _identity()), known, "_identity")
+    joined = join_unique(df.withColumn("_identity", identity()), known, "_identity")
     return joined.filter("_stored is null").drop("_identity", "_stored")
 
 
@@ -77,13 +81,17 @@ def ingest(
         as_of = as_of or now_text()
         result = IngestResult(run_id or str(uuid.uuid4()))
         tables.ensure_tables(spark, root)
-        config = json.dumps({"data_file": str(path), "root": str(root), "profile": profile})
+        mark = read_mark(spark, root, platform)
+        batch_id = batch_id_for(tables.runs(spark, root), result.run_id, platform, mark)
+        config = json.dumps({
+            "data_file": str(path), "root": str(root), "profile": profile, "platform": platform,
+            "mark": mark, "batch_id": batch_id})
         sinks.append_rows(sinks.run_start_row(
             spark, result.run_id, PIPELINE, run_type, "parquet", as_of, config),
             root, "pipeline_runs")
         try:
             _load(spark, path, root, as_of, profile, allowed_lateness, platform, encoding,
-                  split_files, batch_size, result)
+                  split_files, batch_size, mark, batch_id, result)
             result.status = "completed"
         except Exception as error:  # the run log has to show every failure
             result.status, result.error = "failed", str(error)
@@ -96,9 +104,7 @@ def ingest(
 
 
 def _load(spark, path, root, as_of, profile, allowed_lateness, platform, encoding, split_files,
-          batch_size, result):
-    mark = read_mark(spark, root, platform)
-    batch_id = batch_id_for(platform, mark)
+          batch_size, mark, batch_id, result):
     read = Observation()
     raw = read_tweets(spark, path, encoding, split_files).transform(parse_created_at).transform(
         since, mark, allowed_lateness)

@@ -1,5 +1,6 @@
 """Where intermediate results live that must outlast an executor."""
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,7 @@ def _checkpoint_dir(spark):
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not context.master.startswith("local"):
+            if not re.match(r"local(\[|$)", context.master):
                 raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
             folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         context.setCheckpointDir(folder)

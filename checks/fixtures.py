@@ -157,9 +157,10 @@ def responses(spark, sf_dir) -> DataFrame:
 
 
 RESPONSE = """CASE total_interactions % 6
-  WHEN 0 THEN '{"message": "Hello ' || customer_id || '", "reasoning": "said so"}'
-  WHEN 1 THEN '{"message": "only"}'
-  WHEN 2 THEN 'not json'
+  WHEN 0 THEN CASE WHEN total_interactions % 12 = 0 THEN '{"message": "x"} junk' ELSE
+    '{"message": "Hello ' || customer_id || '", "reasoning": "said so"}' END
+  WHEN 1 THEN chr(10) || chr(9) || '{"message": "only"}'
+  WHEN 2 THEN CASE WHEN total_interactions % 12 = 2 THEN '{''message'': ''x''}' ELSE 'not json' END
   WHEN 3 THEN '[1]'
   WHEN 4 THEN '{}' END"""
 

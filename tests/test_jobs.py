@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from caseflow import schemas
 from caseflow.operators.lookup import latest_run
 from caseflow.plans import ingest as ingest_module
 from caseflow.plans.ingest import ingest, read_mark
@@ -253,7 +254,46 @@ def test_long_logs_are_exported_in_order(spark, folder, interactions):
     assert "\n".join(logs) == "\n".join(f"hot: m{i:03d}" for i in range(50)) and len(logs) > 10
 
 
-def test_batch_identity():
-    same = ingest_module.batch_id_for("twitter", "2024")
-    assert same == ingest_module.batch_id_for("twitter", "2024")
-    assert same != ingest_module.batch_id_for("twitter", None)
+def test_batch_identity(spark, folder):
+    tables.ensure_tables(spark, folder)
+
+    def batch(run, mark="2024", platform="twitter"):
+        return ingest_module.batch_id_for(tables.runs(spark, folder), run, platform, mark)
+
+    def log(run, status, batch_id):
+        config = json.dumps({"platform": "twitter", "mark": "2024", "batch_id": batch_id})
+        sinks.append_rows(sinks.run_start_row(
+            spark, run, ingest_module.PIPELINE, "manual", "parquet", AS_OF, config), folder, "pipeline_runs")
+        end = sinks.one_row(spark, schemas.RUN, {
+            "run_id": run, "end_timestamp": AS_OF, "status": status, "records_processed": 0, "error_message": ""})
+        sinks.append_rows(sinks.run_ended(tables.runs(spark, folder), end, AS_OF), folder, "pipeline_runs")
+
+    assert batch("r1") == batch("r1") != batch("r2")
+    log("r1", "failed", "b1")
+    assert batch("r2") == "b1" and batch("r2", mark="2025") != "b1" and batch("r2", platform="other") != "b1"
+    log("r2", "completed", "b1")
+    assert batch("r3") not in ("b1", batch("r4"))
+
+
+def test_late_loads_keep_each_other(spark, folder, tweets):
+    ingest(spark, tweets([(1, "a", at(9), "x" * 9)]), folder, AS_OF)
+    for i in (2, 3, 4):
+        late = ingest(spark, tweets([(i, "a", at(8, i), "late one")]), folder, AS_OF, allowed_lateness="40 days")
+        assert late.status == "completed"
+    assert sorted(r["external_id"] for r in tables.interactions(spark, folder).collect()) == ["1", "2", "3", "4"]
+
+
+def test_rows_without_readable_times_keep_each_other(spark, folder, tweets):
+    for i in (1, 2):
+        ingest(spark, tweets([(i, "a", "never", "x" * 9)]), folder, AS_OF)
+    assert sorted(r["external_id"] for r in tables.interactions(spark, folder).collect()) == ["1", "2"]
+
+
+def test_rows_without_id_or_author(spark, folder, tweets):
+    rows = [("", "a", at(9), "first text"), ("", "a", at(9), "other text"), ("", "", at(9), "nobody"), (1, "b", at(9), "hello")]
+    ingest(spark, tweets(rows), folder, AS_OF)
+    ingest(spark, tweets(rows + [("", "a", at(9, 2), "new text")]), folder, AS_OF, allowed_lateness="2 days")
+    found = tables.interactions(spark, folder).collect()
+    assert len(found) == 5 and len({r["interaction_id"] for r in found}) == 5
+    build_rollups(spark, folder, AS_OF)
+    assert {r["customer_id"] for r in tables.profiles(spark, folder).collect()} == {"a", "b"}

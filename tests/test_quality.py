@@ -53,7 +53,7 @@ def test_dedup_keeps_the_earliest(spark, interactions):
         "content_text")
     kept = quality.dedup_external(df.unionByName(nulls)).collect()
     assert sorted((r["external_id"] or "", r["content_text"]) for r in kept) == [
-        ("", "early"), ("a", "early"), ("b", "only"), ("c", "x")]
+        ("", "early"), ("", "late"), ("", "no time"), ("a", "early"), ("b", "only"), ("c", "x")]
 
 
 def test_missing_text_is_null_only(interactions):
