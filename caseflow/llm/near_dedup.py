@@ -4,10 +4,12 @@ Documents become sets of word shingles, equal sets become one node, and each nod
 (coordinate, value). A pair that reaches the needed number of equal coordinates must meet in the rarest of either
 node's postings, so only that prefix is posted, and a node that shares too few values with anyone posts nothing.
 
-Within a posting list pairs are not all emitted. In the first rounds every node meets one pivot of its list; pairs
-that reach the match threshold are confirmed on the full shingle sets, and confirmed links join components. Lists
-whose nodes are in one component are skipped from then on. In the last round nodes outside the largest
-component of their list meet all nodes of other components there, so that no link between components is left out.
+Within a posting list pairs are not all emitted. Each list has a pivot, the node with the most common values, which is
+the nearest to what the list's documents are copies of. Every node meets the pivots of its lists; pairs that reach the
+match threshold are confirmed on the full shingle sets, and confirmed links join components. Nodes that met one pivot
+form a group, and two nodes that share a posting share a group. A group within one component is skipped. In the others
+the nodes outside the largest component meet all nodes of other components, block by block inside tasks, and only links
+found leave them, so that no link between components is left out.
 A pair of similarity 0.8 misses the match threshold with a probability below 1e-6.
 
 Defined cases: a null or empty text, or one without words, has an empty set and is linked with nothing;
@@ -27,7 +29,10 @@ from caseflow.llm.common import BROADCAST_IDS, hot_keys, slices, spread_join, st
 from caseflow.llm.components import components
 
 COORDINATES = 40
-PIVOT_ROUNDS = 2
+# Shingles of the rows that meet in one task: on the side of all nodes, and of those outside the largest component.
+BLOCK, STRAY_BLOCK = 200_000, 50_000
+# Columns of the matrices in which a block is counted.
+WIDE = 4096
 # Shingles whose coordinates are computed at once.
 CHUNK = 1 << 15
 
@@ -119,15 +124,17 @@ def postings(nodes: DataFrame, coordinates=COORDINATES) -> DataFrame:
 
 
 def prefix_postings(posted: DataFrame, matches) -> DataFrame:
-    """Of each node's postings the rarest that any pair with ``matches`` equal coordinates must meet in."""
+    """(token, node, score): of each node's postings the rarest that any pair with ``matches`` equal coordinates must
+    meet in; the score says how common all its values are."""
     counts = store(posted.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
     shared = spread_join(posted, counts, "token", hot_keys(counts, "token", "n"))
     of_node = Window.partitionBy("node")
     # Values that nobody shares are the rarest, so a node may leave out its ``matches`` - 1 most common shared ones.
     ranked = (
         shared.withColumn("shared", F.count(F.lit(1)).over(of_node))
+        .withColumn("score", F.sum("n").over(of_node))
         .withColumn("rank", F.row_number().over(of_node.orderBy("n", "token"))))
-    return ranked.filter(F.col("rank") <= F.col("shared") - (matches - 1)).select("token", "node")
+    return ranked.filter(F.col("rank") <= F.col("shared") - (matches - 1)).select("token", "node", "score")
 
 
 def _attach(pairs, table, key):
@@ -195,25 +202,77 @@ def _node_sets(docs, owners, width):
     return found.join(owners.select("node", "digest"), "digest").dropDuplicates(["node"]).select("node", "shingles")
 
 
-def _cross_pairs(lists, last, seed):
-    """Candidate pairs (u < v) between components: with the pivot of the list, or, in the last round, all."""
-    of_list = lists.groupBy("token").agg(
-        F.min("label").alias("least"), F.max("label").alias("most"),
-        F.min_by(F.struct("node", "label"), F.xxhash64("node", F.lit(seed))).alias("pivot"),
-        F.count(F.lit(1)).alias("n")).filter("least <> most")
-    of_list = store(of_list)
-    hot = hot_keys(of_list, "token", "n")
-    mixed = spread_join(lists, of_list.select("token", "pivot"), "token", hot)
-    if not last:
-        pairs = mixed.filter("label <> pivot.label").select("node", F.col("pivot.node").alias("other"))
-    else:
-        mixed = store(mixed.select("token", "node", "label"))
-        sizes = mixed.groupBy("token", "label").agg(F.count(F.lit(1)).alias("n"))
-        main = sizes.groupBy("token").agg(F.max_by("label", "n").alias("main"))
-        strays = spread_join(mixed, main, "token", hot).filter("label <> main").select(
-            "token", F.col("node").alias("other"), F.col("label").alias("other_label"))
-        pairs = mixed.join(strays, "token").filter("label <> other_label").select("node", "other")
-    return pairs.select(F.least("node", "other").alias("u"), F.greatest("node", "other").alias("v")).distinct()
+def _met(lists):
+    """(pivot, node): every node with the pivots of its lists, pivots themselves included."""
+    pivots = store(lists.groupBy("token").agg(
+        F.max_by("node", F.struct("score", -F.col("node"))).alias("pivot"), F.count(F.lit(1)).alias("n")))
+    hot = hot_keys(pivots, "token", "n")
+    return spread_join(lists.select("token", "node"), pivots.select("token", "pivot"), "token", hot).select(
+        "pivot", "node").distinct()
+
+
+def block_links(strays: pa.Table, others: pa.Table, percent):
+    """Links between two blocks of (node, label, shingles): one for each stray and other component."""
+    def read(table):
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("shingles")]
+        return table.column("node").to_numpy(), table.column("label").to_numpy(), sets, np.array([len(x) for x in sets])
+
+    (u, lu, a, na), (v, lv, b, nb) = read(strays), read(others)
+    every_a, every_b = np.concatenate(a), np.concatenate(b)
+    row_a, row_b = np.repeat(np.arange(len(a)), na), np.repeat(np.arange(len(b)), nb)
+    shared = np.intersect1d(every_a, every_b)
+    both = np.zeros((len(a), len(b)), np.float32)
+    for start in range(0, len(shared), WIDE):
+        some = shared[start:start + WIDE]
+
+        def columns(every, row, n):
+            at = np.minimum(np.searchsorted(some, every), len(some) - 1)
+            here = some[at] == every
+            dense = np.zeros((n, len(some)), np.float32)
+            dense[row[here], at[here]] = 1
+            return dense
+
+        both += columns(every_a, row_a, len(a)) @ columns(every_b, row_b, len(b)).T
+    linked = (100 * both >= percent * (na[:, None] + nb[None, :] - both)) & (lu[:, None] != lv[None, :])
+    i, j = np.nonzero(linked)
+    first = np.unique(np.stack([i, lv[j]]), axis=1, return_index=True)[1]
+    return u[i[first]], v[j[first]]
+
+
+def _remaining(met, labels, sets, percent):
+    """Links between the components of a group that its pivot has not joined."""
+    sized = sets.select("node", (F.octet_length("shingles") / 8).cast("long").alias("size"))
+    rows = met.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")).join(sized, "node")
+    parts = rows.groupBy("pivot", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
+    groups = store(
+        parts.groupBy("pivot").agg(
+            F.max_by("label", F.struct("n", "label")).alias("main"), F.max("n").alias("most"), F.sum("n").alias("n"),
+            F.sum("size").alias("size"), F.max_by("size", F.struct("n", "label")).alias("main_size"))
+        .filter("n > most")
+        .select("pivot", "main", "n", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"),
+                F.ceil((F.col("size") - F.col("main_size")) / STRAY_BLOCK).cast("int").alias("stray_blocks")))
+    mixed = store(spread_join(rows.drop("size"), groups, "pivot", hot_keys(groups, "pivot", "n")))
+
+    def dealt(rows, own, n, other, m):
+        return rows.select(
+            "pivot", F.pmod(F.xxhash64("node"), n).cast("int").alias(own),
+            F.explode(F.sequence(F.lit(0), F.col(m) - 1)).alias(other), "node", "label").join(sets, "node")
+
+    keys = ["pivot", "block", "stray_block"]
+    strays = dealt(mixed.filter("label <> main"), "stray_block", F.col("stray_blocks"), "block", "blocks")
+    # Other names, since both sides come from one table.
+    others = dealt(mixed, "block", F.col("blocks"), "stray_block", "stray_blocks").select(
+        *(F.col(key).alias(f"of_{key}") for key in keys),
+        *(F.col(name).alias(f"other_{name}") for name in ("node", "label", "shingles")))
+
+    def compare(strays: pa.Table, others: pa.Table) -> pa.Table:
+        others = others.select([f"other_{name}" for name in ("node", "label", "shingles")]).rename_columns(
+            ["node", "label", "shingles"])
+        u, v = block_links(strays, others, percent) if strays.num_rows and others.num_rows else ([], [])
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+    return strays.groupBy(*keys).cogroup(others.groupBy(*(f"of_{key}" for key in keys))).applyInArrow(
+        compare, "u long, v long").distinct()
 
 
 def near_dedup(docs: DataFrame, width=5, percent=80, coordinates=COORDINATES, doc_id="doc_id", text="text") -> DataFrame:
@@ -231,17 +290,13 @@ def near_dedup(docs: DataFrame, width=5, percent=80, coordinates=COORDINATES, do
     owners = nodes.join(lists.select("node").distinct(), "node", "left_semi").select("node", "doc_id", "digest")
     sets = store(_node_sets(docs, store(owners), width))
 
-    links, labels = None, None
-    for step in range(PIVOT_ROUNDS + 1):
-        labelled = lists.withColumn("label", F.col("node"))
-        if labels is not None:
-            labelled = lists.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        pairs = store(_cross_pairs(labelled, step == PIVOT_ROUNDS, step))
-        matching = store(_matching(pairs, nodes, matches))
-        found = store(_confirmed(matching, sets, percent))
-        links = found if links is None else links.unionByName(found)
-        if step < PIVOT_ROUNDS or found.count():
-            labels = store(components(links))
+    met = store(_met(lists))
+    pairs = met.filter("pivot <> node").select(F.col("pivot").alias("u"), F.col("node").alias("v"))
+    links = store(_confirmed(store(_matching(pairs, nodes, matches)), sets, percent))
+    labels = store(components(links))
+    further = store(_remaining(met, labels, sets, percent))
+    if further.count():
+        labels = store(components(links.unionByName(further)))
     named = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("n"))
     classes = store(

@@ -108,3 +108,17 @@ def test_keep_first_and_empty(spark):
 def test_components(spark, edges, want):
     got = components(spark.createDataFrame(edges, "u long, v long")).collect()
     assert {r.node: r.label for r in got} == want and len(got) == len(want)
+
+
+def test_large_group_of_edited_copies(spark):
+    # Most pairs are near 0.65; some copies are linked only to other edited copies.
+    rng = random.Random(7)
+    base = words(rng, 120)
+    rows = []
+    for i in range(350):
+        rows.append((i, " ".join(edited(rng, base, rng.randint(0, 6)))))
+    for i in range(350, 380):
+        far = edited(rng, base, 9)
+        rows += [(2 * i, " ".join(far)), (2 * i + 1, " ".join(edited(rng, far, 1)))]
+    got = near_dedup(frame(spark, rows), width=4).collect()
+    assert sorted(map(tuple, got), key=repr) == brute(rows, 4)
