@@ -1,14 +1,26 @@
-"""The load as a stream: the checkpoint takes the place of the watermark table."""
+"""The load as a stream: the checkpoint takes the place of the watermark table.
 
-from pyspark.sql import SparkSession, functions as F
+Each micro-batch is stored by the rules of the batch load. What it leaves out is stored aside with its reason, and
+one row per micro-batch counts what was read, stored and left out, so nothing disappears unseen and the way the input
+is cut into micro-batches does not decide what is stored.
+"""
 
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+
+from caseflow import schemas
+from caseflow.functions.instants import event_month, instant
 from caseflow.operators.normalize import normalize, parse_created_at
 from caseflow.operators.quality import (
-    clean_text, drop_missing_text, flag_length, flag_required, score)
+    PROFILES, clean_text, drop_missing_text, flag_length, flag_required, identity, score)
+from caseflow.operators.skew import join_unique
 from caseflow.plans.session import job_settings, now_text
 from caseflow.schemas import RAW_TWEET
 from caseflow.sources import sinks, tables
 from caseflow.sources.tweets import CSV_OPTIONS
+from caseflow.storage import durable
+
+LEFT_OUT = "left_out"
+METRICS = "stream_batches"
 
 
 def tweet_stream(spark: SparkSession, in_dir, encoding="UTF-8", max_files_per_trigger=None):
@@ -19,47 +31,113 @@ def tweet_stream(spark: SparkSession, in_dir, encoding="UTF-8", max_files_per_tr
     return reader.csv(in_dir)
 
 
-def stream_rows(
-        raw, as_of, profile="flag", delay="1 hour", platform="twitter", split_copies=False):
-    """Canonical rows, each external id once within the delay.
+def stream_rows(raw, as_of, platform="twitter"):
+    """Canonical rows of a stream; rows without a readable time or an id stay."""
+    return normalize(raw.transform(parse_created_at), as_of, platform)
+
+
+def _months(rows):
+    """The months of the rows: one value per month, read to prune the stored table."""
+    return [r["m"] for r in rows.select(event_month(F.col("interaction_timestamp")).alias("m")).distinct().collect()]
+
 
-    Rows later than the latest event time of earlier micro-batches minus ``delay`` are dropped, as are
-    rows without a readable time: a stream has no place for them. ``split_copies`` removes copies per
-    input split first, for streams in which one id makes up a large share of the rows; it doubles
-    the kept state.
+def mark_left_out(rows: DataFrame, stored: DataFrame, profile="flag", late_before=None) -> DataFrame:
+    """The rows with ``left_out``: null, or why a row is not stored.
+
+    ``late``: older than ``late_before``; ``copy``: a copy of another row of the micro-batch, of which the earliest
+    stays; ``stored``: its identity is in ``stored``; ``no_text``: the profile ``clean`` wants a text.
     """
-    rows = (
-        normalize(raw.transform(parse_created_at), as_of, platform)
-        .filter("interaction_timestamp is not null")
-        .withWatermark("interaction_timestamp", delay))
-    if split_copies:
-        rows = rows.withColumn("_split", F.spark_partition_id()).dropDuplicatesWithinWatermark(
-            ["external_id", "_split"]).drop("_split")
-    rows = rows.dropDuplicatesWithinWatermark(["external_id"])
+    known = stored.select(identity().alias("_identity")).distinct().withColumn("_stored", F.lit(True))
+    marked = join_unique(rows.withColumn("_identity", identity()), known, "_identity")
+    reason = F.when(F.col("_stored"), "stored")
+    if late_before is not None:
+        reason = F.when(F.col("interaction_timestamp") < instant(late_before), "late").otherwise(reason)
+    if profile == "clean":
+        reason = F.coalesce(reason, F.when(F.col("content_text").isNull(), "no_text"))
+    # Copies are ranked among the rows that could be stored. The first of each id is found inside each task
+    # before the shuffle; all others are told from it by their row number.
+    numbered = durable(
+        marked.withColumn("left_out", reason).drop("_stored", "_identity")
+        .withColumn("_row", F.monotonically_increasing_id()))
+    order = Window.partitionBy(identity()).orderBy(
+        F.col("interaction_timestamp").asc_nulls_last(), F.col("content_text").asc_nulls_last(),
+        F.col("participant_external_id").asc_nulls_last(), "_row")
+    first = (
+        numbered.filter("left_out is null").withColumn("_rank", F.row_number().over(order)).filter("_rank = 1")
+        .select("_row", F.lit(True).alias("_first")))
+    return numbered.join(first, "_row", "left").withColumn(
+        "left_out", F.when(F.col("left_out").isNull() & F.col("_first").isNull(), "copy").otherwise(F.col("left_out"))
+    ).drop("_row", "_first")
+
+
+def _quality(rows, profile):
     if profile == "flag":
         return rows.transform(flag_required).transform(flag_length).transform(score)
-    if profile == "clean":
-        return rows.transform(drop_missing_text).transform(clean_text)
-    raise ValueError(f"unknown quality profile: {profile}")
+    return rows.transform(drop_missing_text).transform(clean_text)
+
+
+def store_micro_batch(batch: DataFrame, number, root, as_of, profile="flag", delay=None, name="stream", platform="twitter"):
+    """Store one micro-batch of raw tweets in its own folders. A replayed one replaces itself."""
+    spark = batch.sparkSession
+    batch_id = f"{name}-{number:010d}"
+    rows = durable(stream_rows(batch, as_of, platform))
+    months = _months(rows)
+    stored = tables.interactions(spark, root).filter(F.col("batch_id") != batch_id)
+    in_months = F.col("event_month").isin([m for m in months if m is not None])
+    if None in months:
+        in_months = in_months | F.col("event_month").isNull()
+    late_before = None
+    if delay is not None:
+        # The high mark of the micro-batches before this one: one small row each.
+        late_before = stream_batches(spark, root, name).filter(F.col("number") < number).agg(
+            (F.max("max_timestamp") - F.expr(f"interval {delay}")).cast("string").alias("mark")).first()["mark"]
+    marked = durable(mark_left_out(rows, stored.filter(in_months), profile, late_before))
+    folder = sinks.write_interactions(
+        marked.filter("left_out is null").drop("left_out").transform(_quality, profile), root, batch_id, as_of)
+    marked.filter("left_out is not null").write.mode("overwrite").parquet(
+        f"{tables.path_of(root, LEFT_OUT)}/batch_id={batch_id}")
+    written = spark.read.schema(schemas.INTERACTION_STORED).parquet(folder).agg(
+        F.count(F.lit(1)).alias("stored"),
+        F.max("interaction_timestamp").cast("string").alias("max_timestamp")).first()
+    reasons = [F.count_if(F.coalesce(F.col("left_out") == why, F.lit(False))).alias(f"left_out_{why}")
+               for why in ("late", "copy", "stored", "no_text")]
+    read = marked.agg(
+        F.count(F.lit(1)).alias("records"),
+        F.count_if(F.col("interaction_timestamp").isNull()).alias("without_time"),
+        F.count_if(F.coalesce(F.col("external_id"), F.lit("")) == "").alias("without_id"), *reasons)
+    read.withColumns({
+        "stored": F.lit(written["stored"]).cast("long"),
+        "max_timestamp": F.lit(written["max_timestamp"]).cast("timestamp"),
+        "number": F.lit(number).cast("long")}).coalesce(1).write.mode("overwrite").parquet(
+        f"{tables.path_of(root, METRICS)}/stream={name}/batch={number}")
+
+
+_BATCH = (
+    "records long, without_time long, without_id long, left_out_late long, left_out_copy long, left_out_stored long, "
+    "left_out_no_text long, stored long, max_timestamp timestamp, number long, stream string, batch long")
 
 
 def stream_ingest(
-        spark: SparkSession, in_dir, root, checkpoint, as_of=None, profile="flag", delay="1 hour",
-        max_files_per_trigger=None, name="stream", encoding="UTF-8", split_copies=False):
+        spark: SparkSession, in_dir, root, checkpoint, as_of=None, profile="flag", delay=None,
+        max_files_per_trigger=None, name="stream", encoding="UTF-8"):
     """Load all files that are there, then stop; the next call goes on after them.
 
-    A micro-batch owns the folder of its number, so one that is replayed replaces itself.
+    Rows without a readable time or an id are stored like others, flagged by the profile ``flag``. Each identity is
+    stored once. With ``delay`` rows older than the latest time of earlier micro-batches minus the delay are left out.
     """
+    if profile not in PROFILES:
+        raise ValueError(f"unknown quality profile: {profile}; expected one of {PROFILES}")
     as_of = as_of or now_text()
 
     def store(batch, number):
-        sinks.write_interactions(batch, root, f"{name}-{number:010d}", as_of)
+        store_micro_batch(batch, number, root, as_of, profile, delay, name)
 
     with job_settings(spark):
         tables.ensure_tables(spark, root)
-        raw = tweet_stream(spark, in_dir, encoding, max_files_per_trigger)
+        spark.createDataFrame([], _BATCH).write.mode("append").partitionBy("stream", "batch").parquet(
+            tables.path_of(root, METRICS))
         query = (
-            stream_rows(raw, as_of, profile, delay, split_copies=split_copies).writeStream
+            tweet_stream(spark, in_dir, encoding, max_files_per_trigger).writeStream
             .foreachBatch(store)
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
@@ -68,6 +146,20 @@ def stream_ingest(
     return query
 
 
-def stream_metrics(query):
-    """Input rows over all micro-batches of a finished query."""
-    return sum(progress["numInputRows"] for progress in query.recentProgress)
+def stream_batches(spark: SparkSession, root, name="stream") -> DataFrame:
+    """One row per stored micro-batch, counted from what was written."""
+    return spark.read.schema(_BATCH).parquet(tables.path_of(root, METRICS)).filter(F.col("stream") == name)
+
+
+def stream_metrics(spark: SparkSession, root, name="stream") -> dict:
+    """The counts of all micro-batches of a stream together."""
+    counted = [c for c in stream_batches(spark, root, name).columns if c not in (
+        "max_timestamp", "number", "stream", "batch")]
+    return stream_batches(spark, root, name).agg(
+        *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counted)).first().asDict()
+
+
+def left_out(spark: SparkSession, root) -> DataFrame:
+    """The rows that micro-batches left out, with their reason and batch."""
+    fields = schemas.INTERACTION.simpleString()[7:-1].replace(":", " ")
+    return spark.read.schema(f"{fields}, left_out string, batch_id string").parquet(tables.path_of(root, LEFT_OUT))

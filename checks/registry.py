@@ -13,7 +13,7 @@ from caseflow.plans.scoring import evaluate_batch, predict_batch
 from caseflow.schemas import FEATURE_COLUMNS, INTERACTION, PREDICTION_COLUMNS
 from caseflow.sources import sinks, tables
 from caseflow.sources.tweets import read_tweets, scan_csv
-from caseflow.streaming.ingest import stream_ingest
+from caseflow.streaming.ingest import stream_batches, stream_ingest
 from caseflow.streaming.scoring import score_stream
 from checks import fixtures as fx
 from checks.fixtures import AS_OF, MARK, naive
@@ -841,6 +841,19 @@ def evaluate_all(spark, sf):
         fx.profiles(spark, sf), fx.interactions(spark, sf), AS_OF, n=None))
 
 
+@query("""SELECT count(*) AS records, count(DISTINCT external_id) AS stored,
+count(*) - count(DISTINCT external_id) AS left_out,
+count(*) FILTER (WHERE interaction_timestamp IS NULL) AS without_time FROM tweets""", "tweets")
+def stream_left_out(spark, sf):
+    """What micro-batches of a file each read, stored and left out; how they are cut does not matter."""
+    root, state = fx.new_folder(spark, "tables"), fx.new_folder(spark, "state")
+    stream_ingest(spark, csv_folder(spark, sf), root, state, AS_OF, max_files_per_trigger=1)
+    counts = stream_batches(spark, root).agg(*(
+        F.sum(c).alias(c) for c in ("records", "stored", "left_out_copy", "left_out_stored", "without_time")))
+    return counts.select(
+        "records", "stored", (F.col("left_out_copy") + F.col("left_out_stored")).alias("left_out"), "without_time")
+
+
 @query("""SELECT request_id, q.customer_id, CASE WHEN c.customer_id IS NULL THEN 'not_found' ELSE 'ok'
 END AS status FROM requests q LEFT JOIN conv c ON q.customer_id = c.customer_id""", "requests conv")
 def resolve_requests(spark, sf):
@@ -1014,7 +1027,7 @@ def evaluate_batch_export(spark, sf):
 # --- streams ----------------------------------------------------------------------------------------
 
 @query("""SELECT external_id, count(*) AS copies FROM (
-SELECT DISTINCT external_id FROM tweets WHERE interaction_timestamp IS NOT NULL) GROUP BY 1""", "tweets")
+SELECT DISTINCT external_id FROM tweets) GROUP BY 1""", "tweets")
 def stream_ingest_once(spark, sf):
     """All files as a stream; which copy of an id stays depends on arrival, that one stays does not."""
     root, state = fx.new_folder(spark, "tables"), fx.new_folder(spark, "state")
@@ -1023,6 +1036,19 @@ def stream_ingest_once(spark, sf):
         F.count(F.lit(1)).alias("copies"))
 
 
+@query("""SELECT count(*) AS records, count(DISTINCT external_id) AS stored,
+count(*) - count(DISTINCT external_id) AS left_out,
+count(*) FILTER (WHERE interaction_timestamp IS NULL) AS without_time FROM tweets""", "tweets")
+def stream_left_out(spark, sf):
+    """What micro-batches of a file each read, stored and left out; how they are cut does not matter."""
+    root, state = fx.new_folder(spark, "tables"), fx.new_folder(spark, "state")
+    stream_ingest(spark, csv_folder(spark, sf), root, state, AS_OF, max_files_per_trigger=1)
+    counts = stream_batches(spark, root).agg(*(
+        F.sum(c).alias(c) for c in ("records", "stored", "left_out_copy", "left_out_stored", "without_time")))
+    return counts.select(
+        "records", "stored", (F.col("left_out_copy") + F.col("left_out_stored")).alias("left_out"), "without_time")
+
+
 @query("""SELECT request_id, q.customer_id, CASE WHEN c.customer_id IS NULL THEN 'not_found' ELSE 'ok'
 END AS status FROM requests q LEFT JOIN conv c ON q.customer_id = c.customer_id""", "requests conv")
 def stream_scores(spark, sf):

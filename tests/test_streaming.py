@@ -4,7 +4,7 @@ from caseflow.plans.ingest import ingest
 from caseflow.plans.rollups import build_rollups
 from caseflow.schemas import RAW_TWEET
 from caseflow.sources import sinks, tables
-from caseflow.streaming.ingest import stream_ingest, stream_metrics
+from caseflow.streaming.ingest import left_out, stream_ingest, stream_metrics
 from caseflow.streaming.scoring import score_stream
 
 AS_OF = "2024-01-16T12:00:00+00:00"
@@ -37,20 +37,22 @@ def test_files_one_by_one_equal_all_at_once(spark, tmp_path, folder):
     assert stored(spark, root) == stored(spark, batch_root) == ["1", "2", "3", "4"]
     texts = {r["external_id"]: r["content_text"] for r in tables.interactions(spark, root).collect()}
     assert texts["2"] == "two\nlines"
-    query = stream_ingest(spark, inbox, root, state, AS_OF, delay="3 days")
-    assert stored(spark, root) == ["1", "2", "3", "4"] and stream_metrics(query) == 0
+    before = stream_metrics(spark, root)
+    assert (before["records"], before["stored"], before["left_out_stored"]) == (5, 4, 1)
+    stream_ingest(spark, inbox, root, state, AS_OF, delay="3 days")
+    assert stored(spark, root) == ["1", "2", "3", "4"] and stream_metrics(spark, root) == before
 
 
-def test_split_copies(spark, tmp_path, folder):
+def test_copies_in_one_micro_batch(spark, tmp_path, folder):
     for name in "abcd":
         inbox = add(tmp_path, f"{name}.csv", [(1, "a", 1, 1, "hello there")] * 20 + [(name, "a", 1, 1, "own")])
-    stream_ingest(spark, inbox, folder + "/t", folder + "/s", AS_OF, split_copies=True)
+    stream_ingest(spark, inbox, folder + "/t", folder + "/s", AS_OF)
     add(tmp_path, "e.csv", [(1, "a", 1, 1, "hello there"), ("a", "a", 1, 1, "own"), ("e", "a", 1, 2, "x")])
-    stream_ingest(spark, inbox, folder + "/t", folder + "/s", AS_OF, split_copies=True)
+    stream_ingest(spark, inbox, folder + "/t", folder + "/s", AS_OF)
     assert stored(spark, folder + "/t") == ["1", "a", "b", "c", "d", "e"]
 
 
-def test_late_rows_are_dropped(spark, tmp_path, folder):
+def test_late_rows_are_left_out_when_asked(spark, tmp_path, folder):
     root, state = folder + "/t", folder + "/s"
     add(tmp_path, "1.csv", [(1, "a", 10, 1, "hello there")])
     inbox = add(tmp_path, "2.csv", [(2, "a", 10, 2, "next one please")])
@@ -58,6 +60,23 @@ def test_late_rows_are_dropped(spark, tmp_path, folder):
     add(tmp_path, "3.csv", [(3, "a", 9, 1, "a day late"), (4, "a", 10, 3, "in time")])
     stream_ingest(spark, inbox, root, state, AS_OF, delay="1 hour", max_files_per_trigger=1)
     assert stored(spark, root) == ["1", "2", "4"]
+    assert [(r["external_id"], r["left_out"]) for r in left_out(spark, root).collect()] == [("3", "late")]
+    assert stream_metrics(spark, root)["left_out_late"] == 1
+
+
+@pytest.mark.parametrize("profile", ["flag", "clean"])
+def test_stream_stores_what_the_batch_stores(spark, tmp_path, folder, profile):
+    # Files in the wrong order of time, rows without id, author or readable time.
+    for n, day in enumerate((12, 3, 7, 1)):
+        inbox = add(tmp_path, f"{n}.csv", [(f"x{n}", "a", day, 1, f"text {n}"), ("", "a", day, 2, f"no id {n}"),
+                                           ("", "", day, 3, f"nobody {n}")])
+    (tmp_path / "in" / "9.csv").write_text(",".join(RAW_TWEET.names) + "\nt,a,True,never,no time,,\n,a,True,never,neither,,\n")
+    stream_ingest(spark, inbox, folder + "/s", folder + "/c", AS_OF, profile=profile, max_files_per_trigger=1)
+    ingest(spark, inbox, folder + "/b", AS_OF, profile=profile)
+    found = [sorted(map(repr, tables.interactions(spark, folder + end).drop("batch_id").collect())) for end in ("/s", "/b")]
+    assert found[0] == found[1] and len(found[0]) == 14
+    counts = stream_metrics(spark, folder + "/s")
+    assert (counts["records"], counts["stored"], counts["without_time"], counts["without_id"]) == (14, 14, 2, 9)
 
 
 def test_replayed_micro_batch_replaces_itself(spark, tmp_path, folder):
