@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from caseflow.operators.history import PART_BITS
 from caseflow.operators.predict import (
-    customers, first_profiles, history_of_few, recommend, send_time, with_chat_log)
+    customers, first_profiles, history_of_few, log_columns, recommend, send_time, with_chat_log)
 from caseflow.operators.rules import DEFAULT_RULES, issue_status
 from caseflow.schemas import EVALUATION_COLUMNS
 
@@ -25,4 +25,4 @@ def evaluate(
 
 
 def project_evaluation(df: DataFrame) -> DataFrame:
-    return df.select(*EVALUATION_COLUMNS)
+    return df.select(*EVALUATION_COLUMNS, *log_columns(df))

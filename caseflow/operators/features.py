@@ -58,6 +58,19 @@ def extract_features(df: DataFrame, as_of, key="participant_external_id") -> Dat
         response_pattern(ts).alias("response_pattern"))
 
 
+# The features of an empty history.
+FEATURE_DEFAULTS = {
+    "total_interactions": 0, "conversation_length": 0, "hours_since_last_interaction": 0.0,
+    "avg_message_length": 0.0, "contains_urgent_keywords": False, "has_escalation_words": False,
+    "response_pattern": "clustered"}
+
+
+def customer_features(profiles: DataFrame, df: DataFrame, as_of) -> DataFrame:
+    """The features of every customer with a profile; one without messages has those of an empty history."""
+    ids = profiles.select("customer_id").distinct()
+    return ids.join(extract_features(df, as_of), "customer_id", "left").fillna(FEATURE_DEFAULTS)
+
+
 def activity(df: DataFrame, as_of, key="participant_external_id", author=None) -> DataFrame:
     """What the rules read, per customer: message count, age of the last own message, recent count.
 

@@ -93,9 +93,9 @@ def join_parts(customers: DataFrame, parts: DataFrame, long) -> DataFrame:
     shuffled by customer.
     """
     if long is None:
-        return customers.join(parts, "customer_id", "left").fillna({"part": 0})
+        return customers.join(parts, "customer_id", "left").fillna({"part": 0, "parts": 1})
     customers = durable(customers)
-    first = customers.join(parts.filter("part = 0"), "customer_id", "left").fillna({"part": 0})
+    first = customers.join(parts.filter("part = 0"), "customer_id", "left").fillna({"part": 0, "parts": 1})
     found = customers.withColumn("_found", F.lit(True))
     further = join_unique(parts.filter("part > 0"), found, "customer_id").filter("_found")
     return first.unionByName(further.drop("_found"))
@@ -118,7 +118,8 @@ def chat_log(
     """The history as lines of ``speaker: text``.
 
     ``prediction`` names the speaker and strips the whole log; ``evaluation`` calls everyone
-    ``Customer`` and ends every line with a newline.
+    ``Customer`` and ends every line with a newline. The whole log is its parts in order, with a newline between
+    them for ``prediction`` and nothing for ``evaluation``.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     if variant == "evaluation":
@@ -137,7 +138,7 @@ def chat_log(
     else:
         raise ValueError(f"unknown chat log variant: {variant}")
     return history_parts(df, line, key, order, part_bits, long).select(
-        "customer_id", "part", joined.alias("chat_log"))
+        "customer_id", "part", "parts", joined.alias("chat_log"))
 
 
 def render_history(df: DataFrame, part_bits=PART_BITS, long=FIND) -> DataFrame:
@@ -149,4 +150,4 @@ def render_history(df: DataFrame, part_bits=PART_BITS, long=FIND) -> DataFrame:
     numbered = F.transform("items", lambda row, i: F.concat(
         F.lit("Interaction "), (F.col("offset") + i + 1).cast("string"), row["item"]))
     return history_parts(df, item, part_bits=part_bits, long=long).select(
-        "customer_id", "part", F.array_join(numbered, "").alias("history"))
+        "customer_id", "part", "parts", F.array_join(numbered, "").alias("history"))

@@ -13,7 +13,7 @@ from caseflow.operators.lookup import with_conversation, with_history
 from caseflow.operators.quality import open_only
 from caseflow.operators.rules import ACTIVITY_DEFAULTS, DEFAULT_RULES, decide, issue_status
 from caseflow.operators.skew import SMALL_KEYS, is_small, join_unique
-from caseflow.schemas import PREDICTION_COLUMNS
+from caseflow.schemas import LOG_COLUMNS, PREDICTION_COLUMNS
 from caseflow.storage import durable
 
 NO_HISTORY = "No detailed conversation history available."
@@ -94,7 +94,8 @@ def predict(
 def with_chat_log(
         predictions: DataFrame, interactions: DataFrame, variant="prediction",
         part_bits=PART_BITS, long=FIND) -> DataFrame:
-    """Predictions with their chat log. A log of several parts repeats the prediction, one row each."""
+    """Predictions with their chat log, ``part`` of ``parts``. A log of several parts repeats the prediction,
+    one row each; the row of part 0 stands for the prediction."""
     if long is FIND:
         long = long_histories(interactions, part_bits=part_bits)
     logs = chat_log(interactions, variant, part_bits=part_bits, long=long)
@@ -127,7 +128,7 @@ def build_prompt(
     long = long_histories(interactions, part_bits=part_bits)
     histories = render_history(interactions, part_bits=part_bits, long=long)
     return join_parts(decided, histories, long).select(
-        "customer_id", "part", F.concat(*pieces).alias("prompt"))
+        "customer_id", "part", "parts", F.concat(*pieces).alias("prompt"))
 
 
 def apply_enhancement(df: DataFrame, response) -> DataFrame:
@@ -182,5 +183,12 @@ def score_requests(
     return answered.withColumn("status", F.coalesce("status", F.lit("not_found")))
 
 
+def log_columns(df: DataFrame):
+    """Which part of how many the log of a row is, also for rows that have no log."""
+    return [
+        F.coalesce(F.col(name) if name in df.columns else F.lit(None), F.lit(default)).cast("long").alias(name)
+        for name, default in zip(LOG_COLUMNS, (0, 1))]
+
+
 def project_predictions(df: DataFrame) -> DataFrame:
-    return df.select(*PREDICTION_COLUMNS)
+    return df.select(*PREDICTION_COLUMNS, *log_columns(df))

@@ -49,6 +49,11 @@ PROFILE = _struct(
     preferred_channels=_S, avg_response_time=T.DecimalType(9, 2), total_conversations=_L,
     resolution_rate=T.DecimalType(9, 2), last_interaction_timestamp=_TS, created_at=_TS)
 
+FEATURES = _struct(
+    customer_id=_S, total_interactions=_L, conversation_length=_L, hours_since_last_interaction=_D,
+    avg_message_length=_D, contains_urgent_keywords=_B, has_escalation_words=_B, response_pattern=_S,
+    created_at=_TS)
+
 # The row model an interaction has to satisfy before it is stored.
 INTERACTION_MODEL = _struct(
     interaction_id=_S, external_id=_S, platform_type=_S, participant_external_id=_S,
@@ -61,6 +66,8 @@ MODEL_REQUIRED = (
 
 PREDICTION_COLUMNS = (
     "customer_id", "chat_log", "channel", "message", "send_time", "reasoning", "issue_status")
+# Exports say which part of how many a chat log is; a log of one part is part 0 of 1.
+LOG_COLUMNS = ("part", "parts")
 EVALUATION_COLUMNS = (
     "customer_id", "channel", "send_time", "message", "reasoning", "chat_log", "issue_status")
 FEATURE_COLUMNS = (

@@ -8,7 +8,7 @@ from caseflow.operators.conform import ids_to_text
 from caseflow.operators.evaluate import project_evaluation
 from caseflow.operators.lookup import latest_run
 from caseflow.operators.predict import project_predictions
-from caseflow.sources.tables import SORT_KEYS, path_of
+from caseflow.sources.tables import SCHEMAS, SORT_KEYS, current_version, ensure_versions, path_of, table
 
 # The writer would cut blanks at both ends of a text by default.
 CSV_OPTIONS = {
@@ -61,18 +61,43 @@ def write_interactions(df: DataFrame, root, batch_id, as_of, batch_size=None) ->
     return folder
 
 
-def _write_sorted(df, path, schema, keys):
-    _shape(df, schema).hint("rebalance").sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
+def publish(df: DataFrame, root, name) -> int:
+    """Replace a versioned table: write a new version, then make it the current one.
+
+    A version that failed on the way is never listed and its number is written over. Readers of the old version
+    go on with it; old versions are kept until the caller removes their folders.
+    """
+    spark = df.sparkSession
+    ensure_versions(spark, root, name)
+    version = (current_version(spark, root, name) or 0) + 1
+    _shape(df, SCHEMAS[name]).hint("rebalance").sortWithinPartitions(*SORT_KEYS[name]).write.mode(
+        "overwrite").parquet(f"{path_of(root, name)}/version={version}")
+    spark.range(version, version + 1, 1, 1).select(F.col("id").alias("version")).write.mode("append").parquet(
+        f"{path_of(root, name)}/versions")
+    return version
 
 
 def write_conversations(df: DataFrame, root) -> None:
-    _write_sorted(
-        df, path_of(root, "conversations"), schemas.CONVERSATION, SORT_KEYS["conversations"])
+    publish(df, root, "conversations")
 
 
 def write_profiles(df: DataFrame, root) -> None:
-    _write_sorted(
-        df, path_of(root, "customer_profiles"), schemas.PROFILE, SORT_KEYS["customer_profiles"])
+    publish(df, root, "customer_profiles")
+
+
+def write_features(df: DataFrame, root) -> None:
+    publish(df, root, "customer_features")
+
+
+def store_upsert(new: DataFrame, root) -> None:
+    """Upsert marks into the stored table of current marks."""
+    ensure_versions(new.sparkSession, root, "watermarks_current")
+    publish(upsert_watermark(table(new.sparkSession, root, "watermarks_current"), new), root, "watermarks_current")
+
+
+def store_run_ends(ends: DataFrame, root, as_of) -> None:
+    """Change the ended runs in the stored table of runs."""
+    publish(run_ended(table(ends.sparkSession, root, "runs_current"), ends, as_of, mode="update"), root, "runs_current")
 
 
 def one_row(spark, schema, values):
@@ -171,7 +196,7 @@ def run_ended(runs: DataFrame, ends: DataFrame, as_of, mode="append") -> DataFra
 
 def write_version(df: DataFrame, path, version) -> None:
     """Store a whole new version of a small table; the version being read stays untouched."""
-    df.coalesce(1).write.mode("overwrite").parquet(f"{path}/version={version}")
+    df.write.mode("overwrite").parquet(f"{path}/version={version}")
 
 
 def write_csv(df: DataFrame, path) -> None:

@@ -17,7 +17,13 @@ SCHEMAS = {
     "pipeline_runs": schemas.RUN,
     "conversations": schemas.CONVERSATION,
     "customer_profiles": schemas.PROFILE,
+    "customer_features": schemas.FEATURES,
+    "watermarks_current": schemas.WATERMARK,
+    "runs_current": schemas.RUN,
 }
+# Tables that are replaced as a whole: a new version is written next to the others, then one row in the list of
+# versions makes it the current one, so a reader never meets half a table.
+VERSIONED = ("conversations", "customer_profiles", "customer_features", "watermarks_current", "runs_current")
 PARTITIONS = {"interactions": ("batch_id", "event_month")}
 SORT_KEYS = {
     "interactions": ("platform_type", "interaction_timestamp", "external_id"),
@@ -25,6 +31,9 @@ SORT_KEYS = {
     "pipeline_runs": ("pipeline_name", "start_timestamp"),
     "conversations": ("customer_id", "conversation_start_timestamp"),
     "customer_profiles": ("customer_id", "created_at"),
+    "customer_features": ("customer_id",),
+    "watermarks_current": ("pipeline_name", "platform_type"),
+    "runs_current": ("run_id",),
 }
 
 
@@ -35,6 +44,9 @@ def path_of(root, name):
 def ensure_tables(spark: SparkSession, root) -> None:
     """Create the tables that do not exist yet, empty."""
     for name, schema in SCHEMAS.items():
+        if name in VERSIONED:
+            ensure_versions(spark, root, name)
+            continue
         empty = spark.range(0, 0, 1, 1).select([
             F.lit(None).cast(field.dataType).alias(field.name) for field in schema.fields])
         writer = empty.write.mode("ignore")
@@ -43,8 +55,24 @@ def ensure_tables(spark: SparkSession, root) -> None:
         writer.parquet(path_of(root, name))
 
 
+def ensure_versions(spark: SparkSession, root, name) -> None:
+    spark.range(0, 0, 1, 1).select(F.col("id").alias("version")).write.mode("ignore").parquet(
+        f"{path_of(root, name)}/versions")
+
+
+def current_version(spark: SparkSession, root, name):
+    """The number of the current version, or None: one value of a list with a row per version."""
+    return spark.read.schema("version long").parquet(f"{path_of(root, name)}/versions").agg(
+        F.max("version")).first()[0]
+
+
 def table(spark: SparkSession, root, name) -> DataFrame:
-    return spark.read.schema(SCHEMAS[name]).parquet(path_of(root, name))
+    if name not in VERSIONED:
+        return spark.read.schema(SCHEMAS[name]).parquet(path_of(root, name))
+    version = current_version(spark, root, name)
+    if version is None:
+        return spark.createDataFrame([], SCHEMAS[name])
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{path_of(root, name)}/version={version}")
 
 
 def _first(df, name, limit, order_by=None):

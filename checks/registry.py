@@ -224,10 +224,11 @@ def random_interaction_ids(spark, sf):
 
 
 def _modelled(spark, sf):
-    n = F.crc32("external_id")
+    """Rows of which some have metadata that is no JSON, some a filled one, some none, and some no type."""
+    first = F.substring(F.md5("external_id"), 1, 1)
     return _normalized(spark, sf).withColumns({
-        "content_metadata": F.when(n % 11 == 0, "not json").when(n % 11 == 1, '{"a":"1"}')
-        .when(n % 11 == 2, F.lit(None)).otherwise(F.col("content_metadata")),
+        "content_metadata": F.when(first == "0", "not json").when(first == "1", '{"a":"1"}')
+        .when(first == "2", F.lit(None)).otherwise(F.col("content_metadata")),
         "interaction_type": F.when(F.length("external_id") == 3, F.lit(None)).otherwise("tweet")})
 
 
@@ -235,27 +236,28 @@ _MODEL_PROBLEMS = """concat_ws(',',
 CASE WHEN external_id IS NULL THEN 'external_id' END,
 CASE WHEN participant_external_id IS NULL THEN 'participant_external_id' END,
 CASE WHEN content_text IS NULL THEN 'content_text' END,
+CASE WHEN substr(md5(external_id), 1, 1) = '0' THEN 'content_metadata' END,
 CASE WHEN interaction_timestamp IS NULL THEN 'interaction_timestamp' END,
 CASE WHEN length(external_id) = 3 THEN 'interaction_type' END)"""
 
 
 @query(f"""SELECT external_id, {_MODEL_PROBLEMS} AS rejected FROM tweets""", "tweets")
 def conform_check(spark, sf):
-    rows = _modelled(spark, sf).withColumn("content_metadata", F.lit("{}"))
-    return conform.check_model(rows).select(
+    return conform.check_model(_modelled(spark, sf)).select(
         "external_id", F.array_join("rejected", ",").alias("rejected"))
 
 
-@query(f"""SELECT external_id, content_text FROM tweets WHERE {_MODEL_PROBLEMS} = ''""", "tweets")
+@query(f"""SELECT external_id, content_text, CASE substr(md5(external_id), 1, 1) WHEN '1' THEN '1' END AS a
+FROM tweets WHERE {_MODEL_PROBLEMS} = ''""", "tweets")
 def conform_accepted(spark, sf):
-    ok, _ = conform.conform(_modelled(spark, sf).withColumn("content_metadata", F.lit("{}")))
-    return ok.select("external_id", "content_text")
+    ok, _ = conform.conform(_modelled(spark, sf))
+    return ok.select("external_id", "content_text", F.col("content_metadata")["a"].alias("a"))
 
 
 @query(f"""SELECT external_id, {_MODEL_PROBLEMS} AS rejected FROM tweets
 WHERE {_MODEL_PROBLEMS} <> ''""", "tweets")
 def conform_rejected(spark, sf):
-    _, rejected = conform.conform(_modelled(spark, sf).withColumn("content_metadata", F.lit("{}")))
+    _, rejected = conform.conform(_modelled(spark, sf))
     return rejected.select("external_id", F.array_join("rejected", ",").alias("rejected"))
 
 
@@ -446,18 +448,31 @@ def _marks(spark, sf, when):
     return lookup.latest(rows, ["pipeline_name", "platform_type"], "updated_at", "id")
 
 
-@query(f"""SELECT coalesce(o.pipeline_name, n.pipeline_name) AS pipeline_name,
+_UPSERTED = f"""SELECT coalesce(o.pipeline_name, n.pipeline_name) AS pipeline_name,
 coalesce(o.platform_type, n.platform_type) AS platform_type, coalesce(o.id, n.id) AS id,
 coalesce(n.last_processed_timestamp, o.last_processed_timestamp) AS last_processed_timestamp,
 coalesce(n.records_processed, o.records_processed) AS records_processed
 FROM (SELECT * FROM marks WHERE updated_at < TIMESTAMP '{_SWITCH}' {_NEWEST}) o
 FULL JOIN (SELECT * FROM marks WHERE updated_at >= TIMESTAMP '{_SWITCH}' {_NEWEST}) n
-ON o.pipeline_name = n.pipeline_name AND o.platform_type = n.platform_type""", "marks")
+ON o.pipeline_name = n.pipeline_name AND o.platform_type = n.platform_type"""
+
+
+@query(_UPSERTED, "marks")
 def upsert_watermark(spark, sf):
     return naive(sinks.upsert_watermark(_marks(spark, sf, "<"), _marks(spark, sf, ">=")).select(
         "pipeline_name", "platform_type", "id", "last_processed_timestamp", "records_processed"))
 
 
+@query(_UPSERTED, "marks")
+def upsert_stored(spark, sf):
+    """The upsert into the stored table: first the old marks, then the new ones."""
+    root = fx.new_folder(spark, "tables")
+    for when in ("<", ">="):
+        sinks.store_upsert(_marks(spark, sf, when), root)
+    return naive(tables.table(spark, root, "watermarks_current").select(
+        "pipeline_name", "platform_type", "id", "last_processed_timestamp", "records_processed"))
+
+
 @query(f"""SELECT customer_id, created_at, total_interactions FROM versions
 QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY created_at DESC, conversation_id DESC) = 1""",
        "versions")
@@ -536,16 +551,27 @@ def run_end_append(spark, sf):
         _RUN_COLUMNS))
 
 
-@query(f"""SELECT r.run_id, r.pipeline_name, r.run_type, r.start_timestamp,
+_CHANGED = f"""SELECT r.run_id, r.pipeline_name, r.run_type, r.start_timestamp,
 coalesce(e.end_timestamp, r.end_timestamp) AS end_timestamp, coalesce(e.status, r.status) AS status,
 coalesce(e.records_processed, r.records_processed) AS records_processed,
 coalesce(e.error_message, r.error_message) AS error_message
-FROM runs r LEFT JOIN ends e ON r.run_id = e.run_id""", "runs ends")
+FROM runs r LEFT JOIN ends e ON r.run_id = e.run_id"""
+
+
+@query(_CHANGED, "runs ends")
 def run_end_update(spark, sf):
     return naive(sinks.run_ended(
         fx.runs(spark, sf), fx.run_ends(spark, sf), AS_OF, mode="update").select(_RUN_COLUMNS))
 
 
+@query(_CHANGED, "runs ends")
+def run_end_stored(spark, sf):
+    root = fx.new_folder(spark, "tables")
+    sinks.publish(fx.runs(spark, sf), root, "runs_current")
+    sinks.store_run_ends(fx.run_ends(spark, sf), root, AS_OF)
+    return naive(tables.table(spark, root, "runs_current").select(_RUN_COLUMNS))
+
+
 @query(f"""SELECT {', '.join(_RUN_COLUMNS)} FROM ({_ENDED})
 UNION ALL SELECT {', '.join(_RUN_COLUMNS)} FROM runs
 WHERE run_id NOT IN (SELECT run_id FROM ends)""", "runs ends")
@@ -621,12 +647,12 @@ def history_in_parts(spark, sf):
     return _history_text(spark, sf, 1)
 
 
-@query("SELECT customer_id, 0::BIGINT AS part, chat_log FROM logs", "logs")
+@query("SELECT customer_id, 0::BIGINT AS part, 1::BIGINT AS parts, chat_log FROM logs", "logs")
 def chat_log(spark, sf):
     return history.chat_log(fx.interactions(spark, sf))
 
 
-@query("SELECT customer_id, 0::BIGINT AS part, chat_log FROM eval_logs", "eval_logs")
+@query("SELECT customer_id, 0::BIGINT AS part, 1::BIGINT AS parts, chat_log FROM eval_logs", "eval_logs")
 def chat_log_evaluation(spark, sf):
     return history.chat_log(fx.interactions(spark, sf), "evaluation")
 
@@ -640,7 +666,7 @@ def chat_log_by_turn(spark, sf):
         text="text").select("customer_id", "chat_log")
 
 
-@query("SELECT customer_id, 0::BIGINT AS part, history FROM rendered", "rendered")
+@query("SELECT customer_id, 0::BIGINT AS part, 1::BIGINT AS parts, history FROM rendered", "rendered")
 def render_history(spark, sf):
     return history.render_history(fx.interactions(spark, sf))
 
@@ -660,7 +686,7 @@ def _any_word(words):
         f"contains(lower(content_text), '{word}')" for word in words) + ", false))"
 
 
-@query(f"""SELECT participant_external_id AS customer_id, count(*) AS total_interactions,
+_FEATURES = f"""SELECT participant_external_id AS customer_id, count(*) AS total_interactions,
 count(*) AS conversation_length,
 coalesce((epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(max(interaction_timestamp))) / 3.6e9, 0.0)
   AS hours_since_last_interaction,
@@ -669,12 +695,32 @@ CAST(sum(coalesce(length(content_text), 0)) AS DOUBLE) / count(*) AS avg_message
 {_any_word(('escalate', 'manager', 'complaint', 'unacceptable'))} AS has_escalation_words,
 CASE WHEN count(*) > 1 AND epoch_us(max(interaction_timestamp)) - epoch_us(min(interaction_timestamp))
   > 3600000000 THEN 'spread_out' ELSE 'clustered' END AS response_pattern
-FROM interactions GROUP BY 1""", "interactions")
+FROM interactions GROUP BY 1"""
+
+
+@query(_FEATURES, "interactions")
 def extract_features(spark, sf):
     return features.extract_features(fx.interactions(spark, sf), AS_OF).select(
         "customer_id", *FEATURE_COLUMNS)
 
 
+@query(f"""SELECT p.customer_id, coalesce(total_interactions, 0) AS total_interactions,
+coalesce(conversation_length, 0) AS conversation_length,
+coalesce(hours_since_last_interaction, 0) AS hours_since_last_interaction,
+coalesce(avg_message_length, 0) AS avg_message_length,
+coalesce(contains_urgent_keywords, false) AS contains_urgent_keywords,
+coalesce(has_escalation_words, false) AS has_escalation_words,
+coalesce(response_pattern, 'clustered') AS response_pattern
+FROM (SELECT DISTINCT customer_id FROM prof) p LEFT JOIN ({_FEATURES}) f ON p.customer_id = f.customer_id""",
+       "prof interactions")
+def features_stored(spark, sf):
+    """The stored features, with those of customers that have no messages."""
+    root = fx.new_folder(spark, "tables")
+    sinks.write_features(
+        features.customer_features(fx.profiles(spark, sf), fx.interactions(spark, sf), AS_OF), root)
+    return tables.table(spark, root, "customer_features").drop("created_at")
+
+
 @query(f"""SELECT event_id, (epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(ts)) / 3.6e9 AS hours FROM events""")
 def hours_ago(spark, sf):
     return fx.load(spark, sf, "events").select(
@@ -759,7 +805,7 @@ def predict_limit(spark, sf):
     return _predict(spark, sf, limit=200).drop("error")
 
 
-@query(f"""SELECT p.*, coalesce(chat_log, '') AS chat_log, 0::BIGINT AS part
+@query(f"""SELECT p.*, coalesce(chat_log, '') AS chat_log, 0::BIGINT AS part, 1::BIGINT AS parts
 FROM ({_PREDICTION} {_OPEN}) p LEFT JOIN logs ON p.customer_id = logs.customer_id""",
        "decided status logs")
 def predict_with_chat_log(spark, sf):
@@ -794,7 +840,7 @@ def apply_enhancement(spark, sf):
         "customer_id", "message", "reasoning", "error")
 
 
-@query("""SELECT d.customer_id, 0::BIGINT AS part,
+@query("""SELECT d.customer_id, 0::BIGINT AS part, 1::BIGINT AS parts,
 'id=' || d.customer_id || ' summary= topic=' || CASE WHEN c.customer_id IS NULL THEN 'N/A'
   ELSE 'general_inquiry' END || ' step=' || channel || '/' || reasoning || chr(10)
   || coalesce(history, 'No detailed conversation history available.') AS prompt
@@ -824,7 +870,7 @@ def issue_status(spark, sf):
 _EVALUATION = """SELECT d.customer_id, channel, '2024-01-16T13:00:00+00:00' AS send_time,
 reasoning AS message, reasoning, coalesce(chat_log, '') AS chat_log,
 CASE channel WHEN 'scheduling_phone_call' THEN 'escalated' WHEN 'email_reply'
-  THEN 'pending_customer_reply' ELSE 'resolved' END AS issue_status
+  THEN 'pending_customer_reply' ELSE 'resolved' END AS issue_status, 0::BIGINT AS part, 1::BIGINT AS parts
 FROM decided d LEFT JOIN eval_logs l ON d.customer_id = l.customer_id"""
 _FIRST = "d.customer_id IN (SELECT customer_id FROM prof ORDER BY customer_id LIMIT 1000)"
 
@@ -841,19 +887,6 @@ def evaluate_all(spark, sf):
         fx.profiles(spark, sf), fx.interactions(spark, sf), AS_OF, n=None))
 
 
-@query("""SELECT count(*) AS records, count(DISTINCT external_id) AS stored,
-count(*) - count(DISTINCT external_id) AS left_out,
-count(*) FILTER (WHERE interaction_timestamp IS NULL) AS without_time FROM tweets""", "tweets")
-def stream_left_out(spark, sf):
-    """What micro-batches of a file each read, stored and left out; how they are cut does not matter."""
-    root, state = fx.new_folder(spark, "tables"), fx.new_folder(spark, "state")
-    stream_ingest(spark, csv_folder(spark, sf), root, state, AS_OF, max_files_per_trigger=1)
-    counts = stream_batches(spark, root).agg(*(
-        F.sum(c).alias(c) for c in ("records", "stored", "left_out_copy", "left_out_stored", "without_time")))
-    return counts.select(
-        "records", "stored", (F.col("left_out_copy") + F.col("left_out_stored")).alias("left_out"), "without_time")
-
-
 @query("""SELECT request_id, q.customer_id, CASE WHEN c.customer_id IS NULL THEN 'not_found' ELSE 'ok'
 END AS status FROM requests q LEFT JOIN conv c ON q.customer_id = c.customer_id""", "requests conv")
 def resolve_requests(spark, sf):
@@ -976,7 +1009,7 @@ def predict_batch_export(spark, sf):
 
 
 def _read_export(spark, out, columns):
-    schema = ", ".join(f"{name} string" for name in columns)
+    schema = ", ".join([*(f"{name} string" for name in columns), "part long", "parts long"])
     return spark.read.schema(schema).options(
         header=True, multiLine=True, quote='"', escape='"').csv(out)
 
@@ -991,7 +1024,7 @@ def export_rows(spark, sf):
 
 _EXPORTED = """SELECT CAST(doc_id AS VARCHAR) AS customer_id, nullif(text, '') AS chat_log,
 'email_reply' AS channel, source AS message, 't' AS send_time, lang AS reasoning,
-'escalated' AS issue_status FROM documents"""
+ 'escalated' AS issue_status, 0::BIGINT AS part, 1::BIGINT AS parts FROM documents"""
 
 
 @query(_EXPORTED)

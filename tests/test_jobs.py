@@ -9,7 +9,7 @@ from caseflow.plans import ingest as ingest_module
 from caseflow.plans.ingest import ingest, read_mark
 from caseflow.plans.rollups import build_rollups
 from caseflow.plans.scoring import evaluate_batch, predict_batch, score_requests
-from caseflow.schemas import EVALUATION_COLUMNS, PREDICTION_COLUMNS, RAW_TWEET, WATERMARK
+from caseflow.schemas import EVALUATION_COLUMNS, LOG_COLUMNS, PREDICTION_COLUMNS, RAW_TWEET, WATERMARK
 from caseflow.sources import sinks, tables
 from conftest import plan_of
 
@@ -225,7 +225,7 @@ def test_predictions_end_to_end(spark, folder, tweets):
     result = predict_batch(spark, folder, folder + "/out", AS_OF)
     assert (result.profiles, result.predictions, result.skipped) == (2, 2, 0)
     out = read_export(spark, folder + "/out")
-    assert tuple(out.columns) == PREDICTION_COLUMNS
+    assert tuple(out.columns) == PREDICTION_COLUMNS + LOG_COLUMNS
     got = {r["customer_id"]: r for r in out.collect()}
     assert got["long"]["issue_status"] == "escalated"
     assert got["long"]["chat_log"] == "\n".join(['long: with "quotes"\nand lines'] * 7)
@@ -234,7 +234,7 @@ def test_predictions_end_to_end(spark, folder, tweets):
 
     evaluate_batch(spark, folder, folder + "/eval", AS_OF)
     evaluated = read_export(spark, folder + "/eval")
-    assert tuple(evaluated.columns) == EVALUATION_COLUMNS and evaluated.count() == 2
+    assert tuple(evaluated.columns) == EVALUATION_COLUMNS + LOG_COLUMNS and evaluated.count() == 2
 
     asked = spark.createDataFrame([("short",), ("who",)], "customer_id string")
     assert {r["customer_id"]: r["status"] for r in score_requests(
@@ -250,6 +250,8 @@ def test_long_logs_are_exported_in_order(spark, folder, interactions):
     sinks.export_predictions(with_chat_log(one, df, part_bits=2), folder + "/out")
     files = sorted(r["f"] for r in read_export(spark, folder + "/out").select(
         F.input_file_name().alias("f")).distinct().collect())
+    parts = [(int(r["part"]), int(r["parts"])) for f in files for r in read_export(spark, f).collect()]
+    assert parts == [(i, len(parts)) for i in range(len(parts))]
     logs = [r["chat_log"] for f in files for r in read_export(spark, f).collect()]
     assert "\n".join(logs) == "\n".join(f"hot: m{i:03d}" for i in range(50)) and len(logs) > 10
 
