@@ -225,7 +225,7 @@ def classify(docs: DataFrame, labels: DataFrame, width=4.0, slack=0.15, weight=2
         drawn = drawn.withColumn("y", (F.col("nll") + weight * F.col("median")) / (F.col("chars") + weight))
         return drawn.groupBy(*by).agg(F.struct(
             F.first("median").alias("median"), F.percentile_approx("y", at, 10_000).alias("q"),
-            (1 / F.sqrt(F.count(F.lit(1)))).alias("doubt")).alias("own"))
+            F.try_divide(F.lit(1.0), F.sqrt(F.count(F.lit(1)))).alias("doubt")).alias("own"))
 
     # One row per language; the fence of all languages is four numbers.
     own = fences("lang").filter("lang IS NOT NULL")

@@ -1,0 +1,127 @@
+"""The n-gram model against a plain one, and what the classifier rejects."""
+
+import math
+import random
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from caseflow.llm.quality import AGAIN, END, START, classify, count_grams, gram_surprise, keep_good, word_grams
+
+SCHEMA = "doc_id long, text string, lang string, perplexity string, trusted string"
+
+
+def plain_counts(texts):
+    counts = Counter()
+    for text in texts:
+        last = None
+        for word in text.split():
+            mark = START * 3 + (AGAIN if word == last else word) + END
+            counts.update(mark[i - 3:i + 1] for i in range(3, len(mark)))
+            last = word
+    return counts
+
+
+def plain_model(counts):
+    """-ln p by the textbook: modified Kneser-Ney, interpolated, continuation counts in lower orders."""
+    tables, off = {4: counts}, {}
+    for order in (3, 2, 1):
+        tables[order] = Counter(gram[1:] for gram in tables[order + 1])
+    for order, table in tables.items():
+        n = [sum(c == k for c in table.values()) for k in range(1, 5)]
+        y = n[0] / max(1, n[0] + 2 * n[1])
+        off[order] = [min(k - 0.1, max(0.1, k - (k + 1) * y * n[k] / n[k - 1])) if n[k - 1] else k / 2 for k in (1, 2, 3)]
+    sums = {o: defaultdict(lambda: [0, 0.0]) for o in tables}
+    for order, table in tables.items():
+        for gram, c in table.items():
+            entry = sums[order][gram[:-1]]
+            entry[0] += c
+            entry[1] += off[order][min(c, 3) - 1]
+
+    def p(gram):
+        lower = p(gram[1:]) if len(gram) > 1 else 1 / 65536
+        total, back = sums[len(gram)].get(gram[:-1], (0, 0.0))
+        if not total:
+            return lower
+        c = tables[len(gram)].get(gram, 0)
+        own = (c - off[len(gram)][min(c, 3) - 1]) / total if c else 0.0
+        return own + back / total * lower
+
+    return p
+
+
+def packed(gram):
+    value = 0
+    for c in gram:
+        value = value << 16 | min(ord(c), 0xFFFF)
+    return value - (1 << 64) if value >= 1 << 63 else value
+
+
+def test_model(spark):
+    trusted = ["the cat sat on the the mat", "a cat and a dog and the end", "élan vital 😀 the", "the theme then"]
+    other = ["zebra xylophone", "the the the", ""]
+    docs = spark.createDataFrame([(t, True) for t in trusted] + [(t, False) for t in other], "text string, trusted boolean")
+    counts = plain_counts(trusted)
+    every = plain_counts(trusted + other)
+    got = {r.g: r for r in count_grams(docs).collect()}
+    assert {g: r.trusted for g, r in got.items() if r.trusted} == {packed(g): n for g, n in counts.items()}
+    assert {g: r.n for g, r in got.items()} == {packed(g): n for g, n in every.items()}
+    p = plain_model(counts)
+    found = {r.g: r.surprise for r in gram_surprise(count_grams(docs)).collect()}
+    for gram in every:
+        assert math.isclose(found[packed(gram)], -math.log(p(gram)), rel_tol=1e-9)
+
+
+def test_word_grams_of_nothing():
+    grams, word = word_grams([])
+    assert len(grams) == len(word) == 0
+
+
+@pytest.fixture(scope="module")
+def corpus(spark):
+    rng = random.Random(4)
+    parts = ["th", "er", "on", "an", "re", "he", "in", "ed", "nd", "ha"]
+
+    def text(n):
+        return " ".join("".join(rng.choice(parts) for _ in range(rng.randint(2, 3))) for _ in range(n))
+
+    rows = [(i, text(rng.randint(20, 80)), rng.choice(["en", "xx", None])) for i in range(160)]
+    rows += [(200 + i, text(40).upper().replace(" ", "!! "), "en") for i in range(10)]
+    rows += [(220 + i, " ".join([text(1)] * 60), "en") for i in range(10)]
+    rows += [(300, None, "en"), (301, "", "en"), (302, "the", "zz"), (None, text(30), "en"), (5, text(30), "en")]
+    docs = spark.createDataFrame([(*r, "clash", "clash") for r in rows], SCHEMA).repartition(3)
+    labels = spark.createDataFrame(
+        [(i, 1, 0) for i in range(100)] + [(200, 0, 1), (50, 0, 0), (None, 1, 0), (60, None, 0), (7, 1, 0)],
+        "doc_id long, quality int, toxic int")
+    return docs, labels
+
+
+@pytest.mark.parametrize("frequent", [5, 500_000])
+def test_rejects(corpus, frequent):
+    docs, labels = corpus
+    got = classify(docs, labels, frequent=frequent).collect()
+    assert len(got) == docs.count()
+    rejected = {r.doc_id for r in got if r.rejected}
+    assert set(range(200, 210)) | set(range(220, 230)) <= rejected
+    assert len(rejected - set(range(200, 230))) <= 3
+    assert not rejected & {300, 301, None}
+    assert {r.perplexity for r in got if r.doc_id in (300, 301)} == {None}
+
+
+def test_same_rows_without_the_list(corpus):
+    docs, labels = corpus
+    key = lambda r: (r.doc_id is None, r.doc_id, r.perplexity or 0)
+    a, b = (sorted(classify(docs, labels, frequent=n).collect(), key=key) for n in (5, 500_000))
+    for x, y in zip(a, b):
+        assert x.rejected == y.rejected and math.isclose(x.perplexity or 0, y.perplexity or 0, rel_tol=1e-9)
+
+
+def test_keep_good_and_nothing_trusted(spark, corpus):
+    docs, labels = corpus
+    kept = keep_good(docs, labels)
+    assert kept.columns == docs.columns and kept.filter("doc_id >= 200 and doc_id < 230").count() == 0
+    assert kept.filter("doc_id < 200").count() >= 158
+    assert classify(docs, labels.limit(0)).filter("rejected").count() == 0
+    assert classify(docs.limit(0), labels).collect() == []
+    assert classify(docs, labels.withColumn("quality", F.lit(0))).filter("rejected").count() == 0
