@@ -5,6 +5,8 @@ from pyspark.sql import DataFrame, functions as F
 # At most this many keys travel by broadcast. Any key outside the FREQUENT_KEYS most frequent ones
 # owns at most 1/(FREQUENT_KEYS + 1) of the rows.
 FREQUENT_KEYS = 1000
+# Tasks over which the rows of a frequent key are spread.
+SPREAD = 64
 # A key list up to this length may be broadcast to filter a large table.
 SMALL_KEYS = 100_000
 
@@ -19,22 +21,17 @@ def frequent_keys(df: DataFrame, key, limit=FREQUENT_KEYS) -> DataFrame:
 def join_unique(left: DataFrame, right: DataFrame, key) -> DataFrame:
     """Left join to a table with one row per key, for a left side with very frequent keys.
 
-    The frequent keys (a list of bounded length) and their right rows are broadcast, so their left rows
-    stay where they are. The others are joined by shuffle, where no key is large any more. Rows without
-    a key cannot match and stay where they are too.
+    The rows of a frequent key, and those without a key, are spread over SPREAD tasks; the one right row of a
+    frequent key is repeated for each. The left side is read whole once, and its key column once more to count.
     """
-    frequent = frequent_keys(left, key)
-    frequent_right = right.join(F.broadcast(frequent), key, "left_semi")
-    known = frequent.withColumn("_frequent", F.lit(True)).join(
-        F.broadcast(frequent_right), key, "left")
-    in_place = (
-        left.join(F.broadcast(known), key, "left")
-        .filter(F.col("_frequent") | F.col(key).isNull()).drop("_frequent"))
-    shuffled = (
-        left.filter(F.col(key).isNotNull())
-        .join(F.broadcast(frequent), key, "left_anti")
-        .join(right, key, "left"))
-    return in_place.unionByName(shuffled)
+    frequent = F.broadcast(frequent_keys(left, key).withColumn("_frequent", F.lit(True)))
+    is_frequent = F.coalesce("_frequent", F.lit(False))
+    spread = left.join(frequent, key, "left").withColumn("_salt", F.when(
+        is_frequent | F.col(key).isNull(), F.pmod(F.monotonically_increasing_id(), F.lit(SPREAD))).otherwise(
+        F.lit(0)).cast("long")).drop("_frequent")
+    repeated = right.join(frequent, key, "left").withColumn("_salt", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.when(is_frequent, F.lit(SPREAD - 1)).otherwise(0).cast("long")))).drop("_frequent")
+    return spread.join(repeated, [key, "_salt"], "left").drop("_salt")
 
 
 def semi_join(left: DataFrame, right: DataFrame, on) -> DataFrame:
@@ -47,5 +44,5 @@ def semi_join(left: DataFrame, right: DataFrame, on) -> DataFrame:
 
 
 def is_small(df: DataFrame, limit=SMALL_KEYS) -> bool:
-    """Whether the frame has at most ``limit`` rows. Runs a job that stops after that many."""
+    """Whether the frame has at most ``limit`` rows. Runs a job; each task stops after that many rows."""
     return df.limit(limit + 1).count() <= limit

@@ -28,35 +28,67 @@ def scan_csv(spark: SparkSession, path) -> DataFrame:
     return spark.read.options(**CSV_OPTIONS).option("inferSchema", "true").csv(path)
 
 
+# A quoted field from its start, with doubled quotes inside, and the rest of one that began on an earlier line.
+_QUOTED = r'(^|,)"(?:[^"]|"")*+"(?!")'
+_CLOSING = r'^(?:[^"]|"")*+"(?!")'
+
+
+def _ends_inside(text):
+    """Whether a line that starts outside of quotes ends inside. A quote opens at the start of a field only."""
+    return F.regexp_replace(text, _QUOTED, "$1").rlike('(^|,)"')
+
+
+def _states(rows, before):
+    """Columns for rows in order, each of which either sets the state (``sets`` 0 or 1) or keeps or flips it.
+
+    ``flips``: flips so far; ``set_to``: the state after the last row that set it, less the flips up to it.
+    """
+    total = F.coalesce(F.sum("flip").over(before), F.lit(0))
+    at = F.when(F.col("sets").isNotNull(), F.pmod(F.col("sets") + total, F.lit(2)))
+    return rows.withColumn("flips", total).withColumn("_at", at).withColumn(
+        "set_to", F.last("_at", ignorenulls=True).over(before)).drop("_at")
+
+
 def _read_split(spark, path):
     """Records of CSV files that are read in pieces.
 
-    A line is inside a text when the number of quotes before it in its file is odd. Quotes are counted
-    per piece first, so each piece knows how it starts. Most records are one line that is outside and
-    has an even number of quotes; only the lines of the others are put together, within their piece
-    and, for the few that cross, over pieces.
+    The lines are stored with their piece once, so that all further steps see the same pieces. A line is told by
+    what it does to the quotes: one that starts outside and one that starts inside each end outside or inside. Each
+    piece sums that up, so every piece knows how it starts. Most records are one line; only the lines of the others
+    are put together, within their piece and, for the few that cross, over pieces.
     """
     earlier = Window.unboundedPreceding
-    lines = spark.read.option("lineSep", "\n").text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("piece"),
-        F.monotonically_increasing_id().alias("line"),
-        F.col("value"),
-        (F.size(F.split("value", F.lit('"'))) - 1).alias("quotes"))
+    out = _ends_inside(F.col("value"))
+    # After the closing quote the rest of the line is within a record: a quote at its start opens nothing.
+    closes = F.col("value").rlike(_CLOSING)
+    inside = ~closes | _ends_inside(F.concat(F.lit("x"), F.regexp_replace("value", _CLOSING, "")))
+    lines = durable(
+        spark.read.option("lineSep", "\n").text(path).select(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("piece"),
+            F.monotonically_increasing_id().alias("line"), "value",
+            F.when(out == inside, out.cast("int")).alias("sets"), (out & ~inside).cast("int").alias("flip")))
+    in_piece = Window.partitionBy("file", "piece").orderBy("line")
+    placed = _states(lines, in_piece.rowsBetween(earlier, -1)).withColumn(
+        "first", F.lag("line").over(in_piece).isNull())
+    ends = placed.groupBy("file", "piece").agg(
+        F.max_by(F.struct("sets", "flip", "flips", "set_to"), "line").alias("end"))
+    after = F.coalesce("end.sets", F.pmod(F.col("end.set_to") + F.col("end.flips") + F.col("end.flip"), F.lit(2)))
     by_piece = Window.partitionBy("file").orderBy("piece").rowsBetween(earlier, -1)
-    pieces = durable(
-        lines.groupBy("file", "piece").agg(F.sum("quotes").alias("n"))
-        .select("file", "piece", F.coalesce(F.sum("n").over(by_piece), F.lit(0)).alias("so_far")))
+    pieces = _states(ends.select(
+        "file", "piece", after.alias("sets"),
+        F.when(after.isNull(), F.pmod(F.col("end.flips") + F.col("end.flip"), F.lit(2))).otherwise(0).alias("flip")),
+        by_piece).select(
+            "file", "piece", F.pmod(F.coalesce("set_to", F.lit(0)) + F.col("flips"), F.lit(2)).alias("start"))
+    pieces = durable(pieces)
     if is_small(pieces):
         pieces = F.broadcast(pieces)
-
-    in_piece = Window.partitionBy("file", "piece").orderBy("line")
-    before = F.col("so_far") + F.coalesce(
-        F.sum("quotes").over(in_piece.rowsBetween(earlier, -1)), F.lit(0))
-    placed = lines.join(pieces, ["file", "piece"]).select(
-        "file", "piece", "line", "value", (before % 2 == 1).alias("inside"),
-        (F.col("quotes") % 2 == 1).alias("turns"),
-        ((F.col("piece") == 0) & F.lag("line").over(in_piece).isNull()).alias("header"))
+    starts = F.pmod(F.coalesce("set_to", "start") + F.col("flips"), F.lit(2))
+    ends_at = F.coalesce("sets", F.pmod(F.col("starts") + F.col("flip"), F.lit(2)))
+    placed = placed.join(pieces, ["file", "piece"]).withColumn("starts", starts).select(
+        "file", "piece", "line", "value", (F.col("starts") == 1).alias("inside"),
+        (ends_at != F.col("starts")).alias("turns"),
+        ((F.col("piece") == 0) & F.col("first")).alias("header"))
     whole = placed.filter("not inside and not turns").select(F.col("value").alias("text"), "header")
 
     def joined(columns):
