@@ -2,7 +2,9 @@
 
 ``$BENCH_SF_DIR`` names the test tables (default sf0.1), ``$BENCH_CPUS`` the local threads. Queries run
 into the no-op sink, jobs write real tables. Preparing the CSV files is not timed. The ``ingest_2m`` job
-loads two million records, the size of the one load the reference publishes a time for.
+loads two million records, the size of the one load the reference publishes a time for. ``value`` adds up
+the headline jobs; the ``hard_*`` cases (cleaning two million rows, one large file, a participant with a third of
+all rows, a late reload) are listed next to them.
 """
 
 import json
@@ -49,8 +51,9 @@ def completed(result):
     return result
 
 
-def two_million_tweets(spark):
-    """CSV files of two million raw tweets, by repeating the event tweets under new ids."""
+def two_million_tweets(spark, files=32, hot=False):
+    """CSV files of two million raw tweets, by repeating the event tweets under new ids; ``hot`` gives a third of
+    them to one author."""
     tweets = fx.raw_tweets(spark, SF_DIR).filter("inbound is not null and author_id not like 'src%'")
     copies = -(-TWO_MILLION // tweets.count())
     folder = fx.new_folder(spark, "tweets")
@@ -58,7 +61,9 @@ def two_million_tweets(spark):
         tweets.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
         .withColumn("tweet_id", F.concat_ws("-", "tweet_id", "copy"))
         .withColumn("author_id", F.concat_ws("-", "author_id", "copy"))
-        .drop("copy").limit(TWO_MILLION).repartition(32), folder)
+        .withColumn("author_id", F.when(
+            F.lit(hot) & (F.crc32("tweet_id") % 3 == 0), "hot").otherwise(F.col("author_id")))
+        .drop("copy").limit(TWO_MILLION).repartition(files), folder)
     return folder
 
 
@@ -96,9 +101,23 @@ def main():
         lambda: predict_batch(spark, target, fx.new_folder(spark, "predictions"), fx.AS_OF))
     rates["predict_2m"] = result.predictions / seconds["predict_2m"]
 
+    hard = fx.new_folder(spark, "tables")
+    seconds["hard_ingest_clean_2m"], result = timed(
+        lambda: completed(ingest(spark, large, hard, fx.AS_OF, "clean")))
+    rates["hard_ingest_clean_2m"] = result.records_read / seconds["hard_ingest_clean_2m"]
+    seconds["hard_late_reload_2m"], _ = timed(lambda: completed(ingest(
+        spark, large, hard, fx.AS_OF, "clean", allowed_lateness="40 days")))
+    one, hard = two_million_tweets(spark, files=1, hot=True), fx.new_folder(spark, "tables")
+    seconds["hard_one_file_hot_2m"], result = timed(
+        lambda: completed(ingest(spark, one, hard, fx.AS_OF, "flag", split_files=True)))
+    rates["hard_one_file_hot_2m"] = result.records_read / seconds["hard_one_file_hot_2m"]
+    seconds["hard_rollups_hot_2m"], _ = timed(lambda: build_rollups(spark, hard, fx.AS_OF))
+    seconds["hard_predict_hot_2m"], _ = timed(
+        lambda: predict_batch(spark, hard, fx.new_folder(spark, "predictions"), fx.AS_OF))
+
     print(json.dumps({
         "metric": "headline queries and jobs, total wall time",
-        "value": round(sum(seconds.values()), 3),
+        "value": round(sum(v for name, v in seconds.items() if not name.startswith("hard_")), 3),
         "unit": "sec",
         "queries": {name: round(value, 3) for name, value in seconds.items()},
         "per_second": {name: round(value) for name, value in rates.items()},

@@ -1082,6 +1082,50 @@ def stream_left_out(spark, sf):
         "records", "stored", (F.col("left_out_copy") + F.col("left_out_stored")).alias("left_out"), "without_time")
 
 
+@query("""SELECT external_id, count(*) AS copies FROM (
+SELECT DISTINCT external_id FROM tweets CROSS JOIN (
+  SELECT max(interaction_timestamp) - INTERVAL '10' DAY AS m FROM tweets WHERE length(external_id) % 2 = 0) mark
+WHERE length(external_id) % 2 = 0 OR interaction_timestamp IS NULL OR interaction_timestamp >= m)
+GROUP BY 1""", "tweets")
+def stream_late(spark, sf):
+    """The late rule: ids of odd length come after the others and are measured by the latest time of these."""
+    root, state, inbox = (fx.new_folder(spark, name) for name in ("tables", "state", "tweets"))
+    raw = fx.raw_tweets(spark, sf)
+    for part in (0, 1):
+        rows = raw.filter(F.length("tweet_id") % 2 == part)
+        rows.write.mode("append").options(**sinks.CSV_OPTIONS).csv(inbox)
+        stream_ingest(spark, inbox, root, state, AS_OF, delay="10 days")
+    return tables.interactions(spark, root).groupBy("external_id").agg(F.count(F.lit(1)).alias("copies"))
+
+
+@query("""SELECT external_id, participant_external_id FROM interactions
+ORDER BY interaction_timestamp NULLS FIRST, external_id LIMIT 100""", "interactions")
+def interactions_limit(spark, sf):
+    root = fx.new_folder(spark, "tables")
+    sinks.write_interactions(
+        fx.interactions(spark, sf).withColumn("platform_type", F.lit("twitter")), root, "b1", AS_OF)
+    return tables.interactions(spark, root, limit=100).select("external_id", "participant_external_id")
+
+
+@query("SELECT customer_id FROM prof ORDER BY customer_id LIMIT 50", "prof")
+def stored_profiles_limit(spark, sf):
+    root = fx.new_folder(spark, "tables")
+    sinks.write_profiles(fx.profiles(spark, sf), root)
+    return tables.profiles(spark, root, limit=50).select("customer_id")
+
+
+@query("SELECT count(*) AS profiles, count(*) AS predictions, 0::BIGINT AS skipped FROM conv", "conv")
+def job_counts(spark, sf):
+    """What the prediction job says it did over the tables it read."""
+    root, out = fx.new_folder(spark, "tables"), fx.new_folder(spark, "predictions")
+    sinks.write_interactions(
+        fx.interactions(spark, sf).withColumn("platform_type", F.lit("twitter")), root, "b1", AS_OF)
+    build_rollups(spark, root, AS_OF)
+    done = predict_batch(spark, root, out, AS_OF)
+    return spark.range(1).select(*(
+        F.lit(getattr(done, name)).cast("long").alias(name) for name in ("profiles", "predictions", "skipped")))
+
+
 @query("""SELECT request_id, q.customer_id, CASE WHEN c.customer_id IS NULL THEN 'not_found' ELSE 'ok'
 END AS status FROM requests q LEFT JOIN conv c ON q.customer_id = c.customer_id""", "requests conv")
 def stream_scores(spark, sf):
