@@ -18,7 +18,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from caseflow.llm.common import hot_keys, spread_join, store, texts, with_ids
+from caseflow.llm.common import BROADCAST_IDS, hot_keys, spread_join, store, texts, with_ids
 
 BUCKET_KEYS = 40_000
 
@@ -197,13 +197,19 @@ def _checked(source, rows, classes, digest):
 
 def keep_one(docs: DataFrame, doc_id="doc_id", text="text") -> DataFrame:
     """The documents without their exact copies, all columns; of rows that repeat id and text one stays."""
-    result = store(exact_dedup(docs, doc_id=doc_id, text=text).filter("kept").select("doc_id", "group_size"))
-    ids = result.select("doc_id").distinct()
-    kept = docs.join(
-        ids.withColumnRenamed("doc_id", "_id"), docs[doc_id].eqNullSafe(F.col("_id")), "left_semi")
-    twice = store(result.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("_id")))
-    if twice.count() == 0:
+    result = store(exact_dedup(docs, doc_id=doc_id, text=text).select("doc_id", "kept", "text_sha256"))
+    ids = result.groupBy("doc_id").agg(F.bool_or("kept").alias("some"), F.count(F.lit(1)).alias("n"))
+    # Ids that go altogether, and ids of several rows, which are told apart by their texts.
+    gone = store(ids.filter("n = 1 AND NOT some OR n > 1").select(F.col("doc_id").alias("_id"), "n"))
+    side = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
+    kept = docs.join(side, docs[doc_id].eqNullSafe(side["_id"]), "left_anti")
+    several = gone.filter("n > 1")
+    if several.count() == 0:
         return kept
-    same = docs[doc_id].eqNullSafe(twice["_id"])
-    repeated = kept.join(twice, same, "left_semi").dropDuplicates([doc_id, text])
-    return kept.join(twice, same, "left_anti").unionByName(repeated)
+    stay = result.filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
+    same = docs[doc_id].eqNullSafe(stay["_id"]) & (
+        F.sha2(F.coalesce(docs[text], F.lit("")), 256) == stay["_sha"])
+    rows = docs.join(several, docs[doc_id].eqNullSafe(several["_id"]), "left_semi").join(stay, same, "left_semi")
+    # A null text is the empty text.
+    return kept.unionByName(
+        rows.withColumn("_same", F.coalesce(rows[text], F.lit(""))).dropDuplicates([doc_id, "_same"]).drop("_same"))
