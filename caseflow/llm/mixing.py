@@ -16,6 +16,7 @@ result; other columns are carried, never read.
 import heapq
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, Window
 
@@ -27,6 +28,7 @@ SEED = 42
 LEVEL_BITS = 10
 ORDER_BITS = 60
 NEAR = 500
+SWAPS = 4
 
 
 @dataclass
@@ -125,6 +127,8 @@ def _edges(units, need):
     spark, found = units.sparkSession, {}
     state = {p: (0, words) for p, words in need.items()}
     for bits in range(ORDER_BITS - LEVEL_BITS, -1, -LEVEL_BITS):
+        if not state:
+            break
         table = _small(spark, [(p, low, words) for p, (low, words) in state.items()],
                        "pattern long, low long, need long")
         inside = units.join(table, "pattern").filter(
@@ -143,24 +147,32 @@ def _edges(units, need):
         for r in first:
             if r["n"] <= NEAR or bits == 0:
                 found[r["pattern"]] = state.pop(r["pattern"])
-        if not state:
-            break
     return found
 
 
 def _near(rows: pd.DataFrame) -> pd.DataFrame:
-    """Of a pattern's next documents in seeded order those that bring the amount nearest."""
+    """Of a pattern's next documents in seeded order those that bring the amount nearest.
+
+    In order as far as they fit, then at most SWAPS exchanges of a chosen document, or none, for one left over.
+    """
     rows = rows.sort_values("place")
-    left, chosen, spare = int(rows["need"].iloc[0]), [], []
-    for place, words in zip(rows["place"], rows["words"]):
-        if words <= left:
-            chosen.append(place)
-            left -= words
-        else:
-            spare.append((words, place))
-    if spare and min(spare)[0] - left < left:
-        chosen.append(min(spare)[1])
-    return pd.DataFrame({"pattern": [rows["pattern"].iloc[0]] * len(chosen), "place": chosen, "more": 1}).astype("int64")
+    words, left = rows["words"].to_numpy(), int(rows["need"].iloc[0])
+    chosen = np.zeros(len(words), bool)
+    for i, n in enumerate(words.tolist()):
+        if n <= left:
+            chosen[i] = True
+            left -= n
+    for _ in range(SWAPS):
+        give, take = np.r_[-1, np.flatnonzero(chosen)], np.r_[-1, np.flatnonzero(~chosen)]
+        change = np.where(take < 0, 0, words[take])[None, :] - np.where(give < 0, 0, words[give])[:, None]
+        i, j = np.unravel_index(np.abs(left - change).argmin(), change.shape)
+        if abs(left - change[i, j]) >= abs(left):
+            break
+        left -= change[i, j]
+        chosen[give[i:i + 1][give[i:i + 1] >= 0]] = False
+        chosen[take[j:j + 1][take[j:j + 1] >= 0]] = True
+    places = rows["place"].to_numpy()[chosen]
+    return pd.DataFrame({"pattern": [rows["pattern"].iloc[0]] * len(places), "place": places, "more": 1}).astype("int64")
 
 
 def mix(docs: DataFrame, weights=(3, 1, 2), share=1.5, limit=2, targets=None, seed=SEED,
@@ -184,8 +196,10 @@ def mix(docs: DataFrame, weights=(3, 1, 2), share=1.5, limit=2, targets=None, se
         F.shiftrightunsigned(F.xxhash64(F.lit(seed), docs[doc_id], docs[text]), 64 - ORDER_BITS).alias("place"))
     narrow = store(base.select("members", "size", "place"))
     # One row per pattern and per source.
-    patterns = narrow.groupBy("members").agg(F.sum("size").alias("size")).collect()
-    patterns = sorted(((tuple(r["members"]), r["size"]) for r in patterns), key=lambda p: [(m is None, m or "") for m in p[0]])
+    found = narrow.groupBy("members").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")).collect()
+    found = sorted(
+        ((tuple(r["members"]), r["size"], r["n"]) for r in found), key=lambda p: [(m is None, m or "") for m in p[0]])
+    patterns = [(names, size) for names, size, _ in found]
     sizes = {}
     for names, size in patterns:
         for name in names:
@@ -205,7 +219,9 @@ def mix(docs: DataFrame, weights=(3, 1, 2), share=1.5, limit=2, targets=None, se
         return rows.alias("a").join(numbers.alias("b"), same).select("a.*", "b.pattern").drop("members")
 
     units = store(numbered(narrow).filter("size > 0").groupBy("pattern", "place").agg(F.sum("size").alias("words")))
-    edges = _edges(units, {i: words for i, words in need.items() if words > 0})
+    # Of few documents all are chosen from.
+    edges = {i: (0, need[i]) for i, (_, _, n) in enumerate(found) if n <= NEAR}
+    edges |= _edges(units, {i: words for i, words in need.items() if words > 0 and i not in edges})
     cuts = _small(spark, [
         (i, whole[i], *edges.get(i, (0, 0))) for i in range(len(patterns))],
         "pattern long, whole long, edge long, need long")

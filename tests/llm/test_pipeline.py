@@ -32,7 +32,7 @@ def test_stages(spark):
     assert 0.9 * before.count() <= after.count() <= before.count()
     before, after = kept["mixing"]
     size = {r.doc_id: len(re.findall(r"[^\x20\x09-\x0D]+", r.text)) for r in before.collect()}
-    assert abs(sum(size[r.doc_id] for r in after.collect()) - 1.5 * sum(size.values())) < 0.02 * sum(size.values())
+    assert abs(sum(size[r.doc_id] for r in after.collect()) - 1.5 * sum(size.values())) < 0.01 * sum(size.values())
     before, after = kept["packing"]
     assert after.agg({"length": "sum"}).first()[0] >= before.count()
 
