@@ -41,13 +41,14 @@ def hot_keys(counts: DataFrame, key, rows) -> DataFrame:
 
 def spread_join(left: DataFrame, right: DataFrame, key, hot: DataFrame, how="inner") -> DataFrame:
     """Join to a table with one row per key. The rows of a hot key go to SPREAD tasks, and its one right
-    row is repeated for each of them; any other key owns less than 1/HOT_KEYS of the rows."""
+    row is repeated for each of them; any other key owns less than 1/HOT_KEYS of the rows. Where a row goes follows
+    from its values, so a task that runs again sends it to the same place."""
+    place = F.pmod(F.xxhash64(*(left[c] for c in left.columns)), F.lit(SPREAD))
     hot = F.broadcast(hot.select(key).withColumn("_hot", F.lit(True)))
     spread = F.coalesce("_hot", F.lit(False))
     left = (
         left.join(hot, key, "left")
-        .withColumn("_salt", F.when(
-            spread, F.pmod(F.monotonically_increasing_id(), F.lit(SPREAD))).otherwise(F.lit(0)))
+        .withColumn("_salt", F.when(spread, place).otherwise(F.lit(0)))
         .drop("_hot"))
     right = (
         right.join(hot, key, "left")
