@@ -24,11 +24,13 @@ def join_unique(left: DataFrame, right: DataFrame, key) -> DataFrame:
     The rows of a frequent key, and those without a key, are spread over SPREAD tasks; the one right row of a
     frequent key is repeated for each. The left side is read whole once, and its key column once more to count.
     """
+    # Where a row goes follows from its values, so a task that runs again sends it to the same place.
+    plain = [f.name for f in left.schema.fields if "map<" not in f.dataType.simpleString()]
+    place = F.pmod(F.xxhash64(*(left[c] for c in plain)), F.lit(SPREAD))
     frequent = F.broadcast(frequent_keys(left, key).withColumn("_frequent", F.lit(True)))
     is_frequent = F.coalesce("_frequent", F.lit(False))
     spread = left.join(frequent, key, "left").withColumn("_salt", F.when(
-        is_frequent | F.col(key).isNull(), F.pmod(F.monotonically_increasing_id(), F.lit(SPREAD))).otherwise(
-        F.lit(0)).cast("long")).drop("_frequent")
+        is_frequent | F.col(key).isNull(), place).otherwise(F.lit(0)).cast("long")).drop("_frequent")
     repeated = right.join(frequent, key, "left").withColumn("_salt", F.explode(F.sequence(
         F.lit(0).cast("long"), F.when(is_frequent, F.lit(SPREAD - 1)).otherwise(0).cast("long")))).drop("_frequent")
     return spread.join(repeated, [key, "_salt"], "left").drop("_salt")
