@@ -6,12 +6,16 @@ with one filled window each, and the two partitions with the largest imbalance a
 windows upon emptiest, until one partition is left. Where a window of it holds more than fits, the window count rises
 and the group is packed anew.
 
+Pieces are numbered in the order in which their task reads them, so the input should come in the same order when a task
+runs again, as files do; store the result of a shuffle first.
+
 Defined cases: a null or empty text is the end id alone; rows that repeat an id are packed each; a text of any length
 is cut into windows; an empty table gives an empty result; other columns are not read.
 """
 
 import heapq
 import math
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -19,56 +23,73 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from caseflow.llm.common import slices, texts, words_of
-from caseflow.llm.token_counts import ENCODE_AT_ONCE, ROW_BITS, VOCABULARY, load_tokenizer
+from caseflow.llm.common import slices, texts
+from caseflow.llm.token_counts import (
+    ENCODE_AT_ONCE, FREQUENT, ROW_BITS, VOCABULARY, frequent_words, load_tokenizer, pre_tokens)
 
 WINDOW = 4096
 END_ID = 2
 GROUP_PIECES = 1500
 WINDOW_BITS = 24
-# Distinct words whose ids a task remembers.
-REMEMBERED = 200_000
-
-
-def _word_ids(words, tokenizer, memory):
-    """(ids of all words one after the other, where each word's ids begin)."""
-    new = [w for w in words if w not in memory]
-    if len(memory) + len(new) > REMEMBERED:
-        memory.clear()
-        new = words
-    for start in range(0, len(new), ENCODE_AT_ONCE):
-        some = new[start:start + ENCODE_AT_ONCE]
-        for word, coded in zip(some, tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-            memory[word] = np.array(coded.ids, "<u4")
-    found = list(map(memory.__getitem__, words))
-    begin = np.zeros(len(found) + 1, np.int64)
-    np.cumsum(np.fromiter(map(len, found), np.int64, len(found)), out=begin[1:])
-    return np.concatenate(found) if found else np.empty(0, "<u4"), begin
-
-
-def token_pieces(docs: DataFrame, window=WINDOW, end_id=END_ID, vocabulary=VOCABULARY) -> DataFrame:
+
+
+def word_ids(words: DataFrame, vocabulary=VOCABULARY) -> DataFrame:
+    """(word, ids) of each distinct pre-token."""
+    def encode(batches):
+        tokenizer = load_tokenizer(vocabulary)
+        for batch in batches:
+            for start in range(0, batch.num_rows, ENCODE_AT_ONCE):
+                some = batch.column("word").slice(start, ENCODE_AT_ONCE)
+                flat, begin = encode_flat(some.to_pylist(), tokenizer)
+                yield pa.RecordBatch.from_arrays(
+                    [some, pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), pa.array(flat.astype(np.int32)))],
+                    ["word", "ids"])
+
+    return words.select("word").mapInArrow(encode, "word string, ids array<int>")
+
+
+def encode_flat(words, tokenizer):
+    """(ids of all words one after the other, where each word's ids begin and the last ones end)."""
+    flat, begin = [np.empty(0, "<u4")], [np.zeros(1, np.int64)]
+    for start in range(0, len(words), ENCODE_AT_ONCE):
+        coded = [c.ids for c in tokenizer.encode_batch_fast(words[start:start + ENCODE_AT_ONCE], add_special_tokens=False)]
+        begin.append(np.fromiter(map(len, coded), np.int64, len(coded)))
+        flat.append(np.fromiter(chain.from_iterable(coded), "<u4", int(begin[-1].sum())))
+    return np.concatenate(flat), np.cumsum(np.concatenate(begin))
+
+
+def token_pieces(docs: DataFrame, known, window=WINDOW, end_id=END_ID, vocabulary=VOCABULARY) -> DataFrame:
     """Per piece: doc_id, start, length, doc_tokens, ids (little-endian unsigned 32-bit) and a unique number."""
     def cut(batches):
-        tokenizer, memory = load_tokenizer(vocabulary), {}
+        tokenizer = load_tokenizer(vocabulary)
+        listed, listed_ids, listed_begin = known.value
+        number = dict(zip(listed, range(len(listed))))
         row = TaskContext.get().partitionId() << ROW_BITS
         for batch in batches:
             for part in slices(batch):
-                distinct, codes, rows = words_of(part.column("text"))
-                flat, begin = _word_ids(distinct.to_pylist(), tokenizer, memory)
-                size = np.diff(begin)[codes]
-                ends = np.searchsorted(rows, np.arange(part.num_rows + 1))
+                distinct, codes, rows = pre_tokens(part.column("text"))
+                words = distinct.to_pylist()
+                at = np.fromiter(map(number.get, words, repeat(-1)), np.int64, len(words))
+                rare = np.flatnonzero(at < 0)
+                rare_ids, rare_begin = encode_flat([words[i] for i in rare.tolist()], tokenizer)
+                # Ids of the listed words, then of the rare ones.
+                flat = np.concatenate([listed_ids, rare_ids])
+                at[rare] = len(listed) + 1 + np.arange(len(rare))
+                begin = np.concatenate([listed_begin, rare_begin + len(listed_ids)])
+                first, many = begin[at], begin[at + 1] - begin[at]
                 of_doc, start, length, total, ids = [], [], [], [], []
-                for doc, (first, last) in enumerate(zip(ends[:-1], ends[1:])):
-                    here, many = codes[first:last], size[first:last]
-                    before = np.cumsum(many) - many
-                    n = int(many.sum())
+                ends = np.searchsorted(rows, np.arange(part.num_rows + 1))
+                for doc, (low, high) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist())):
+                    size = many[codes[low:high]]
+                    before = np.cumsum(size) - size
+                    n = int(size.sum())
                     own = np.empty(n + 1, "<u4")
-                    own[:n] = flat[np.repeat(begin[here] - before, many) + np.arange(n)]
+                    own[:n] = flat[np.repeat(first[codes[low:high]] - before, size) + np.arange(n)]
                     own[n] = end_id
-                    for at in range(0, n + 1, window):
-                        piece = own[at:at + window]
+                    for cut_at in range(0, n + 1, window):
+                        piece = own[cut_at:cut_at + window]
                         of_doc.append(doc)
-                        start.append(at)
+                        start.append(cut_at)
                         length.append(len(piece))
                         total.append(n + 1)
                         ids.append(piece.tobytes())
@@ -154,14 +175,20 @@ def pack_lengths(lengths, window=WINDOW):
 
 
 def pack(docs: DataFrame, window=WINDOW, end_id=END_ID, vocabulary=VOCABULARY, group=GROUP_PIECES,
-         doc_id="doc_id", text="text") -> DataFrame:
+         frequent=FREQUENT, doc_id="doc_id", text="text") -> DataFrame:
     """One row per piece: doc_id, start, length, doc_tokens, sequence_id, offset, ids."""
     docs = texts(docs, doc_id, text)
     # A token takes a byte at least, so this bounds the number of pieces before any text is tokenised.
     most = docs.agg(F.sum(
         1 + F.floor(F.coalesce(F.octet_length("text"), F.lit(0)) / F.lit(window)))).first()[0] or 0
     groups = max(1, math.ceil(most / group))
-    pieces = token_pieces(docs, window, end_id, vocabulary).withColumn(
+    # The most frequent pre-tokens, of bounded number and bytes, are encoded once.
+    listed = word_ids(frequent_words(docs, frequent), vocabulary).toArrow()
+    lists = listed["ids"].combine_chunks()
+    known = docs.sparkSession.sparkContext.broadcast((
+        listed["word"].to_pylist(), lists.flatten().to_numpy().astype("<u4"),
+        np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())]).astype(np.int64)))
+    pieces = token_pieces(docs, known, window, end_id, vocabulary).withColumn(
         "group", F.pmod(F.xxhash64("piece"), F.lit(groups)))
 
     def place(table: pa.Table) -> pa.Table:

@@ -1,7 +1,8 @@
 """Token counts: pieces are counted once per distinct pre-token and summed per document; no ids are kept.
 
-A pre-token is a run of characters other than ASCII white space; the vocabulary never joins text across white
-space, so a document has as many tokens as its pre-tokens together. The most frequent pre-tokens (a list of
+A pre-token is a run of characters other than ASCII white space, without the stops and commas at its end, which are
+one of their own, and with A-Z lower-cased. The vocabulary lower-cases all text and never joins across white space
+or from letters to punctuation, so a document has as many tokens as its pre-tokens together. The most frequent pre-tokens (a list of
 bounded length and bytes) travel to the documents by broadcast, as in a skewed join; the others are
 joined by shuffle. Which pre-tokens are on the list changes the plan, never a count.
 
@@ -27,6 +28,9 @@ FREQUENT = 500_000
 FREQUENT_BYTES = 128
 ENCODE_AT_ONCE = 20_000
 ROW_BITS = 33
+# Special strings of the vocabulary begin so.
+SPECIAL = "<|"
+STOPS = r"([a-zà-öø-ÿÀ-ÖØ-Þ])([.,]+)(\s|$)"
 
 
 def load_tokenizer(vocabulary=VOCABULARY):
@@ -38,12 +42,21 @@ def load_tokenizer(vocabulary=VOCABULARY):
     return Tokenizer.from_file(str(path))
 
 
+def pre_tokens(column: pa.Array):
+    """(distinct pre-tokens, code of each, row of each). Texts near one that may hold a special string, which is told
+    by its case, are cut at white space only; their tokens are the same."""
+    column = pc.fill_null(column, "")
+    if not pc.any(pc.match_substring(column, SPECIAL)).as_py():
+        column = pc.replace_substring_regex(pc.ascii_lower(column), STOPS, r"\1 \2\3")
+    return words_of(column)
+
+
 def frequent_words(docs: DataFrame, n=FREQUENT) -> DataFrame:
     """At most ``n`` frequent pre-tokens of ``docs.text``: each slice of text offers those it has at least twice."""
     def offer(batches):
         for batch in batches:
             for part in slices(batch):
-                distinct, codes, _ = words_of(part.column("text"))
+                distinct, codes, _ = pre_tokens(part.column("text"))
                 count = np.bincount(codes, minlength=len(distinct))
                 size = pc.binary_length(distinct).to_numpy(zero_copy_only=False)
                 chosen = np.flatnonzero((count > 1) & (size <= FREQUENT_BYTES))
@@ -79,7 +92,7 @@ def sum_known(docs: DataFrame, known) -> DataFrame:
         for batch in batches:
             for part in slices(batch):
                 n = part.num_rows
-                distinct, codes, rows = words_of(part.column("text"))
+                distinct, codes, rows = pre_tokens(part.column("text"))
                 pieces = np.fromiter(
                     map(counts.get, distinct.to_pylist(), repeat(-1)), np.int64, len(distinct))
                 found = pieces[codes]

@@ -8,7 +8,8 @@ SCHEMA = "doc_id long, text string, n_tokens string, word string"
 EDGES = [
     None, "", " ", "\n\t ", "the", "The THE the", "don't we'll", "a<|endoftext|>b <|startoftext|>", "<|endoftext |>",
     "ΑΣ ΑΣΑ Σ", "é é ́x", "a\x0bb\x0cc\x1cd\x85e f g", "日本語 テキスト", "123 4,5.6!!", "x" * 5000,
-    "word " * 3000, "😀 👩‍👩‍👧 ok", "\x00 nul", "tab\tsep\r\nline"]
+    "word " * 3000, "😀 👩‍👩‍👧 ok", "End. x... y,, Élan, café. a.,b 5. '. don't. ñ,", "<|ENDOFTEXT|> A<|EndOfText|>, <|endoftext|>.",
+    "İstanbul, K. ẞ. ﬁ, ß. e\u0301, Å. Ω,", "\x00 nul", "tab\tsep\r\nline"]
 
 
 def brute(texts):
