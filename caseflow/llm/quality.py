@@ -29,6 +29,8 @@ from caseflow.llm.token_counts import ROW_BITS
 
 ORDER = 4
 FREQUENT_GRAMS = 500_000
+# Text handled at once inside a task: its n-grams take many times its bytes.
+GRAM_BYTES = 2 << 20
 START, END, AGAIN = "\x02", "\x03", "\x04"
 MASKS = [(1 << 16 * order) - 1 for order in range(5)]
 # Every 5th trusted document calibrates the fences and is not counted.
@@ -68,7 +70,7 @@ def count_grams(docs: DataFrame) -> DataFrame:
     """(g, trusted, n): how often each 4-gram stands in trusted text, and in all text."""
     def count(batches):
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=GRAM_BYTES):
                 unique, number, word, words, codes, rows = part_grams(part)
                 trusted = part.column("trusted").to_numpy(zero_copy_only=False).astype(bool)
                 columns = []
@@ -141,7 +143,7 @@ def _sum_known(docs, known):
         keys, values = known.value
         row = TaskContext.get().partitionId() << ROW_BITS
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=GRAM_BYTES):
                 n = part.num_rows
                 unique, number, word, words, codes, rows = part_grams(part)
                 at = np.minimum(np.searchsorted(keys, unique), max(0, len(keys) - 1))
