@@ -6,10 +6,17 @@ counts and the probability of every n-gram that any document holds are tables th
 joined by n-gram. A document's perplexity is the sum over its n-grams: those of the most frequent n-grams (a list of bounded
 length) are known in place, the rarer ones are joined by shuffle.
 
-A document is rejected when its perplexity leaves the fence of its language: the median plus or minus ``width`` times the
+What crosses word borders is scored next to it. Every pair of neighbouring words (the first word with a mark before it) of
+trusted text is counted, and a pair's gain is what the word before it makes a word likelier: the log of its interpolated
+probability over its frequency. A text whose words are shuffled gains less. A word is fresh unless it and the two before it stand
+earlier in the text in the same order; a phrase without end leaves few fresh words, whatever its length.
+
+A document is rejected when its perplexity leaves the fence of its language, its mean gain falls below its fence, or the
+log of its words over its fresh words rises above its fence. The fence of the perplexity is the median plus or minus ``width`` times the
 distance of the 95th and 5th percentile from it, over trusted documents kept out of the counts; a fence from ``n`` documents
 is wider by 1/sqrt(n) nats per character. A text of few characters says little, so perplexity is drawn to the
-median by ``weight`` characters of average surprise.
+median by ``weight`` characters of average surprise, the gain by FEW_WORDS words of average gain, and the fresh words are
+taken as FEW_WORDS more. The other two fences are made alike, on their one side.
 
 Defined cases: a null or empty text has no perplexity and is not rejected; a language without calibration
 documents, or a null one, takes the fence of all languages; without any trusted text nothing is rejected; rows that
@@ -24,7 +31,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from caseflow.llm.common import BROADCAST_IDS, slices, store, texts, words_of
+from caseflow.llm.common import BROADCAST_IDS, hot_keys, slices, spread_join, store, texts, words_of
 from caseflow.llm.token_counts import ROW_BITS
 
 ORDER = 4
@@ -33,6 +40,16 @@ FREQUENT_GRAMS = 500_000
 GRAM_BYTES = 2 << 20
 START, END, AGAIN = "\x02", "\x03", "\x04"
 MASKS = [(1 << 16 * order) - 1 for order in range(5)]
+# Words that stand before a word for it and them to be a phrase.
+BEFORE = 2
+FEW_WORDS = 30
+# Share of a word's probability that its pair has, the rest has its frequency.
+PAIRED = 0.5
+UNPAIRED = float(np.log(1 - PAIRED))
+# Bits of the filter of known pairs. A full one lets pairs pass that no trusted text holds, and the join leaves them out.
+FILTER_BITS = 27
+# Least half widths of the fences, in nats: of the gain per word, of words over fresh words.
+GAIN_SLACK, AGAIN_SLACK = 0.15, 0.5
 # Every 5th trusted document calibrates the fences and is not counted.
 FOLDS = 5
 
@@ -53,10 +70,10 @@ def word_grams(words):
     return packed.view(np.int64), word
 
 
-def part_grams(part):
-    """4-grams of a slice of documents: (distinct 4-grams, their number per gram of a word, the word of that gram,
+def part_grams(split):
+    """4-grams of the words of a slice of documents: (distinct 4-grams, their number per gram of a word, the word of that gram,
     number of words, word code of each occurrence, row of each occurrence)."""
-    distinct, codes, rows = words_of(part.column("text"))
+    distinct, codes, rows = split
     again = np.zeros(len(codes), bool)
     again[1:] = (codes[1:] == codes[:-1]) & (rows[1:] == rows[:-1])
     codes = np.where(again, len(distinct), codes)
@@ -66,12 +83,97 @@ def part_grams(part):
     return unique, number, word, len(words), codes, rows
 
 
+def _mix(x):
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def pair_number(before, words):
+    return _mix(_mix(before + np.uint64(1)) + words).view(np.int64)
+
+
+def part_pairs(distinct, codes, rows):
+    """(64-bit pair, hash of the word before or 0, hash of the word) of each word of a slice."""
+    import xxhash
+
+    np.seterr(over="ignore")
+    hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in distinct.to_pylist()), np.uint64, len(distinct))
+    words = hashes[codes]
+    before = np.zeros(len(words), np.uint64)
+    inside = rows[1:] == rows[:-1]
+    before[1:][inside] = words[:-1][inside]
+    return pair_number(before, words), before.view(np.int64), words.view(np.int64)
+
+
+def fresh_words(words, rows, n):
+    """Per row the words that do not stand earlier in it after the same BEFORE words."""
+    runs = words.view(np.uint64)
+    for back in range(1, BEFORE + 1):
+        runs = _mix(runs + np.uint64(back))
+        runs[back:] += words.view(np.uint64)[:-back]
+    # The first words of a row have no run of this length, and are fresh.
+    whole = np.flatnonzero(np.arange(len(rows)) - np.searchsorted(rows, rows) >= BEFORE)
+    of_row, run = rows[whole], runs[whole]
+    run = _mix(run + _mix(of_row.astype(np.uint64)))
+    order = np.argsort(run)
+    again = run[order[1:]] == run[order[:-1]]
+    return np.bincount(rows, minlength=n) - np.bincount(of_row[order[1:]][again], minlength=n)
+
+
+def count_pairs(docs: DataFrame) -> DataFrame:
+    """(a, b, c): how often word b stands after a in trusted text; without b, how often a stands there at all."""
+    def count(batches):
+        for batch in batches:
+            for part in slices(batch, limit=GRAM_BYTES):
+                pair, a, b = part_pairs(*words_of(part.column("text")))
+                _, at, c = np.unique(pair, return_index=True, return_counts=True)
+                order = np.argsort(a[at])
+                at, c = at[order], c[order]
+                yield pa.RecordBatch.from_arrays([pa.array(a[at]), pa.array(b[at]), pa.array(c)], ["a", "b", "c"])
+                # The mark before the first word stands once a text.
+                word, n = np.unique(np.concatenate([a[a == 0], b]), return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(word), pa.nulls(len(word), pa.int64()), pa.array(n)], ["a", "b", "c"])
+
+    return docs.filter("trusted").select("text").mapInArrow(count, "a long, b long, c long").groupBy("a", "b").agg(
+        F.sum("c").alias("c"))
+
+
+def pair_gains(counts: DataFrame, frequent=FREQUENT_GRAMS) -> DataFrame:
+    """(a, b, gain, c) of every pair of trusted text; any other pair gains ln(1 - PAIRED)."""
+    words = store(counts.filter("b IS NULL").select(F.col("a").alias("w"), F.col("c").alias("n")))
+    total = words.filter("w <> 0").agg(F.sum("n")).first()[0] or 1
+    listed = store(words.orderBy(F.desc("n"), "w").limit(frequent))
+    joined = counts.filter("b IS NOT NULL")
+    for side in ("a", "b"):
+        # The counts of frequent words come in place; the pairs of a rarer word are few.
+        known, every = (t.select(F.col("w").alias(side), F.col("n").alias(f"c{side}")) for t in (listed, words))
+        short = F.broadcast(known)
+        joined = joined.join(short, side).unionByName(
+            spread_join(joined.join(short, side, "left_anti"), every, side, hot_keys(every, side, f"c{side}")))
+    ratio = F.col("c") * F.lit(float(total)) / (F.col("ca").cast("double") * F.col("cb"))
+    return joined.select("a", "b", F.log(PAIRED * ratio + (1 - PAIRED)).alias("gain"), "c")
+
+
+def with_pair(gains: DataFrame) -> DataFrame:
+    """(k, gain, c): each pair under its 64-bit number."""
+    def pack(batches):
+        np.seterr(over="ignore")
+        for batch in batches:
+            a, b = (batch.column(side).to_numpy().view(np.uint64) for side in ("a", "b"))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(pair_number(a, b)), batch.column("gain"), batch.column("c")], ["k", "gain", "c"])
+
+    return gains.mapInArrow(pack, "k long, gain double, c long")
+
+
 def count_grams(docs: DataFrame) -> DataFrame:
     """(g, trusted, n): how often each 4-gram stands in trusted text, and in all text."""
     def count(batches):
         for batch in batches:
             for part in slices(batch, limit=GRAM_BYTES):
-                unique, number, word, words, codes, rows = part_grams(part)
+                unique, number, word, words, codes, rows = part_grams(words_of(part.column("text")))
                 trusted = part.column("trusted").to_numpy(zero_copy_only=False).astype(bool)
                 columns = []
                 for weights in (trusted[rows], None):
@@ -85,6 +187,55 @@ def count_grams(docs: DataFrame) -> DataFrame:
         F.sum("trusted").alias("trusted"), F.sum("n").alias("n"))
 
 
+def _listed(table, frequent):
+    """The most frequent keys and their values, in order of the keys."""
+    key, value, n = table.columns
+    listed = table.orderBy(F.desc(n), key).limit(frequent).select(key, value).toArrow()
+    keys, values = (listed[c].to_numpy() for c in (key, value))
+    order = np.argsort(keys)
+    return keys[order], values[order]
+
+
+def pair_filter(gains: DataFrame):
+    """Bits set at the known pairs, in 64-bit words: what is not set is not known."""
+    bit = F.col("k").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+    set_bits = gains.groupBy(F.shiftright(bit, 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(k & 63 as int))")).alias("bits")).toArrow()
+    bits = np.zeros(1 << FILTER_BITS - 6, np.uint64)
+    bits[set_bits["word"].to_numpy()] = set_bits["bits"].to_numpy().view(np.uint64)
+    return bits
+
+
+def _lists(of_row, n, **values):
+    """One list of structs per row, from values in order of the rows."""
+    return pa.ListArray.from_arrays(
+        pa.array(np.searchsorted(of_row, np.arange(n + 1)).astype(np.int32)),
+        pa.StructArray.from_arrays([pa.array(v.astype(np.int64)) for v in values.values()], list(values)))
+
+
+def part_gains(part, split, known, bits):
+    """Per document of a slice: (words, fresh words, gain by the known list, list of pairs that may be known besides)."""
+    n = part.num_rows
+    keys, values = known
+    distinct, codes, rows = split
+    pair, _, words = part_pairs(distinct, codes, rows)
+    at = np.minimum(np.searchsorted(keys, pair), max(0, len(keys) - 1))
+    found = keys[at] == pair if len(keys) else np.zeros(len(pair), bool)
+    gain = np.where(found, values[at], UNPAIRED) if len(keys) else np.full(len(pair), UNPAIRED)
+    place = pair & ((1 << FILTER_BITS) - 1)
+    maybe = bits[place >> 6] >> (place & 63).astype(np.uint64) & np.uint64(1) == 1
+    # Trusted text holds its own pairs, which says nothing about it.
+    judged = ~part.column("trusted").to_numpy(zero_copy_only=False).astype(bool)
+    left = np.flatnonzero(maybe & ~found & judged[rows])
+    left = left[np.lexsort((pair[left], rows[left]))]
+    some, own = pair[left], rows[left]
+    start = np.flatnonzero(np.r_[len(left) > 0, (some[1:] != some[:-1]) | (own[1:] != own[:-1])][:len(left)])
+    f = np.diff(np.r_[start, len(left)])
+    sums = np.bincount(rows, gain, n)
+    return (np.bincount(rows, minlength=n), fresh_words(words, rows, n), pa.array(sums, mask=~judged),
+            _lists(own[start], n, g=some[start], f=f))
+
+
 def discounts(tables):
     """Modified Kneser-Ney discounts per order from the counts of counts: {order: [D1, D2, D3+]}."""
     counted = reduce(DataFrame.unionByName, (
@@ -138,14 +289,16 @@ def gram_surprise(grams: DataFrame) -> DataFrame:
     return grams.join(p.withColumnRenamed("k", "g"), "g").select("g", (-F.log("p")).alias("surprise"), "n")
 
 
-def _sum_known(docs, known):
+def _sum_known(docs, known, known_pairs):
     def add(batches):
         keys, values = known.value
+        pairs_listed, bits = known_pairs.value
         row = TaskContext.get().partitionId() << ROW_BITS
         for batch in batches:
             for part in slices(batch, limit=GRAM_BYTES):
                 n = part.num_rows
-                unique, number, word, words, codes, rows = part_grams(part)
+                split = words_of(part.column("text"))
+                unique, number, word, words, codes, rows = part_grams(split)
                 at = np.minimum(np.searchsorted(keys, unique), max(0, len(keys) - 1))
                 found = keys[at] == unique if len(keys) else np.zeros(len(unique), bool)
                 value = np.where(found, values[at], 0.0) if len(keys) else np.zeros(len(unique))
@@ -163,44 +316,49 @@ def _sum_known(docs, known):
                 key = np.repeat(rows[where], many) * max(1, len(unique)) + number[each]
                 pairs, f = np.unique(key, return_counts=True)
                 of_row, code = np.divmod(pairs, max(1, len(unique)))
-                lists = pa.ListArray.from_arrays(
-                    pa.array(np.searchsorted(of_row, np.arange(n + 1)).astype(np.int32)),
-                    pa.StructArray.from_arrays(
-                        [pa.array(unique[code].astype(np.int64)), pa.array(f.astype(np.int64))], ["g", "f"]))
+                lists = _lists(of_row, n, g=unique[code], f=f)
+                said, fresh, gain, pair_lists = part_gains(part, split, pairs_listed, bits)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.arange(row, row + n)), part.column("doc_id"), part.column("lang"),
-                     pa.array(chars), pa.array(nll), lists],
-                    ["row", "doc_id", "lang", "chars", "known", "rest"])
+                     pa.array(chars), pa.array(nll), lists, pa.array(said), pa.array(fresh), gain, pair_lists],
+                    ["row", "doc_id", "lang", "chars", "known", "rest", "words", "fresh", "gained", "pairs"])
                 row += n
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text", "lang").mapInArrow(
-        add, f"row long, doc_id {kind}, lang string, chars long, known double, rest array<struct<g:long,f:long>>")
+    return docs.select("doc_id", "text", "lang", "trusted").mapInArrow(
+        add, f"row long, doc_id {kind}, lang string, chars long, known double, rest array<struct<g:long,f:long>>, "
+             "words long, fresh long, gained double, pairs array<struct<g:long,f:long>>")
 
 
 def score(docs: DataFrame, trusted_ids: DataFrame, frequent=FREQUENT_GRAMS) -> DataFrame:
-    """(row, doc_id, lang, chars, nll, calibrates) per document; ``docs`` has doc_id, text and lang."""
+    """(row, doc_id, lang, chars, nll, words, fresh, gain, calibrates) per document; trusted text has no gain; ``docs`` has doc_id, text and lang."""
     marks = store(trusted_ids.select(
         F.col("doc_id").alias("_id"),
         (F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(FOLDS)) == 0).alias("calibrates")))
     # A checked list is broadcast; a longer one is joined by shuffle.
     side = F.broadcast(marks) if marks.count() <= BROADCAST_IDS else marks
     flagged = docs.join(side, docs["doc_id"] == side["_id"], "left").select(
-        "text", F.coalesce(~F.col("calibrates"), F.lit(False)).alias("trusted"))
+        "doc_id", "text", "lang", F.coalesce(~F.col("calibrates"), F.lit(False)).alias("trusted"))
     grams = store(count_grams(flagged))
     surprise = store(gram_surprise(grams))
-    listed = surprise.orderBy(F.desc("n"), "g").limit(frequent).select("g", "surprise").toArrow()
-    keys, values = (listed[name].to_numpy() for name in ("g", "surprise"))
-    order = np.argsort(keys)
-    known = docs.sparkSession.sparkContext.broadcast((keys[order], values[order]))
-    rows = store(_sum_known(docs, known))
-    others = (
-        rows.select("row", F.explode("rest").alias("one")).select("row", "one.g", "one.f")
-        .join(surprise.select("g", "surprise"), "g")
-        .groupBy("row").agg(F.sum(F.col("f") * F.col("surprise")).alias("others")))
+    gains = store(with_pair(pair_gains(store(count_pairs(flagged)), frequent)))
+    context = docs.sparkSession.sparkContext
+    known = context.broadcast(_listed(surprise, frequent))
+    known_pairs = context.broadcast((_listed(gains, frequent), pair_filter(gains)))
+    rows = store(_sum_known(flagged, known, known_pairs))
+
+    def rarer(lists, table, value, name):
+        return (
+            rows.select("row", F.explode(lists).alias("one")).select("row", "one.g", "one.f")
+            .join(table, "g").groupBy("row").agg(F.sum(F.col("f") * value).alias(name)))
+
+    others = rarer("rest", surprise.select("g", "surprise"), F.col("surprise"), "others")
+    paired = rarer("pairs", gains.select(F.col("k").alias("g"), "gain"), F.col("gain") - UNPAIRED, "paired")
     return (
-        rows.drop("rest").join(others, "row", "left").join(marks, F.col("doc_id") == F.col("_id"), "left")
+        rows.drop("rest", "pairs").join(others, "row", "left").join(paired, "row", "left")
+        .join(marks, F.col("doc_id") == F.col("_id"), "left")
         .select("row", "doc_id", "lang", "chars", (F.col("known") + F.coalesce("others", F.lit(0.0))).alias("nll"),
+                "words", "fresh", (F.col("gained") + F.coalesce("paired", F.lit(0.0))).alias("gain"),
                 F.coalesce("calibrates", F.lit(False)).alias("calibrates")))
 
 
@@ -214,19 +372,27 @@ def classify(docs: DataFrame, labels: DataFrame, width=4.0, slack=0.15, weight=2
     docs = texts(docs, doc_id, text, lang=docs[lang].cast("string"))
     trusted = labels.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("q")).filter("q = 1")
     scored = store(score(docs, trusted, frequent).withColumn(
-        "x", F.when(F.col("chars") > 0, F.col("nll") / F.col("chars"))))
+        "x", F.when(F.col("chars") > 0, F.col("nll") / F.col("chars"))).withColumn(
+        "again", F.log((F.col("words") + FEW_WORDS) / (F.col("fresh") + FEW_WORDS))))
     calibration = scored.filter("calibrates AND x IS NOT NULL")
     at = [0.05, 0.5, 0.95]
 
     def fences(*by):
-        centre = calibration.groupBy(*by).agg(F.percentile_approx("x", 0.5, 10_000).alias("median"))
+        centre = calibration.groupBy(*by).agg(
+            F.percentile_approx("x", 0.5, 10_000).alias("median"),
+            F.percentile_approx(F.col("gain") / F.col("words"), 0.5, 10_000).alias("usual"))
         if by:
             drawn = calibration.join(centre, list(by))
         else:
-            drawn = calibration.withColumn("median", F.lit(centre.first()["median"]).cast("double"))
-        drawn = drawn.withColumn("y", (F.col("nll") + weight * F.col("median")) / (F.col("chars") + weight))
+            drawn = calibration.withColumns({
+                name: F.lit(value).cast("double") for name, value in centre.first().asDict().items()})
+        drawn = drawn.withColumns({
+            "y": (F.col("nll") + weight * F.col("median")) / (F.col("chars") + weight),
+            "z": (F.col("gain") + FEW_WORDS * F.col("usual")) / (F.col("words") + FEW_WORDS)})
         return drawn.groupBy(*by).agg(F.struct(
             F.first("median").alias("median"), F.percentile_approx("y", at, 10_000).alias("q"),
+            F.first("usual").alias("usual"), F.percentile_approx("z", at, 10_000).alias("gain"),
+            F.percentile_approx("again", at, 10_000).alias("again"),
             F.try_divide(F.lit(1.0), F.sqrt(F.count(F.lit(1)))).alias("doubt")).alias("own"))
 
     # One row per language; the fence of all languages is four numbers.
@@ -234,16 +400,24 @@ def classify(docs: DataFrame, labels: DataFrame, width=4.0, slack=0.15, weight=2
     every = fences().first()["own"]
     fenced = scored.join(own, "lang", "left").withColumn("fence", F.coalesce("own", F.struct(
         F.lit(every["median"]).cast("double").alias("median"),
-        F.lit(every["q"]).cast("array<double>").alias("q"), F.lit(every["doubt"]).cast("double").alias("doubt"))))
+        F.lit(every["q"]).cast("array<double>").alias("q"), F.lit(every["usual"]).cast("double").alias("usual"),
+        F.lit(every["gain"]).cast("array<double>").alias("gain"),
+        F.lit(every["again"]).cast("array<double>").alias("again"),
+        F.lit(every["doubt"]).cast("double").alias("doubt"))))
     centre, low, high, doubt = *(F.col("fence.q")[i] for i in (1, 0, 2)), F.col("fence.doubt")
     fenced = fenced.withColumn(
         "y", (F.col("nll") + weight * F.col("fence.median")) / (F.col("chars") + weight)).withColumns({
             "low": centre - F.greatest(F.lit(slack), width * (centre - low)) - doubt,
             "high": centre + F.greatest(F.lit(slack), width * (high - centre)) + doubt})
+    usual, least, most = F.col("fence.gain")[1], F.col("fence.gain")[0], F.col("fence.again")
+    mean_gain = (F.col("gain") + FEW_WORDS * F.col("fence.usual")) / (F.col("words") + FEW_WORDS)
+    shuffled = mean_gain < usual - F.greatest(F.lit(GAIN_SLACK), width * (usual - least)) - doubt
+    repeats = F.col("again") > most[1] + F.greatest(F.lit(AGAIN_SLACK), width * (most[2] - most[1])) + doubt
     return fenced.select(
         "doc_id", "lang", F.exp("x").alias("perplexity"), F.exp("low").alias("low"), F.exp("high").alias("high"),
-        F.coalesce((F.col("x").isNotNull()) & ((F.col("y") < F.col("low")) | (F.col("y") > F.col("high"))),
-                   F.lit(False)).alias("rejected"))
+        (F.col("x").isNotNull() & (
+            F.coalesce((F.col("y") < F.col("low")) | (F.col("y") > F.col("high")), F.lit(False))
+            | F.coalesce(shuffled, F.lit(False)) | F.coalesce(repeats, F.lit(False)))).alias("rejected"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, doc_id="doc_id", **options) -> DataFrame:

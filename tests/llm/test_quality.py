@@ -4,10 +4,12 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from caseflow.llm.quality import AGAIN, END, START, classify, count_grams, gram_surprise, keep_good, word_grams
+from caseflow.llm.quality import (
+    AGAIN, END, START, classify, count_grams, count_pairs, fresh_words, gram_surprise, keep_good, pair_gains, word_grams)
 
 SCHEMA = "doc_id long, text string, lang string, perplexity string, trusted string"
 
@@ -125,3 +127,54 @@ def test_keep_good_and_nothing_trusted(spark, corpus):
     assert classify(docs, labels.limit(0)).filter("rejected").count() == 0
     assert classify(docs.limit(0), labels).collect() == []
     assert classify(docs, labels.withColumn("quality", F.lit(0))).filter("rejected").count() == 0
+
+
+@pytest.fixture(scope="module")
+def prose(spark):
+    """Text in which each word allows few next ones; documents 300 on are shuffled, 400 on repeat a phrase."""
+    rng = random.Random(9)
+    words = ["".join(rng.choice("aeioubdfgklmnprst") for _ in range(rng.randint(3, 8))) for _ in range(400)]
+    after = {w: rng.sample(words, 4) for w in words}
+
+    def text(n):
+        out = [rng.choice(words)]
+        while len(out) < n:
+            out.append(rng.choice(after[out[-1]]))
+        return out
+
+    rows = [(i, " ".join(text(rng.randint(80, 200)))) for i in range(260)]
+    for i in range(20):
+        shuffled = text(150)
+        rng.shuffle(shuffled)
+        rows.append((300 + i, " ".join(shuffled)))
+        rows.append((400 + i, " ".join((text(2 + i // 2) * 150)[:150 + 10 * i])))
+    docs = spark.createDataFrame([(*r, "en") for r in rows], "doc_id long, text string, lang string").repartition(3)
+    return docs, spark.createDataFrame([(i, 1) for i in range(200)], "doc_id long, quality int")
+
+
+@pytest.mark.parametrize("frequent", [3, 500_000])
+def test_shuffled_words_and_repeated_phrases(prose, frequent):
+    docs, labels = prose
+    rejected = {r.doc_id for r in classify(docs, labels, frequent=frequent).collect() if r.rejected}
+    assert set(range(300, 320)) <= rejected
+    assert set(range(400, 420)) <= rejected
+    assert len(rejected - set(range(300, 420))) <= 3
+
+
+def test_gains_of_pairs(spark):
+    texts = ["a b a b", "b c", "a b"]
+    docs = spark.createDataFrame([(t, True) for t in texts] + [("c a", False)], "text string, trusted boolean")
+    pairs = count_pairs(docs)
+    assert sorted(r.c for r in pairs.filter("b IS NOT NULL").collect()) == [1, 1, 1, 2, 3]
+    # (a, b) thrice; 3 of 8 words are a, 4 of them b.
+    for frequent in (0, 1, 500_000):
+        got = [r.gain for r in pair_gains(pairs, frequent).collect() if r.c == 3]
+        assert len(got) == 1 and math.isclose(got[0], math.log(0.5 * 3 * 8 / (3 * 4) + 0.5))
+
+
+def test_fresh_words_by_hand():
+    rows = ["a b c a b c a b c", "c a b c", "x", "y y y y"]
+    distinct = {}
+    codes = np.array([distinct.setdefault(w, len(distinct)) + 1 for r in rows for w in r.split()], np.int64)
+    of_row = np.repeat(np.arange(len(rows)), [len(r.split()) for r in rows])
+    assert fresh_words(codes, of_row, 5).tolist() == [5, 4, 1, 3, 0]
