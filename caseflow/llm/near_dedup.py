@@ -8,8 +8,9 @@ Within a posting list pairs are not all emitted. Each list has a pivot, the node
 the nearest to what the list's documents are copies of. Every node meets the pivots of its lists; pairs that reach the
 match threshold are confirmed on the full shingle sets, and confirmed links join components. Nodes that met one pivot
 form a group, and two nodes that share a posting share a group. A group within one component is skipped. In the others
-the nodes outside the largest component meet all nodes of other components, block by block inside tasks, and only links
-found leave them, so that no link between components is left out.
+a node goes on only if one of its rarest shingles (so many that any link must share one) stands among those of a node of
+another component. The nodes outside the largest component then meet the others that go on, block by block inside tasks,
+and only links found leave them, so that no link between components is left out.
 A pair of similarity 0.8 misses the match threshold with a probability below 1e-6.
 
 Defined cases: a null or empty text, or one without words, has an empty set and is linked with nothing;
@@ -31,8 +32,12 @@ from caseflow.llm.components import components
 COORDINATES = 40
 # Shingles of the rows that meet in one task: on the side of all nodes, and of those outside the largest component.
 BLOCK, STRAY_BLOCK = 200_000, 50_000
-# Columns of the matrices in which a block is counted.
-WIDE = 4096
+# The rows that meet in one task, on the same sides.
+ROWS, STRAY_ROWS = 20_000, 5_000
+# Pairs of equal shingles, and of rows, that are counted at once.
+CELLS = 1 << 22
+# Shingles known by how common they are, at most.
+COMMON = 200_000
 # Shingles whose coordinates are computed at once.
 CHUNK = 1 << 15
 
@@ -219,38 +224,97 @@ def block_links(strays: pa.Table, others: pa.Table, percent):
 
     (u, lu, a, na), (v, lv, b, nb) = read(strays), read(others)
     every_a, every_b = np.concatenate(a), np.concatenate(b)
-    row_a, row_b = np.repeat(np.arange(len(a)), na), np.repeat(np.arange(len(b)), nb)
-    shared = np.intersect1d(every_a, every_b)
-    both = np.zeros((len(a), len(b)), np.float32)
-    for start in range(0, len(shared), WIDE):
-        some = shared[start:start + WIDE]
-
-        def columns(every, row, n):
-            at = np.minimum(np.searchsorted(some, every), len(some) - 1)
-            here = some[at] == every
-            dense = np.zeros((n, len(some)), np.float32)
-            dense[row[here], at[here]] = 1
-            return dense
-
-        both += columns(every_a, row_a, len(a)) @ columns(every_b, row_b, len(b)).T
-    linked = (100 * both >= percent * (na[:, None] + nb[None, :] - both)) & (lu[:, None] != lv[None, :])
-    i, j = np.nonzero(linked)
-    first = np.unique(np.stack([i, lv[j]]), axis=1, return_index=True)[1]
-    return u[i[first]], v[j[first]]
+    row_b = np.repeat(np.arange(len(b)), nb)
+    order = np.argsort(every_b)
+    every_b, row_b = every_b[order], row_b[order]
+    low = np.searchsorted(every_b, every_a)
+    many = np.searchsorted(every_b, every_a, "right") - low
+    ends = np.cumsum(na)
+    work = np.concatenate([[0], np.cumsum(many)])[ends]
+    start, done, found = 0, 0, []
+    while start < len(a):
+        end = max(start + 1, min(int(np.searchsorted(work, done + CELLS, "right")), start + CELLS // len(b)))
+        some = slice(ends[start] - na[start], ends[end - 1])
+        n = many[some]
+        row = np.repeat(np.repeat(np.arange(end - start), na[start:end]), n)
+        at = np.repeat(low[some] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        both = np.bincount(row * len(b) + row_b[at], minlength=(end - start) * len(b))
+        cell = np.flatnonzero(both)
+        i, j = cell // len(b) + start, cell % len(b)
+        linked = (100 * both[cell] >= percent * (na[i] + nb[j] - both[cell])) & (lu[i] != lv[j])
+        i, j = i[linked], j[linked]
+        first = np.unique(np.stack([i, lv[j]]), axis=1, return_index=True)[1]
+        found.append((i[first], j[first]))
+        start, done = end, int(work[end - 1])
+    i, j = (np.concatenate(x) for x in zip(*found))
+    return u[i], v[j]
+
+
+def common_shingles(sets: DataFrame):
+    """(shingles, how many nodes hold them) of the most common ones, in order of the shingles."""
+    def count(batches):
+        for batch in batches:
+            if batch.num_rows:
+                unique, n = np.unique(np.frombuffer(b"".join(batch.column("shingles").to_pylist()), np.int64),
+                                      return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(unique), pa.array(n)], ["s", "n"])
+
+    counted = sets.select("shingles").mapInArrow(count, "s long, n long").groupBy("s").agg(F.sum("n").alias("n"))
+    top = counted.filter("n > 1").orderBy(F.desc("n"), "s").limit(COMMON).toArrow()
+    s, n = top["s"].to_numpy(), top["n"].to_numpy()
+    order = np.argsort(s)
+    return s[order], n[order]
+
+
+def may_link(sets: DataFrame, percent) -> DataFrame:
+    """The nodes of (node, label, shingles) that may be linked to one of another label. A link shares percent of either
+    set, so it shares one of the first shingles of both in any order; here the rarest come first."""
+    known = sets.sparkSession.sparkContext.broadcast(common_shingles(sets))
+
+    def post(batches):
+        common, times = known.value
+        for batch in batches:
+            node, label, tokens = [], [], []
+            for i, x in enumerate(batch.column("shingles")):
+                own = np.frombuffer(x.as_buffer(), np.int64)
+                n = np.zeros(len(own), np.int64)
+                if len(common):
+                    at = np.minimum(np.searchsorted(common, own), len(common) - 1)
+                    n = np.where(common[at] == own, times[at], 0)
+                first = np.lexsort((own, n))[:len(own) - -(-percent * len(own) // 100) + 1]
+                tokens.append(own[first])
+                node.append(np.full(len(first), batch.column("node")[i].as_py()))
+                label.append(np.full(len(first), batch.column("label")[i].as_py()))
+            if tokens:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(c)) for c in (tokens, node, label)], ["token", "node", "label"])
+
+    posted = store(sets.mapInArrow(post, "token long, node long, label long"))
+    lists = store(
+        posted.groupBy("token").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.count(F.lit(1)).alias("n"))
+        .filter("a <> b").select("token", "n"))
+    return spread_join(posted, lists, "token", hot_keys(lists, "token", "n")).select("node").distinct()
 
 
 def _remaining(met, labels, sets, percent):
     """Links between the components of a group that its pivot has not joined."""
     sized = sets.select("node", (F.octet_length("shingles") / 8).cast("long").alias("size"))
-    rows = met.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")).join(sized, "node")
+    rows = store(met.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")).join(sized, "node"))
+    several = rows.groupBy("pivot").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter("a <> b")
+    inside = rows.join(several.select("pivot"), "pivot", "left_semi").select("node", "label").distinct()
+    able = store(may_link(store(inside.join(sets, "node")), percent))
+    rows = rows.join(able, "node", "left_semi")
     parts = rows.groupBy("pivot", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
     groups = store(
         parts.groupBy("pivot").agg(
             F.max_by("label", F.struct("n", "label")).alias("main"), F.max("n").alias("most"), F.sum("n").alias("n"),
             F.sum("size").alias("size"), F.max_by("size", F.struct("n", "label")).alias("main_size"))
+        .withColumn("strays", F.col("n") - F.col("most"))
         .filter("n > most")
-        .select("pivot", "main", "n", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"),
-                F.ceil((F.col("size") - F.col("main_size")) / STRAY_BLOCK).cast("int").alias("stray_blocks")))
+        .select("pivot", "main", "n",
+                F.ceil(F.greatest(F.col("size") / BLOCK, F.col("n") / ROWS)).cast("int").alias("blocks"),
+                F.ceil(F.greatest((F.col("size") - F.col("main_size")) / STRAY_BLOCK, F.col("strays") / STRAY_ROWS))
+                .cast("int").alias("stray_blocks")))
     mixed = store(spread_join(rows.drop("size"), groups, "pivot", hot_keys(groups, "pivot", "n")))
 
     def dealt(rows, own, n, other, m):

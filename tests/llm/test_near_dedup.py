@@ -4,10 +4,13 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
+from caseflow.llm import near_dedup as module
 from caseflow.llm.components import components
-from caseflow.llm.near_dedup import keep_first, near_dedup
+from caseflow.llm.near_dedup import block_links, keep_first, may_link, near_dedup
 
 SCHEMA = "doc_id long, text string, signature string, node string"
 
@@ -122,3 +125,56 @@ def test_large_group_of_edited_copies(spark):
         rows += [(2 * i, " ".join(far)), (2 * i + 1, " ".join(edited(rng, far, 1)))]
     got = near_dedup(frame(spark, rows), width=4).collect()
     assert sorted(map(tuple, got), key=repr) == brute(rows, 4)
+
+
+def test_short_texts_that_share_a_shingle(spark, monkeypatch):
+    # Five words that differ in the last: one shingle of two in common, so no links, but one group.
+    blocks = []
+    kept = module._remaining
+
+    def seen(met, labels, sets, percent):
+        blocks.append(may_link(sets.withColumn("label", sets["node"]), percent).count())
+        return kept(met, labels, sets, percent)
+
+    monkeypatch.setattr(module, "_remaining", seen)
+    rows = [(i, f"all of these share w{i}") for i in range(3000)]
+    # Longer ones with the same start, some of them linked.
+    for i in range(40):
+        same = [f"z{i}x{k}" for k in range(30)]
+        rows.append((5000 + 2 * i, " ".join(["all of these share", *same])))
+        rows.append((5001 + 2 * i, " ".join(["all of these share", *same[:-1], "end"])))
+    got = near_dedup(frame(spark, rows), width=4).collect()
+    assert sorted(map(tuple, got), key=repr) == brute(rows, 4)
+    # The texts that cannot be linked meet nobody.
+    assert blocks[0] <= 80
+
+
+def test_block_of_many_rows_takes_bounded_memory():
+    import tracemalloc
+
+    def table(nodes):
+        sets = [np.unique(np.array([7, 1000 + i], np.uint64)).tobytes() for i in nodes]
+        return pa.table({"node": list(nodes), "label": list(nodes), "shingles": pa.array(sets, pa.binary())})
+
+    tracemalloc.start()
+    u, v = block_links(table(range(2000)), table(range(1990, 21990)), 80)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(u) == 0 and peak < 400 << 20
+
+
+@pytest.mark.parametrize("cells", [1, 50, 1 << 22])
+def test_links_of_a_block(monkeypatch, cells):
+    monkeypatch.setattr(module, "CELLS", cells)
+    rng = random.Random(8)
+    sets = [np.array(sorted(rng.sample(range(12), rng.randint(1, 12))), np.uint64) for _ in range(60)]
+    label = [i % 7 for i in range(60)]
+
+    def table(nodes):
+        return pa.table({"node": list(nodes), "label": [label[i] for i in nodes],
+                         "shingles": pa.array([sets[i].tobytes() for i in nodes], pa.binary())})
+
+    u, v = block_links(table(range(20)), table(range(60)), 80)
+    want = {(i, label[j]) for i in range(20) for j in range(60) if label[i] != label[j]
+            and 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j]))}
+    assert sorted((int(i), label[j]) for i, j in zip(u, v)) == sorted(want)
