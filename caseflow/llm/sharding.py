@@ -4,9 +4,9 @@ Every shard walks the slots of a table of prime size in an order of its own and
 next free slot, so each owns nearly the same number of slots, and a shard that comes or goes moves few others.
 The table has a fixed size whatever the data, so it is broadcast, and a row finds its shard by one lookup.
 
-Defined cases: a null key is one key of its own; equal keys share a shard; a key that owns more than ``spread_rows``
-rows may be spread by passing several key columns (the rows of one document stay together by default); an empty table
-gives an empty result; an input column named slot or shard is not read.
+Defined cases: a null key is one key of its own; equal keys share a shard, whose rows are dealt over its files by their
+values, so that a frequent key fills all of them; a key's rows go to several shards by passing several key columns; an
+empty table gives an empty result; an input column named slot or shard is not read.
 """
 
 import hashlib
@@ -58,7 +58,9 @@ def place(rows: DataFrame, keys, shards, size=TABLE_SIZE) -> DataFrame:
 def write_shards(rows: DataFrame, keys, shards, path, files_per_shard=1, size=TABLE_SIZE):
     """Write one folder per shard; a shard's rows are dealt over ``files_per_shard`` tasks."""
     placed = place(rows, keys, shards, size)
-    # A shard's slots are dealt over its tasks.
+    # Maps cannot be hashed.
+    values = [F.col(f"`{f.name}`") for f in placed.schema if "map<" not in f.dataType.simpleString()]
+    # A shard's rows are dealt over its tasks by their values, which a task that runs again finds unchanged.
     dealt = placed.repartition(
-        max(1, len(list(shards)) * files_per_shard), "shard", F.pmod("slot", F.lit(files_per_shard)))
+        max(1, len(list(shards)) * files_per_shard), "shard", F.pmod(F.xxhash64(*values), F.lit(files_per_shard)))
     dealt.write.partitionBy("shard").parquet(path)

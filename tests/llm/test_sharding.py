@@ -34,3 +34,11 @@ def test_rows(spark, folder):
     write_shards(docs, ["doc_id"], ["a", "b", "c"], folder + "/out", files_per_shard=2, size=101)
     assert spark.read.parquet(folder + "/out").count() == 300
     assert place(docs.limit(0), ["doc_id"], ["a"], 101).collect() == []
+
+
+def test_frequent_key_fills_the_files_of_its_shard(spark, folder):
+    docs = spark.createDataFrame([(7, f"text {i}") for i in range(400)], "doc_id long, text string")
+    write_shards(docs, ["doc_id"], ["a", "b", "c"], folder + "/hot", files_per_shard=8, size=101)
+    files = spark.read.parquet(folder + "/hot").groupBy("_metadata.file_path").count().collect()
+    assert sum(r["count"] for r in files) == 400
+    assert len(files) > 1 and max(r["count"] for r in files) < 400
