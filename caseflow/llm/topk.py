@@ -4,7 +4,8 @@ Vectors become integers, equal vectors one class (of which the k + 1 smallest id
 blocks of bounded size. Each block of queries meets each block of candidates once. There every dimension is a sorted
 list, read from the end that the sign of the query's component favours; vectors met in any list are scored in full, and
 the reading stops when even a vector with the last component read in every list would score less than the
-kth result. The blocks' results are merged.
+kth result. Where the lists would be read so deep that depth times dimensions reaches twice the block, the block is
+scanned in full instead, which is exact too. The blocks' results are merged.
 
 Defined cases: a null vector, or one with null, NaN or infinite components, takes no part, nor does a null id; vectors of
 different lengths are not compared; equal scores go to the smaller id; repeated rows of an id and a vector are one;
