@@ -33,9 +33,15 @@ def parse_event_text(text: Column) -> Column:
         F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss.SSSSSS")))
 
 
+def _micros(ts):
+    """Microseconds from the epoch; a time without zone counts as UTC, whatever the session zone."""
+    zoneless = F.try_to_timestamp(F.concat(ts.cast("string"), F.lit("+00:00")))
+    return F.unix_micros(F.when(F.typeof(ts) == "timestamp_ntz", zoneless).otherwise(ts.cast("timestamp")))
+
+
 def _utc_text(ts, fraction):
     """Date and time in UTC, whatever the session zone: counted from the epoch without a zone."""
-    micros = F.unix_micros(ts)
+    micros = _micros(ts)
     seconds = F.floor(micros / F.lit(1000000)) if not fraction else micros / F.lit(1000000).cast("decimal(20,0)")
     text = (F.expr("timestamp_ntz'1970-01-01 00:00:00'")
             + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))).cast("string")

@@ -81,3 +81,14 @@ def test_urgent_words(spark, raw, urgent):
 def test_one_decimal(spark):
     for raw, expected in (("24.04", "24.0"), ("0.25", "0.3"), ("67072.56", "67072.6"), ("-1.5", "-1.5")):
         assert one(spark, raw, lambda v: text.one_decimal(v.cast("double"))) == expected
+
+
+def test_iso_of_zoneless_times(spark):
+    row = spark.sql("select timestamp_ntz'2024-03-31 02:30:00.5' as t, timestamp_ntz'1969-12-31 23:59:59' as u")
+    for zone in ("UTC", "Europe/Berlin", "America/New_York"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            got = row.select(instants.iso_utc(F.col("t")), instants.iso_offset(F.col("t")), instants.iso_utc(F.col("u"))).first()
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        assert tuple(got) == ("2024-03-31T02:30:00Z", "2024-03-31T02:30:00.500000+00:00", "1969-12-31T23:59:59Z")

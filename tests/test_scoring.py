@@ -6,7 +6,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from caseflow.operators import evaluate, features, predict, rollup, rules
-from caseflow.schemas import EVALUATION_COLUMNS, PREDICTION_COLUMNS
+from caseflow.schemas import EVALUATION_COLUMNS, LOG_COLUMNS, PREDICTION_COLUMNS
 from conftest import plan_of
 
 AS_OF = "2024-01-16 12:00:00"
@@ -163,7 +163,7 @@ def test_chat_log_and_columns(world):
     got = by_customer(predict.project_predictions(out))
     assert got["silent"]["chat_log"] == ""
     assert got["quiet"]["chat_log"] == "quiet: x\nquiet: x"
-    assert tuple(got["quiet"].asDict()) == PREDICTION_COLUMNS
+    assert tuple(got["quiet"].asDict()) == PREDICTION_COLUMNS + LOG_COLUMNS
 
 
 @pytest.mark.parametrize("answer, message, reasoning, error", [
@@ -222,7 +222,7 @@ def test_evaluation(world):
         "busy": "escalated", "done": "pending_customer_reply", "quiet": "resolved",
         "silent": "resolved"}
     assert got["done"]["chat_log"] == "Customer: thanks\n" and got["silent"]["chat_log"] == ""
-    assert tuple(got["done"].asDict()) == EVALUATION_COLUMNS
+    assert tuple(got["done"].asDict()) == EVALUATION_COLUMNS + LOG_COLUMNS
     assert evaluate.evaluate(profiles, df, AS_OF, n=2).count() == 2
 
 
