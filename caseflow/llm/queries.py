@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from caseflow.llm.alignment import align_tokens
 from caseflow.llm.exact_dedup import exact_dedup
 from caseflow.llm.hard_negatives import hard_negatives
 from caseflow.llm.language_id import identify
@@ -63,6 +64,10 @@ def op10_topk(spark, sf_dir):
     return top_k(_table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0", k=20)
 
 
+def op11_token_alignment(spark, sf_dir):
+    return align_tokens(_table(spark, sf_dir, "documents"))
+
+
 def op12_main_text(spark, sf_dir):
     return main_text(_table(spark, sf_dir, "pages"))
 
@@ -83,6 +88,7 @@ QUERIES = {
     "op8_near_dedup": op8_near_dedup,
     "op9_sharding": op9_sharding,
     "op10_topk": op10_topk,
+    "op11_token_alignment": op11_token_alignment,
     "op12_main_text": op12_main_text,
     "op13_hard_negatives": op13_hard_negatives,
 }
