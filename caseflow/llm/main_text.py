@@ -107,6 +107,13 @@ LABELLED = """
 12 0.0 51 0.0 47 0.1 0 0 1
 4 0.0 120 0.0 90 0.0 0 0 1
 8 0.0 0 0.0 52 0.0 0 0 1
+4 0.0 2 1.0 21 0.0 0 0 1
+2 0.0 0 0.0 18 0.0 0 0 1
+3 0.0 22 0.0 20 0.0 0 0 1
+1 0.0 25 0.0 23 0.05 0 0 1
+6 0.0 16 0.0 15 0.0 0 0 1
+22 0.0 1 0.0 23 0.05 0 0 1
+16 0.0 20 0.0 0 0.0 0 0 1
 10 0.0 35 0.0 41 0.0 0 0 1
 2 1.0 1 1.0 2 1.0 0 0 0
 3 1.0 2 1.0 9 0.0 0 0 0
@@ -129,6 +136,9 @@ LABELLED = """
 3 0.0 0 0.0 2 1.0 0 0 0
 8 0.3 5 0.0 0 0.0 0 0 0
 2 0.0 8 0.0 1 1.0 0 0 0
+4 0.0 30 0.0 8 0.0 0 0 0
+5 0.0 24 0.0 9 1.0 0 0 0
+3 0.0 22 0.0 2 0.0 0 0 0
 6 0.5 2 0.0 9 0.0 0 0 0
 """
 
