@@ -19,12 +19,14 @@ whole; an empty table gives an empty result; other columns are not read.
 """
 
 import hashlib
+import json
 import os
 import re
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -68,14 +70,46 @@ class Vocabulary:
         return self.bytes[np.repeat(self.begin[ids] - before, sizes) + np.arange(int(sizes.sum()))]
 
 
+class ByteEncoder:
+    """A's ids of texts. Where the vocabulary is a plain byte-level BPE whose ids follow its merges, texts of Latin letters are
+    encoded by its ranks, which is four times as fast and gives the same ids; all others by the tokenizer itself."""
+
+    # Letters whose class no version of Unicode changes, and no run of white space that a pattern goes back over at length.
+    SAFE = re.compile("[^\0-\u024f]|\\s{500}")
+
+    def __init__(self, vocabulary):
+        self.tokenizer = load_tokenizer(vocabulary)
+        self.tokenizer.encode_special_tokens = True
+        letters = byte_letters()
+        self.pieces = [b""] * self.tokenizer.get_vocab_size()
+        for token, i in self.tokenizer.get_vocab().items():
+            self.pieces[i] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
+        self.ranks = None
+        said = json.loads(self.tokenizer.to_str())
+        model, cut = said["model"], said["pre_tokenizer"] or {}
+        plain = (
+            said["normalizer"] is None and cut.get("type") == "ByteLevel" and cut.get("use_regex", True)
+            and not cut["add_prefix_space"] and model["type"] == "BPE" and not model["dropout"]
+            and not model.get("ignore_merges"))
+        if plain:
+            merged = ["".join(merge) if isinstance(merge, list) else merge.replace(" ", "") for merge in model["merges"]]
+            if all(model["vocab"].get(token) == 256 + i for i, token in enumerate(merged)):
+                self.ranks = tiktoken.Encoding(
+                    "ranks", pat_str=public_tokenizers.PATTERN, special_tokens={},
+                    mergeable_ranks={self.pieces[i]: i for i in range(256 + len(merged))})
+
+    def encode(self, texts_):
+        ids = [None if self.ranks is None or self.SAFE.search(text) else self.ranks.encode_ordinary(text) for text in texts_]
+        others = [i for i, found in enumerate(ids) if found is None]
+        coded = self.tokenizer.encode_batch_fast([texts_[i] for i in others], add_special_tokens=False)
+        for i, one in zip(others, coded):
+            ids[i] = one.ids
+        return ids
+
+
 def load_a(vocabulary=A_VOCABULARY):
-    tokenizer = load_tokenizer(vocabulary)
-    tokenizer.encode_special_tokens = True
-    letters = byte_letters()
-    pieces = [b""] * tokenizer.get_vocab_size()
-    for token, i in tokenizer.get_vocab().items():
-        pieces[i] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
-    return tokenizer, Vocabulary(pieces, PAIR_BITS - B_BITS)
+    encoder = ByteEncoder(vocabulary)
+    return encoder, Vocabulary(encoder.pieces, PAIR_BITS - B_BITS)
 
 
 def load_b(vocabulary=B_VOCABULARY):
@@ -164,10 +198,10 @@ def linked_pairs(a_ids, b_ids, a_count, b_count, doc_of_group):
 def align(texts_, a, b, piece=PIECE):
     """Per text: (n_a, n_b, n_groups, n_links, digest), and the distinct pairs: (begins, pairs, frequencies)."""
     n = len(texts_)
-    tokenizer, a_bytes = a
+    encoder, a_bytes = a
     model, b_bytes = b
     full = [i for i, text in enumerate(texts_) if text]
-    coded_a = [c.ids for c in tokenizer.encode_batch_fast([" " + texts_[i] for i in full], add_special_tokens=False)]
+    coded_a = encoder.encode([" " + texts_[i] for i in full])
     coded_b = model.encode([texts_[i] for i in full], num_threads=1)
     docs, a_lists, b_lists = [], [], []
     for i, a_ids, b_ids in zip(full, coded_a, coded_b):

@@ -111,3 +111,14 @@ def test_large_groups_count_like_small_ones(monkeypatch):
     want = [x.tolist() for x in linked_pairs(*args)]
     monkeypatch.setattr(alignment, "LARGE", 100)
     assert [x.tolist() for x in linked_pairs(*args)] == want
+
+
+def test_ranks_give_the_ids_of_the_tokenizer():
+    encoder = alignment.ByteEncoder(alignment.A_VOCABULARY)
+    assert encoder.ranks is not None
+    texts_ = [" " + shape.replace("*", chr(c)) for c in range(0x250)
+              for shape in ("*", "a*b 1*2", " **  *x", "*\n*", "it*s 's*", "\t* *.*9 *", "don't'*LL")]
+    texts_ += [" " + text for _, text in texts() if text] + [" " * 400 + "x", " \n" * 200, "a" * 100_000, " " * 2000 + "x"]
+    whole = [c.ids for c in encoder.tokenizer.encode_batch_fast(texts_, add_special_tokens=False)]
+    assert encoder.encode(texts_) == whole
+    assert sum(not encoder.SAFE.search(text) for text in texts_) > 0x250 * 7
