@@ -22,12 +22,16 @@ def _collect(rows, *keys):
         F.sort_array(F.collect_list(F.struct("order", "item"))).alias("items"))
 
 
-def _single(rows):
-    return _collect(rows, "customer_id").withColumns({
+def _whole(collected):
+    return collected.withColumns({
         "part": F.lit(0).cast("long"), "parts": F.lit(1).cast("long"),
         "offset": F.lit(0).cast("long")})
 
 
+def _single(rows):
+    return _whole(_collect(rows, "customer_id"))
+
+
 def _split(rows, part_bits):
     """Histories that need several parts.
 
@@ -86,6 +90,29 @@ def history_parts(
     return single.select(columns).unionByName(split.select(columns))
 
 
+def bucketed_parts(
+        history: DataFrame, long_part: DataFrame, long: DataFrame, item, key, part_bits=PART_BITS) -> DataFrame:
+    """The parts of ``history_parts`` from a history bucketed by ``key``: only customers in ``long`` are shuffled.
+
+    ``long_part`` holds further messages of the customers in ``long``.
+    """
+    long = long.select(F.col(long.columns[0]).alias(key), F.lit(True).alias("is_long"))
+
+    def shaped(rows):
+        return rows.select(key, F.struct(*BY_TIME).alias("order"), item.alias("item"), "is_long")
+
+    if is_small(long):
+        marked = shaped(history.join(F.broadcast(long), key, "left"))
+    else:
+        marked = shaped(history.join(long, key, "left"))
+    single = _whole(marked.filter("is_long is null").groupBy(key).agg(
+        F.sort_array(F.collect_list(F.struct("order", "item"))).alias("items")))
+    rows = marked.filter("is_long").unionByName(shaped(long_part.withColumn("is_long", F.lit(True))))
+    split = _split(rows.select(F.col(key).alias("customer_id"), "order", "item"), part_bits)
+    columns = ["customer_id", "part", "parts", "offset", "items"]
+    return single.withColumnRenamed(key, "customer_id").select(columns).unionByName(split.select(columns))
+
+
 def join_parts(customers: DataFrame, parts: DataFrame, long) -> DataFrame:
     """Left join of unique customers to their history parts.
 
@@ -114,8 +141,8 @@ def collect_history(df: DataFrame, part_bits=PART_BITS, long=FIND) -> DataFrame:
 
 def chat_log(
         df: DataFrame, variant="prediction", key="participant_external_id", order=BY_TIME,
-        speaker=None, text="content_text", part_bits=PART_BITS, long=FIND) -> DataFrame:
-    """The history as lines of ``speaker: text``.
+        speaker=None, text="content_text", part_bits=PART_BITS, long=FIND, parts=None) -> DataFrame:
+    """The history as lines of ``speaker: text``. ``parts`` makes the parts of the lines where they are not made from ``df``.
 
     ``prediction`` names the speaker and strips the whole log; ``evaluation`` calls everyone
     ``Customer`` and ends every line with a newline. The whole log is its parts in order, with a newline between
@@ -137,8 +164,8 @@ def chat_log(
             .otherwise(joined))
     else:
         raise ValueError(f"unknown chat log variant: {variant}")
-    return history_parts(df, line, key, order, part_bits, long).select(
-        "customer_id", "part", "parts", joined.alias("chat_log"))
+    found = parts(line) if parts else history_parts(df, line, key, order, part_bits, long)
+    return found.select("customer_id", "part", "parts", joined.alias("chat_log"))
 
 
 def render_history(df: DataFrame, part_bits=PART_BITS, long=FIND) -> DataFrame:

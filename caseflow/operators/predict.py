@@ -53,21 +53,25 @@ def history_of_few(interactions: DataFrame, chosen: DataFrame, count) -> DataFra
     return interactions.join(F.broadcast(ids), "participant_external_id", "left_semi")
 
 
-def recommend(profiles, interactions, as_of, rules=DEFAULT_RULES) -> DataFrame:
-    """Channel and reason for profiles that are unique by customer; no history is an empty one."""
+def recommend(profiles, interactions, as_of, rules=DEFAULT_RULES, known=None) -> DataFrame:
+    """Channel and reason for profiles that are unique by customer; no history is an empty one.
+
+    ``known``: the activity of the customers, where it need not be found from the interactions.
+    """
     return (
-        with_history(profiles, activity(interactions, as_of))
+        with_history(profiles, activity(interactions, as_of) if known is None else known)
         .fillna(ACTIVITY_DEFAULTS)
         .transform(decide, rules))
 
 
 def predict(
         profiles: DataFrame, conversations: DataFrame, interactions: DataFrame, as_of, limit=None,
-        rules=DEFAULT_RULES, responses: DataFrame = None, skip_resolved=True) -> DataFrame:
+        rules=DEFAULT_RULES, responses: DataFrame = None, skip_resolved=True, activity: DataFrame = None) -> DataFrame:
     """One prediction per customer whose conversation is not resolved.
 
     ``limit`` takes the first customers before anything else is read. ``responses`` (customer_id,
     response) carries enhancement answers; without one the rule reason is both message and reasoning.
+    ``activity``: what the rules read, where it need not be found from the interactions.
     """
     profiles = customers(profiles)
     if limit is not None:
@@ -76,7 +80,16 @@ def predict(
     cases = with_conversation(profiles, conversations)
     if skip_resolved:
         cases = open_only(cases)
-    decided = recommend(cases, interactions, as_of, rules)
+    decided = recommend(cases, interactions, as_of, rules, activity)
+    return _answered(decided, as_of, responses)
+
+
+def answer(cases: DataFrame, as_of, rules=DEFAULT_RULES) -> DataFrame:
+    """Predictions for rows that hold their activity already."""
+    return _answered(decide(cases, rules), as_of)
+
+
+def _answered(decided, as_of, responses=None):
     if responses is None:
         answered = decided.withColumn("response", F.lit(None).cast("string"))
     else:

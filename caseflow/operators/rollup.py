@@ -19,12 +19,17 @@ def build_conversations(df: DataFrame, as_of, brand="brand", inbound_only=False)
     rows = df.filter(F.col("participant_external_id") != "")
     if inbound_only:
         rows = rows.filter(F.lower("inbound") == "true")
-    return (
-        rows.groupBy(F.col("participant_external_id").alias("customer_id"))
-        .agg(
+    return as_conversations(
+        rows.groupBy(F.col("participant_external_id").alias("customer_id")).agg(
             F.min("interaction_timestamp").alias("conversation_start_timestamp"),
             F.max("interaction_timestamp").alias("conversation_end_timestamp"),
-            F.count(F.lit(1)).alias("total_interactions"))
+            F.count(F.lit(1)).alias("total_interactions")), as_of, brand)
+
+
+def as_conversations(spans: DataFrame, as_of, brand="brand") -> DataFrame:
+    """Conversations from the count and the first and last time of each customer."""
+    return (
+        spans
         .withColumns({
             "conversation_id": F.md5(F.concat_ws("|", F.lit("conversation"), "customer_id")),
             "brand_account_id": F.lit(brand),

@@ -54,6 +54,21 @@ FEATURES = _struct(
     avg_message_length=_D, contains_urgent_keywords=_B, has_escalation_words=_B, response_pattern=_S,
     created_at=_TS)
 
+STREAM_BATCH = _struct(
+    records=_L, without_time=_L, without_id=_L, left_out_late=_L, left_out_copy=_L, left_out_stored=_L,
+    left_out_no_text=_L, stored=_L, max_timestamp=_TS, number=_L, stream=_S, batch=_L)
+
+# The kept tables: one row per customer and hour, one per customer, one per message, one per merged load.
+CUSTOMER_HOURS = _struct(
+    customer_id=_S, hour=_TS, n=_L, first_time=_TS, last_time=_TS, characters=_L, urgent=_B, escalating=_B,
+    event_month=T.DateType())
+CUSTOMER_STATE = _struct(
+    customer_id=_S, total_interactions=_L, without_time=_L, first_time=_TS, last_time=_TS, characters=_L, urgent=_B,
+    escalating=_B)
+HISTORY = _struct(
+    participant_external_id=_S, interaction_timestamp=_TS, external_id=_S, content_text=_S)
+KEPT_BATCHES = _struct(batch_id=_S)
+
 # The row model an interaction has to satisfy before it is stored.
 INTERACTION_MODEL = _struct(
     interaction_id=_S, external_id=_S, platform_type=_S, participant_external_id=_S,

@@ -20,11 +20,12 @@ SCHEMAS = {
     "customer_features": schemas.FEATURES,
     "watermarks_current": schemas.WATERMARK,
     "runs_current": schemas.RUN,
+    "stream_batches": schemas.STREAM_BATCH,
 }
 # Tables that are replaced as a whole: a new version is written next to the others, then one row in the list of
 # versions makes it the current one, so a reader never meets half a table.
 VERSIONED = ("conversations", "customer_profiles", "customer_features", "watermarks_current", "runs_current")
-PARTITIONS = {"interactions": ("batch_id", "event_month")}
+PARTITIONS = {"interactions": ("batch_id", "event_month"), "stream_batches": ("stream", "batch")}
 SORT_KEYS = {
     "interactions": ("platform_type", "interaction_timestamp", "external_id"),
     "ingestion_watermarks": ("pipeline_name", "platform_type", "updated_at"),

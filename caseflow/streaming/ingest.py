@@ -112,11 +112,6 @@ def store_micro_batch(batch: DataFrame, number, root, as_of, profile="flag", del
         f"{tables.path_of(root, METRICS)}/stream={name}/batch={number}")
 
 
-_BATCH = (
-    "records long, without_time long, without_id long, left_out_late long, left_out_copy long, left_out_stored long, "
-    "left_out_no_text long, stored long, max_timestamp timestamp, number long, stream string, batch long")
-
-
 def stream_ingest(
         spark: SparkSession, in_dir, root, checkpoint, as_of=None, profile="flag", delay=None,
         max_files_per_trigger=None, name="stream", encoding="UTF-8"):
@@ -134,8 +129,6 @@ def stream_ingest(
 
     with job_settings(spark):
         tables.ensure_tables(spark, root)
-        spark.createDataFrame([], _BATCH).write.mode("append").partitionBy("stream", "batch").parquet(
-            tables.path_of(root, METRICS))
         query = (
             tweet_stream(spark, in_dir, encoding, max_files_per_trigger).writeStream
             .foreachBatch(store)
@@ -148,7 +141,7 @@ def stream_ingest(
 
 def stream_batches(spark: SparkSession, root, name="stream") -> DataFrame:
     """One row per stored micro-batch, counted from what was written."""
-    return spark.read.schema(_BATCH).parquet(tables.path_of(root, METRICS)).filter(F.col("stream") == name)
+    return tables.table(spark, root, METRICS).filter(F.col("stream") == name)
 
 
 def stream_metrics(spark: SparkSession, root, name="stream") -> dict:

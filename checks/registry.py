@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from caseflow.functions import instants
 from caseflow.operators import (
     conform, evaluate, explore, features, history, lookup, normalize, predict, quality, rollup, rules)
+from caseflow.plans import kept as keeping
 from caseflow.plans.ingest import drop_stored, ingest
 from caseflow.plans.rollups import build_rollups
 from caseflow.plans.scoring import evaluate_batch, predict_batch
@@ -115,6 +116,12 @@ FROM decided LEFT JOIN (
   SELECT *, coalesce(CASE WHEN json_valid(response) THEN json_type(response) = 'OBJECT' END, false)
     AS ok FROM response) r ON decided.customer_id = r.customer_id""",
 }
+# The same over rows that were loaded from CSV up to a mark, which leaves rows without a time out.
+_LOADED = "FROM csv_tweets WHERE interaction_timestamp IS NOT NULL"
+_CTES["kept_act"] = _CTES["act"].replace("FROM interactions", _LOADED)
+_CTES["kept_logs"] = _CTES["logs"].replace("FROM interactions", _LOADED)
+_CTES["kept_decided"] = _CTES["decided"].replace("prof", "kept_act").replace(
+    "FROM kept_act LEFT JOIN act ON kept_act.customer_id = act.customer_id", "FROM kept_act")
 # What each CTE reads, so that an oracle names only those it needs.
 _ORDER = list(_CTES)
 
@@ -1057,6 +1064,99 @@ def evaluate_batch_export(spark, sf):
         "customer_id", "channel", "send_time", "issue_status", "chat_log")
 
 
+# --- tables kept up load by load -------------------------------------------------------------------
+
+_TIMED = _CTES["conv"].replace("FROM interactions", _LOADED)
+
+
+_KEPT = {}
+
+
+def _kept(spark, sf, **options):
+    """Three loads up to three marks, each merged before the next; made once in a session."""
+    key = (spark.sparkContext.applicationId, sf, *sorted(options.items()))
+    if key not in _KEPT:
+        _KEPT[key] = _keep(spark, sf, options)
+    return _KEPT[key]
+
+
+def _keep(spark, sf, options):
+    root, raw = fx.new_folder(spark, "tables"), fx.raw_tweets(spark, sf)
+    for mark in ("2024-01-10 00:00:00", MARK, "2030-01-01 00:00:00"):
+        folder = fx.new_folder(spark, "tweets")
+        sinks.write_csv(raw.filter(
+            instants.parse_created_at(F.col("created_at")) <= instants.instant(mark)), folder)
+        _done(ingest(spark, folder, root, AS_OF, "flag"))
+        keeping.keep_up(spark, root, AS_OF, buckets=8, **options)
+    return root
+
+
+@query(_CONVERSATION.replace("FROM conv", f"FROM ({_TIMED}) conv"), "csv_tweets")
+def rollups_incremental(spark, sf):
+    return naive(tables.conversations(spark, _kept(spark, sf)))
+
+
+@query(_FEATURES.replace("FROM interactions", _LOADED), "csv_tweets")
+def features_incremental(spark, sf):
+    return keeping.kept_features(keeping.kept(spark, _kept(spark, sf)), AS_OF).select("customer_id", *FEATURE_COLUMNS)
+
+
+_AT = "2024-01-16 12:34:56"
+
+
+@query("SELECT customer_id, n AS total_interactions, h AS hours_since_own, recent AS recent_interactions FROM ("
+       + _CTES["kept_act"].replace(AS_OF, _AT) + ")", "csv_tweets")
+def activity_incremental(spark, sf):
+    """At a time within an hour: whole hours are counted already, the hour that the limit cuts is read."""
+    return keeping.kept_activity(keeping.kept(spark, _kept(spark, sf)), _AT)
+
+
+@query("SELECT *, 0::BIGINT AS part, 1::BIGINT AS parts FROM kept_logs", "kept_logs")
+def history_bucketed(spark, sf):
+    """Chat logs from the history as it lies, without a shuffle."""
+    return keeping.kept_chat_log(keeping.kept(spark, _kept(spark, sf)))
+
+
+@query("SELECT * FROM kept_logs", "kept_logs")
+def history_bucketed_long(spark, sf):
+    """Almost all histories are long here, and most messages come after that is known."""
+    rows = keeping.kept_chat_log(keeping.kept(spark, _kept(spark, sf, part_bits=0)))
+    return rows.groupBy("customer_id").agg(F.expr(
+        "trim(BOTH '\t\n\u000b\f\r \u00a0' FROM array_join(transform(sort_array(collect_list(struct(part, chat_log))), "
+        "p -> p.chat_log), '\n'))").alias("chat_log"))
+
+
+@query("""SELECT external_id, participant_external_id, interaction_timestamp,
+coalesce(content_text, '') AS content_text FROM csv_tweets
+WHERE participant_external_id IN ('7-7', '12-3', 'd5', 'nobody') AND interaction_timestamp IS NOT NULL""", "csv_tweets")
+def lookup_bucketed(spark, sf):
+    messages = keeping.kept(spark, _kept(spark, sf)).messages()
+    return naive(lookup.history_of(messages, ["7-7", "12-3", "d5", "nobody"]))
+
+
+@query("""SELECT d.customer_id, channel, reasoning, nullif(chat_log, '') AS chat_log,
+CASE channel WHEN 'scheduling_phone_call' THEN 'escalated' ELSE 'pending_customer_response' END AS issue_status
+FROM kept_decided d JOIN kept_logs l ON d.customer_id = l.customer_id""", "kept_decided kept_logs")
+def predict_kept_export(spark, sf):
+    """The prediction job over the kept tables, exported as CSV and read again."""
+    root, out = _kept(spark, sf), fx.new_folder(spark, "predictions")
+    keeping.predict_kept(spark, root, out, AS_OF)
+    return _read_export(spark, out, PREDICTION_COLUMNS).select(
+        "customer_id", "channel", "issue_status", "reasoning", "chat_log")
+
+
+@query("""SELECT request_id, q.customer_id, CASE WHEN d.customer_id IS NULL THEN 'not_found' ELSE 'ok' END AS status,
+channel, reasoning AS message FROM requests q LEFT JOIN kept_decided d ON q.customer_id = d.customer_id""",
+       "requests kept_decided")
+def stream_scores_kept(spark, sf):
+    """A stream of requests answered from the kept state: no message is read."""
+    root, state, out, inbox = (_kept(spark, sf), *(fx.new_folder(spark, n) for n in ("state", "answers", "requests")))
+    fx.requests(spark, sf).write.parquet(inbox)
+    stream = spark.readStream.schema("request_id bigint, customer_id string").parquet(inbox)
+    score_stream(spark, stream, root, out, state, AS_OF, kept=True)
+    return spark.read.parquet(out).select("request_id", "customer_id", "status", "channel", "message")
+
+
 # --- streams ----------------------------------------------------------------------------------------
 
 @query("""SELECT external_id, count(*) AS copies FROM (
