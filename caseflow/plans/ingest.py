@@ -14,6 +14,7 @@ from caseflow.operators.normalize import normalize, parse_created_at
 from caseflow.operators.quality import PROFILES, apply_profile, identity, since
 from caseflow.operators.rollup import batch_stats
 from caseflow.operators.skew import join_unique
+from caseflow.plans import lease as leases
 from caseflow.plans.session import job_settings, now_text
 from caseflow.sources import sinks, tables
 from caseflow.sources.tweets import read_tweets
@@ -41,9 +42,10 @@ def read_mark(spark: SparkSession, root, platform):
     return marks[0]["mark"] if marks else None
 
 
-def batch_id_for(runs: DataFrame, run_id, platform, mark):
+def batch_id_for(runs: DataFrame, run_id, platform, mark, leased: DataFrame = None):
     """A load has a batch of its own, unless an earlier load from the same mark did not complete: then it
-    takes over that batch and replaces it. A completed load never loses its batch."""
+    takes over that batch and replaces it. A completed load never loses its batch, and a load that is still running
+    keeps it as long as its lease (``leased``: batch_id) is renewed."""
     def said(name):
         return F.get_json_object("config_snapshot", f"$.{name}")
 
@@ -52,8 +54,15 @@ def batch_id_for(runs: DataFrame, run_id, platform, mark):
     left = loads.filter(
         (F.col("status") != "completed") & (F.col("run_id") != run_id) & F.col("batch").isNotNull()
         & (said("platform") == platform) & said("mark").eqNullSafe(F.lit(mark)))
-    open_ = left.join(completed, "batch", "left_anti").agg(F.max("batch").alias("batch")).first()
-    return open_["batch"] or hashlib.md5(f"{PIPELINE}|{run_id}".encode()).hexdigest()
+    left = left.join(completed, "batch", "left_anti")
+    if leased is not None:
+        left = left.join(leased.select(F.col("batch_id").alias("batch")), "batch", "left_anti")
+    open_ = left.agg(F.max("batch").alias("batch")).first()
+    return open_["batch"] or own_batch(run_id)
+
+
+def own_batch(run_id):
+    return hashlib.md5(f"{PIPELINE}|{run_id}".encode()).hexdigest()
 
 
 def drop_stored(df: DataFrame, stored: DataFrame) -> DataFrame:
@@ -67,9 +76,11 @@ def drop_stored(df: DataFrame, stored: DataFrame) -> DataFrame:
 def ingest(
         spark: SparkSession, path, root, as_of=None, profile="flag", allowed_lateness=None,
         platform="twitter", encoding="UTF-8", split_files=False, run_type="manual", batch_size=None,
-        run_id=None) -> IngestResult:
+        run_id=None, lease=leases.SECONDS) -> IngestResult:
     """Load what is newer than the watermark, then move the watermark.
 
+    ``lease``: seconds after which a load that no longer renews its lease may be taken over.
+
     Reading, normalizing, checking and writing are one plan and one write. What the commit depends on
     (row count and latest time) is read back from the written batch, so a task that ran twice cannot
     change it; only ``records_read``, which nothing depends on, is counted on the way. The mark moves only after the write; a load that failed in between is replaced as a
@@ -82,7 +93,11 @@ def ingest(
         result = IngestResult(run_id or str(uuid.uuid4()))
         tables.ensure_tables(spark, root)
         mark = read_mark(spark, root, platform)
-        batch_id = batch_id_for(tables.runs(spark, root), result.run_id, platform, mark)
+        leased = leases.held(tables.table(spark, root, "load_leases"), now_text())
+        batch_id = batch_id_for(tables.runs(spark, root), result.run_id, platform, mark, leased)
+        if not leases.claimed(spark, root, batch_id, result.run_id, lease):
+            batch_id = own_batch(result.run_id)
+            leases.claimed(spark, root, batch_id, result.run_id, lease)
         config = json.dumps({
             "data_file": str(path), "root": str(root), "profile": profile, "platform": platform,
             "mark": mark, "batch_id": batch_id})
@@ -90,8 +105,9 @@ def ingest(
             spark, result.run_id, PIPELINE, run_type, "parquet", as_of, config),
             root, "pipeline_runs")
         try:
-            _load(spark, path, root, as_of, profile, allowed_lateness, platform, encoding,
-                  split_files, batch_size, mark, batch_id, result)
+            with leases.renewed(spark, root, batch_id, result.run_id, lease):
+                _load(spark, path, root, as_of, profile, allowed_lateness, platform, encoding,
+                      split_files, batch_size, mark, batch_id, result)
             result.status = "completed"
         except Exception as error:  # the run log has to show every failure
             result.status, result.error = "failed", str(error)
@@ -126,8 +142,11 @@ def _load(spark, path, root, as_of, profile, allowed_lateness, platform, encodin
     result.records_processed = stats["records"]
     result.valid_records = stats["valid_records"]
     result.max_timestamp = stats["max_timestamp"]
+    if not leases.others(spark, root, batch_id, result.run_id).isEmpty():
+        raise RuntimeError(f"the lease on batch {batch_id} was lost to another load")
     if stats["max_timestamp"]:
-        latest = max(filter(None, [stats["max_timestamp"], mark]))
+        # A load that overlapped may have moved the mark meanwhile; it never goes back.
+        latest = max(filter(None, [stats["max_timestamp"], read_mark(spark, root, platform)]))
         sinks.append_watermark(
             spark, root, row_id=str(uuid.uuid4()), pipeline=PIPELINE, platform=platform,
             timestamp=latest, records=stats["records"], status="completed", updated_at=now_text())

@@ -47,6 +47,7 @@ class Kept:
     version: int
     buckets: int
     part_bits: int
+    first: int = 1
 
     def path(self, name):
         return kept_path(self.root, name)
@@ -62,7 +63,7 @@ class Kept:
     def history(self) -> DataFrame:
         """The messages of participants up to the length of a part, and the first ones of longer ones; bucketed."""
         return read_parts(
-            self.spark, self.path("history"), schemas.HISTORY, range(1, self.version + 1), HISTORY_KEY, self.buckets,
+            self.spark, self.path("history"), schemas.HISTORY, range(self.first, self.version + 1), HISTORY_KEY, self.buckets,
             HISTORY_SORT)
 
     def history_long(self) -> DataFrame:
@@ -81,7 +82,7 @@ class Kept:
 
     def _added(self, name, schema):
         stored = self.spark.read.schema(f"{_ddl(schema)}, version long").parquet(self.path(name))
-        return stored.filter(F.col("version") <= self.version).drop("version")
+        return stored.filter(F.col("version").between(self.first, self.version)).drop("version")
 
 
 def _ddl(schema):
@@ -94,11 +95,11 @@ def kept_path(root, name):
 
 def kept(spark: SparkSession, root):
     """The current version of the kept tables, or None."""
-    spark.range(0, 0, 1, 1).selectExpr("id as version", "0 as buckets", "0 as part_bits").write.mode("ignore").parquet(
+    spark.range(0, 0, 1, 1).selectExpr("id as version", "0 as buckets", "0 as part_bits", "id as first").write.mode("ignore").parquet(
         kept_path(root, "versions"))
-    latest = spark.read.schema("version long, buckets int, part_bits int").parquet(kept_path(root, "versions")).orderBy(
+    latest = spark.read.schema("version long, buckets int, part_bits int, first long").parquet(kept_path(root, "versions")).orderBy(
         F.desc("version")).first()
-    return Kept(spark, root, latest["version"], latest["buckets"], latest["part_bits"]) if latest else None
+    return Kept(spark, root, latest["version"], latest["buckets"], latest["part_bits"], latest["first"]) if latest else None
 
 
 def completed_batches(spark: SparkSession, root) -> DataFrame:
@@ -159,16 +160,24 @@ def keep_up(spark: SparkSession, root, as_of=None, brand="brand", buckets=BUCKET
     with job_settings(spark):
         as_of = as_of or now_text()
         tables.ensure_tables(spark, root)
-        old = kept(spark, root)
+        old, first = kept(spark, root), 1
+        version = old.version + 1 if old else 1
         done = completed_batches(spark, root)
         if old:
             buckets, part_bits = old.buckets, old.part_bits
-            done = done.join(old.batches(), "batch_id", "left_anti")
+            replaced = tables.superseded(spark, root)
+            if replaced is not None and not replaced.join(old.batches(), "batch_id", "left_semi").join(
+                    old.batches().withColumnRenamed("batch_id", "by_batch"), "by_batch", "left_anti").isEmpty():
+                # A row that is merged was replaced since, and extremes cannot be taken back: start anew.
+                first, old = old.version + 1, None
+            else:
+                first = old.first
+                done = done.join(old.batches(), "batch_id", "left_anti")
         # Ids of loads since the last version: control values.
         batches = sorted(row["batch_id"] for row in done.collect())
         if not batches:
             return 0
-        now = Kept(spark, root, old.version + 1 if old else 1, buckets, part_bits)
+        now = Kept(spark, root, version, buckets, part_bits, first)
         rows = tables.interactions(spark, root).filter(F.col("batch_id").isin(batches))
         _write_hours(rows, now)
         _write_state(old, now)
@@ -177,7 +186,7 @@ def keep_up(spark: SparkSession, root, as_of=None, brand="brand", buckets=BUCKET
             "overwrite").parquet(f"{now.path('batches')}/version={now.version}")
         spark.range(1).select(
             F.lit(now.version).cast("long").alias("version"), F.lit(buckets).alias("buckets"),
-            F.lit(part_bits).alias("part_bits")).write.mode(
+            F.lit(part_bits).alias("part_bits"), F.lit(first).cast("long").alias("first")).write.mode(
             "append").parquet(now.path("versions"))
         sinks.write_conversations(kept_conversations(now, as_of, brand), root)
         sinks.write_profiles(build_profiles(tables.conversations(spark, root), as_of), root)

@@ -58,6 +58,16 @@ STREAM_BATCH = _struct(
     records=_L, without_time=_L, without_id=_L, left_out_late=_L, left_out_copy=_L, left_out_stored=_L,
     left_out_no_text=_L, stored=_L, max_timestamp=_TS, number=_L, stream=_S, batch=_L)
 
+LEASE = _struct(batch_id=_S, run_id=_S, at=_TS, expires_at=_TS)
+
+# Which identity a stream knows: its best copy so far and the batch of that copy. The bits of a month tell which
+# identities may lie in it. A row that a better copy replaced is listed with its batch.
+IDENTITY = _struct(
+    identity=_S, external_id=_S, interaction_timestamp=_TS, content_text=_S, participant_external_id=_S, is_stored=_B,
+    batch_id=_S, id_month=T.DateType())
+IDENTITY_BITS = _struct(word=_L, bits=_L, id_month=T.DateType(), batch_id=_S)
+SUPERSEDED = _struct(external_id=_S, batch_id=_S, by_batch=_S)
+
 # The kept tables: one row per customer and hour, one per customer, one per message, one per merged load.
 CUSTOMER_HOURS = _struct(
     customer_id=_S, hour=_TS, n=_L, first_time=_TS, last_time=_TS, characters=_L, urgent=_B, escalating=_B,

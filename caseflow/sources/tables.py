@@ -4,6 +4,7 @@ All tables are Parquet folders under one root. Interactions lie in ``batch_id=/e
 a batch owns its folder, so that loading it again replaces it, and a time filter skips whole months.
 """
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -21,11 +22,16 @@ SCHEMAS = {
     "watermarks_current": schemas.WATERMARK,
     "runs_current": schemas.RUN,
     "stream_batches": schemas.STREAM_BATCH,
+    "load_leases": schemas.LEASE,
+    "identities": schemas.IDENTITY,
+    "identity_bits": schemas.IDENTITY_BITS,
+    "superseded": schemas.SUPERSEDED,
 }
 # Tables that are replaced as a whole: a new version is written next to the others, then one row in the list of
 # versions makes it the current one, so a reader never meets half a table.
 VERSIONED = ("conversations", "customer_profiles", "customer_features", "watermarks_current", "runs_current")
-PARTITIONS = {"interactions": ("batch_id", "event_month"), "stream_batches": ("stream", "batch")}
+PARTITIONS = {"interactions": ("batch_id", "event_month"), "stream_batches": ("stream", "batch"),
+              "identities": ("batch_id", "id_month"), "identity_bits": ("batch_id",), "superseded": ("by_batch",)}
 SORT_KEYS = {
     "interactions": ("platform_type", "interaction_timestamp", "external_id"),
     "ingestion_watermarks": ("pipeline_name", "platform_type", "updated_at"),
@@ -83,7 +89,23 @@ def _first(df, name, limit, order_by=None):
 
 
 def interactions(spark: SparkSession, root, limit=None) -> DataFrame:
-    return _first(table(spark, root, "interactions"), "interactions", limit)
+    """All stored rows but those that a better copy replaced; whether there are such is asked of their small table."""
+    found, gone = table(spark, root, "interactions"), superseded(spark, root)
+    if gone is not None:
+        found = found.join(gone.select("batch_id", "external_id"), ["batch_id", "external_id"], "left_anti").select(
+            SCHEMAS["interactions"].names)
+    return _first(found, "interactions", limit)
+
+
+def superseded(spark: SparkSession, root):
+    """The rows that a better copy replaced, or None."""
+    try:
+        gone = table(spark, root, "superseded")
+        return None if gone.isEmpty() else gone
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def profiles(

@@ -12,7 +12,6 @@ from caseflow.functions.instants import event_month, instant
 from caseflow.operators.normalize import normalize, parse_created_at
 from caseflow.operators.quality import (
     PROFILES, clean_text, drop_missing_text, flag_length, flag_required, identity, score)
-from caseflow.operators.skew import join_unique
 from caseflow.plans.session import job_settings, now_text
 from caseflow.schemas import RAW_TWEET
 from caseflow.sources import sinks, tables
@@ -20,6 +19,8 @@ from caseflow.sources.tweets import CSV_OPTIONS
 from caseflow.storage import durable
 
 LEFT_OUT = "left_out"
+# Words of 64 bits that the identities of a month are spread over.
+WORD_BITS = 24
 METRICS = "stream_batches"
 
 
@@ -41,33 +42,96 @@ def _months(rows):
     return [r["m"] for r in rows.select(event_month(F.col("interaction_timestamp")).alias("m")).distinct().collect()]
 
 
-def mark_left_out(rows: DataFrame, stored: DataFrame, profile="flag", late_before=None) -> DataFrame:
-    """The rows with ``left_out``: null, or why a row is not stored.
+def _order(prefix=""):
+    """Of two copies the one with the smaller order is kept: the earlier, then by text and author, missing values last."""
+    columns = []
+    for name in ("interaction_timestamp", "content_text", "participant_external_id"):
+        columns += [F.col(prefix + name).isNull().alias(f"no_{name}"), F.col(prefix + name).alias(name)]
+    return F.struct(*columns)
 
-    ``late``: older than ``late_before``; ``copy``: a copy of another row of the micro-batch, of which the earliest
-    stays; ``stored``: its identity is in ``stored``; ``no_text``: the profile ``clean`` wants a text.
+
+def _bits(rows):
+    """The word of each identity and its eight bits there."""
+    second = F.xxhash64("identity", F.lit(1))
+    mask = F.lit(0).cast("long")
+    for i in range(8):
+        mask = mask.bitwiseOR(F.call_function(
+            "shiftleft", F.lit(1).cast("long"), F.shiftright(second, 6 * i).bitwiseAND(F.lit(63)).cast("int")))
+    return rows.withColumns({"word": F.pmod(F.xxhash64("identity"), F.lit(1 << WORD_BITS)), "mask": mask})
+
+
+def known_identities(firsts: DataFrame, root, batch_id) -> DataFrame:
+    """(identity, known, known_stored, known_batch): the best copy seen before of each identity of a micro-batch.
+
+    The bits of each month say which identities may lie in it; only the months that they name are asked exactly.
+    """
+    spark = firsts.sparkSession
+    bits = tables.table(spark, root, "identity_bits").filter(F.col("batch_id") != batch_id)
+    named = bits.join(_bits(firsts.select("identity")), "word").filter(F.col("bits").bitwiseAND(F.col("mask")) == F.col("mask"))
+    months = [row["id_month"] for row in named.select("id_month").distinct().collect()]
+    asked = F.col("id_month").isin([month for month in months if month is not None])
+    if None in months:
+        asked = asked | F.col("id_month").isNull()
+    seen = tables.table(spark, root, "identities").filter((F.col("batch_id") != batch_id) & asked)
+    return seen.join(firsts.select("identity"), "identity", "left_semi").groupBy("identity").agg(
+        F.min(F.struct(_order().alias("order"), "is_stored", "batch_id")).alias("best")).select(
+        "identity", F.col("best.order").alias("known"), F.col("best.is_stored").alias("known_stored"),
+        F.col("best.batch_id").alias("known_batch"))
+
+
+def mark_left_out(rows: DataFrame, root, batch_id, loaded: DataFrame, profile="flag", late_before=None) -> DataFrame:
+    """The rows with ``left_out``: null, or why a row is not stored; and what is known of their identity.
+
+    ``late``: older than ``late_before``; ``copy``: a copy of another row, of this micro-batch or of one before, of
+    which the earliest counts; ``stored``: its identity is stored by an earlier micro-batch or is in ``loaded``;
+    ``no_text``: the profile ``clean`` wants a text, and the earliest copy has none.
     """
-    known = stored.select(identity().alias("_identity")).distinct().withColumn("_stored", F.lit(True))
-    marked = join_unique(rows.withColumn("_identity", identity()), known, "_identity")
-    reason = F.when(F.col("_stored"), "stored")
+    late = F.lit(False)
+    if late_before is not None:
+        late = F.coalesce(F.col("interaction_timestamp") < instant(late_before), F.lit(False))
+    numbered = durable(rows.withColumns({
+        "identity": identity(), "_late": late, "_row": F.monotonically_increasing_id()}))
+    # The first of each identity is found inside each task before the shuffle.
+    order = Window.partitionBy("identity").orderBy(_order(), "_row")
+    firsts = durable(
+        numbered.filter("not _late").withColumn("_rank", F.row_number().over(order)).filter("_rank = 1").drop("_rank"))
+    in_loads = loaded.select(identity().alias("identity")).distinct().withColumn("_loaded", F.lit(True))
+    judged = (
+        firsts.join(known_identities(firsts, root, batch_id), "identity", "left").join(in_loads, "identity", "left")
+        .withColumn("_better", F.col("known").isNull() | (_order() < F.col("known"))))
+    no_text = F.col("content_text").isNull() if profile == "clean" else F.lit(False)
+    judged = judged.select("_row", "_better", "known_stored", "known_batch", F.when(F.col("_loaded"), "stored").when(
+        ~F.col("_better"), F.when(F.col("known_stored"), "stored").otherwise("copy")).when(no_text, "no_text")
+        .otherwise("").alias("_reason"))
+    return numbered.join(judged, "_row", "left").withColumn(
+        "left_out", F.when(F.col("_late"), "late").otherwise(F.nullif(F.coalesce("_reason", F.lit("copy")), F.lit("")))
+    ).drop("_row", "_late", "_reason")
+
+
+def remember(marked: DataFrame, root, batch_id) -> None:
+    """Write which identities have a new best copy, their bits by month, and which stored rows these copies replace."""
+    new = marked.filter(F.coalesce("_better", F.lit(False)) & F.coalesce(
+        F.col("left_out").isNull() | (F.col("left_out") == "no_text"), F.lit(False))).withColumn(
+        "id_month", event_month(F.col("interaction_timestamp")))
+
+    def path(name, by="batch_id"):
+        return f"{tables.path_of(root, name)}/{by}={batch_id}"
+
+    new.select("identity", "external_id", "interaction_timestamp", "content_text", "participant_external_id",
+               F.col("left_out").isNull().alias("is_stored"), "id_month").write.mode("overwrite").partitionBy(
+        "id_month").parquet(path("identities"))
+    _bits(new).groupBy("id_month", "word").agg(F.bit_or("mask").alias("bits")).write.mode("overwrite").parquet(
+        path("identity_bits"))
+    new.filter("known_stored").select("external_id", F.col("known_batch").alias("batch_id")).write.mode(
+        "overwrite").parquet(path("superseded", "by_batch"))
+
+
+def mark_unfit(rows: DataFrame, profile, late_before=None) -> DataFrame:
+    """``left_out`` where copies are kept: ``late`` and ``no_text`` only."""
+    reason = F.when(F.col("content_text").isNull(), "no_text") if profile == "clean" else F.lit(None).cast("string")
     if late_before is not None:
         reason = F.when(F.col("interaction_timestamp") < instant(late_before), "late").otherwise(reason)
-    if profile == "clean":
-        reason = F.coalesce(reason, F.when(F.col("content_text").isNull(), "no_text"))
-    # Copies are ranked among the rows that could be stored. The first of each id is found inside each task
-    # before the shuffle; all others are told from it by their row number.
-    numbered = durable(
-        marked.withColumn("left_out", reason).drop("_stored", "_identity")
-        .withColumn("_row", F.monotonically_increasing_id()))
-    order = Window.partitionBy(identity()).orderBy(
-        F.col("interaction_timestamp").asc_nulls_last(), F.col("content_text").asc_nulls_last(),
-        F.col("participant_external_id").asc_nulls_last(), "_row")
-    first = (
-        numbered.filter("left_out is null").withColumn("_rank", F.row_number().over(order)).filter("_rank = 1")
-        .select("_row", F.lit(True).alias("_first")))
-    return numbered.join(first, "_row", "left").withColumn(
-        "left_out", F.when(F.col("left_out").isNull() & F.col("_first").isNull(), "copy").otherwise(F.col("left_out"))
-    ).drop("_row", "_first")
+    return rows.withColumn("left_out", reason)
 
 
 def _quality(rows, profile):
@@ -76,13 +140,15 @@ def _quality(rows, profile):
     return rows.transform(drop_missing_text).transform(clean_text)
 
 
-def store_micro_batch(batch: DataFrame, number, root, as_of, profile="flag", delay=None, name="stream", platform="twitter"):
+def store_micro_batch(
+        batch: DataFrame, number, root, as_of, profile="flag", delay=None, name="stream", platform="twitter", copies="drop"):
     """Store one micro-batch of raw tweets in its own folders. A replayed one replaces itself."""
     spark = batch.sparkSession
     batch_id = f"{name}-{number:010d}"
     rows = durable(stream_rows(batch, as_of, platform))
     months = _months(rows)
-    stored = tables.interactions(spark, root).filter(F.col("batch_id") != batch_id)
+    # What this stream stored is known by its identities; rows of loads are looked for in the months of the rows.
+    loaded = tables.table(spark, root, "interactions").filter(~F.col("batch_id").startswith(f"{name}-"))
     in_months = F.col("event_month").isin([m for m in months if m is not None])
     if None in months:
         in_months = in_months | F.col("event_month").isNull()
@@ -91,14 +157,21 @@ def store_micro_batch(batch: DataFrame, number, root, as_of, profile="flag", del
         # The high mark of the micro-batches before this one: one small row each.
         late_before = stream_batches(spark, root, name).filter(F.col("number") < number).agg(
             (F.max("max_timestamp") - F.expr(f"interval {delay}")).cast("string").alias("mark")).first()["mark"]
-    marked = durable(mark_left_out(rows, stored.filter(in_months), profile, late_before))
+    if copies == "keep":
+        marked = durable(mark_unfit(rows, profile, late_before))
+    else:
+        marked = durable(mark_left_out(rows, root, batch_id, loaded.filter(in_months), profile, late_before))
     folder = sinks.write_interactions(
         marked.filter("left_out is null").drop("left_out").transform(_quality, profile), root, batch_id, as_of)
-    marked.filter("left_out is not null").write.mode("overwrite").parquet(
+    if copies != "keep":
+        remember(marked, root, batch_id)
+    marked.filter("left_out is not null").select(*rows.columns, "left_out").write.mode("overwrite").parquet(
         f"{tables.path_of(root, LEFT_OUT)}/batch_id={batch_id}")
     written = spark.read.schema(schemas.INTERACTION_STORED).parquet(folder).agg(
         F.count(F.lit(1)).alias("stored"),
         F.max("interaction_timestamp").cast("string").alias("max_timestamp")).first()
+    # A stored row that a better copy replaced is a copy left out.
+    replaced = tables.table(spark, root, "superseded").filter(F.col("by_batch") == batch_id).count()
     reasons = [F.count_if(F.coalesce(F.col("left_out") == why, F.lit(False))).alias(f"left_out_{why}")
                for why in ("late", "copy", "stored", "no_text")]
     read = marked.agg(
@@ -106,7 +179,8 @@ def store_micro_batch(batch: DataFrame, number, root, as_of, profile="flag", del
         F.count_if(F.col("interaction_timestamp").isNull()).alias("without_time"),
         F.count_if(F.coalesce(F.col("external_id"), F.lit("")) == "").alias("without_id"), *reasons)
     read.withColumns({
-        "stored": F.lit(written["stored"]).cast("long"),
+        "stored": F.lit(written["stored"] - replaced).cast("long"),
+        "left_out_copy": F.col("left_out_copy") + F.lit(replaced),
         "max_timestamp": F.lit(written["max_timestamp"]).cast("timestamp"),
         "number": F.lit(number).cast("long")}).coalesce(1).write.mode("overwrite").parquet(
         f"{tables.path_of(root, METRICS)}/stream={name}/batch={number}")
@@ -114,18 +188,21 @@ def store_micro_batch(batch: DataFrame, number, root, as_of, profile="flag", del
 
 def stream_ingest(
         spark: SparkSession, in_dir, root, checkpoint, as_of=None, profile="flag", delay=None,
-        max_files_per_trigger=None, name="stream", encoding="UTF-8"):
+        max_files_per_trigger=None, name="stream", encoding="UTF-8", copies="drop"):
     """Load all files that are there, then stop; the next call goes on after them.
 
     Rows without a readable time or an id are stored like others, flagged by the profile ``flag``. Each identity is
-    stored once. With ``delay`` rows older than the latest time of earlier micro-batches minus the delay are left out.
+    stored once, as its earliest copy: one that comes later replaces the stored row. ``copies="keep"`` stores all copies, as
+    the batch load does with the profile ``flag``. With ``delay`` rows older than the latest time of earlier micro-batches minus the delay are left out.
     """
     if profile not in PROFILES:
         raise ValueError(f"unknown quality profile: {profile}; expected one of {PROFILES}")
+    if copies not in ("drop", "keep"):
+        raise ValueError(f"copies are dropped or kept, not: {copies}")
     as_of = as_of or now_text()
 
     def store(batch, number):
-        store_micro_batch(batch, number, root, as_of, profile, delay, name)
+        store_micro_batch(batch, number, root, as_of, profile, delay, name, copies=copies)
 
     with job_settings(spark):
         tables.ensure_tables(spark, root)

@@ -1182,6 +1182,23 @@ def stream_left_out(spark, sf):
         "records", "stored", (F.col("left_out_copy") + F.col("left_out_stored")).alias("left_out"), "without_time")
 
 
+@query("""SELECT md5('twitter|' || external_id) AS interaction_id, external_id, 'twitter' AS platform_type,
+participant_external_id, """ + _cleaned("content_text") + """ AS content_text, '{}' AS content_metadata,
+interaction_timestamp, in_response_to_tweet_id AS parent_interaction_id, '{}' AS platform_metadata,
+'{}' AS processing_metadata, strftime(interaction_timestamp, '%Y-%m') AS month
+FROM deduped WHERE content_text IS NOT NULL""", "deduped")
+def stream_equals_batch(spark, sf):
+    """The load of profile ``clean`` in two micro-batches that tear copies apart, the later copies coming first."""
+    root, state, inbox = (fx.new_folder(spark, name) for name in ("tables", "state", "tweets"))
+    raw = fx.raw_tweets(spark, sf)
+    for later in (True, False):
+        rows = raw.filter(F.coalesce(F.col("text").startswith("repost") | (F.length("tweet_id") == 2), F.lit(False)) == later)
+        rows.write.mode("append").options(**sinks.CSV_OPTIONS).csv(inbox)
+        stream_ingest(spark, inbox, root, state, AS_OF, profile="clean")
+    return naive(tables.interactions(spark, root).select(
+        *_STORED, F.date_format("event_month", "yyyy-MM").alias("month")))
+
+
 @query("""SELECT external_id, count(*) AS copies FROM (
 SELECT DISTINCT external_id FROM tweets CROSS JOIN (
   SELECT max(interaction_timestamp) - INTERVAL '10' DAY AS m FROM tweets WHERE length(external_id) % 2 = 0) mark

@@ -299,3 +299,76 @@ def test_rows_without_id_or_author(spark, folder, tweets):
     assert len(found) == 5 and len({r["interaction_id"] for r in found}) == 5
     build_rollups(spark, folder, AS_OF)
     assert {r["customer_id"] for r in tables.profiles(spark, folder).collect()} == {"a", "b"}
+
+
+def test_overlapping_loads_keep_both(spark, folder, tweets, monkeypatch):
+    """A second load starts from the same mark while the first has written and not yet committed."""
+    first, second = tweets([(1, "a", at(9), "first"), (2, "a", at(9), "first")]), tweets(
+        [(3, "b", at(8), "second"), (4, "b", at(7), "second")], "second")
+    plain, inner = ingest_module.batch_stats, []
+
+    def overlapped(rows):
+        if not inner:
+            inner.append(None)
+            inner[0] = ingest(spark, second, folder, AS_OF, run_id="r2")
+        return plain(rows)
+
+    monkeypatch.setattr(ingest_module, "batch_stats", overlapped)
+    outer = ingest(spark, first, folder, AS_OF, run_id="r1")
+    assert (outer.status, inner[0].status) == ("completed", "completed")
+    assert stored(spark, folder) == ["1", "2", "3", "4"]
+    assert read_mark(spark, folder, "twitter").startswith("2024-01-09")
+
+
+def test_the_mark_never_goes_back(spark, folder, tweets, monkeypatch):
+    late, early = tweets([(1, "a", at(5), "x")]), tweets([(2, "a", at(9), "y")], "early")
+    plain, inner = ingest_module.batch_stats, []
+
+    def overlapped(rows):
+        if not inner:
+            inner.append(None)
+            ingest(spark, early, folder, AS_OF)
+        return plain(rows)
+
+    monkeypatch.setattr(ingest_module, "batch_stats", overlapped)
+    ingest(spark, late, folder, AS_OF)
+    assert read_mark(spark, folder, "twitter").startswith("2024-01-09") and stored(spark, folder) == ["1", "2"]
+
+
+def test_only_an_expired_lease_is_taken_over(spark, folder, tweets):
+    tables.ensure_tables(spark, folder)
+    config = json.dumps({"platform": "twitter", "mark": None, "batch_id": "b1"})
+    sinks.append_rows(sinks.run_start_row(
+        spark, "gone", ingest_module.PIPELINE, "manual", "parquet", AS_OF, config), folder, "pipeline_runs")
+    leases = ingest_module.leases
+    assert leases.claimed(spark, folder, "b1", "gone", 600)
+    ingest(spark, tweets([("", "a", "never", "one")]), folder, AS_OF, run_id="r1")
+    assert {r["batch_id"] for r in tables.interactions(spark, folder).collect()} == {ingest_module.own_batch("r1")}
+    assert not leases.claimed(spark, folder, "b1", "r2", 600)
+    leases._write(spark, folder, "b1", "gone", 0)
+    ingest(spark, tweets([("", "a", "never", "two")], "two"), folder, AS_OF, run_id="r3")
+    assert {r["batch_id"] for r in tables.interactions(spark, folder).collect()} == {ingest_module.own_batch("r1"), "b1"}
+
+
+def test_a_load_that_lost_its_lease_does_not_commit(spark, folder, tweets, monkeypatch):
+    plain = ingest_module.batch_stats
+
+    def stalled(rows):
+        batch = ingest_module.own_batch("r1")
+        ingest_module.leases._write(spark, folder, batch, "other", 600)
+        return plain(rows)
+
+    monkeypatch.setattr(ingest_module, "batch_stats", stalled)
+    result = ingest(spark, tweets([(1, "a", at(9), "first")]), folder, AS_OF, run_id="r1")
+    assert result.status == "failed" and "lease" in result.error and read_mark(spark, folder, "twitter") is None
+
+
+def test_leases_are_renewed_while_a_load_runs(spark, folder):
+    import time
+    tables.ensure_tables(spark, folder)
+    leases = ingest_module.leases
+    assert leases.claimed(spark, folder, "b", "r", 3)
+    with leases.renewed(spark, folder, "b", "r", 3):
+        time.sleep(5)
+        assert not leases.others(spark, folder, "b", "someone").isEmpty()
+    assert leases.others(spark, folder, "b", "someone").isEmpty()

@@ -96,6 +96,56 @@ def test_profiles(spark, tmp_path, folder, profile, texts):
             for r in tables.interactions(spark, folder + "/t").collect()} == texts
 
 
+def raw_file(tmp_path, name, rows):
+    """(id, author, month, day, text) as a CSV file; a text of None is an empty field."""
+    inbox = tmp_path / "in"
+    inbox.mkdir(exist_ok=True)
+    lines = [",".join(RAW_TWEET.names)]
+    for i, who, month, day, text in rows:
+        when = f"Mon {month} {day:02d} 00:00:00 +0000 2024" if month else "never"
+        body = "" if text is None else f'"{text}"'
+        lines.append(f"{i},{who},True,{when},{body},,")
+    (inbox / name).write_text("\n".join(lines) + "\n")
+    return str(inbox)
+
+
+# Copies in different months and files, the earliest coming last, without text, without time, tied, and without id.
+PIECES = [
+    [(1, "a", "Oct", 5, "one http://x"), (2, "a", "Nov", 5, "two"), (3, "a", None, 1, "timeless"), ("", "a", "Oct", 1, "no id")],
+    [(1, "a", "Nov", 5, "one again"), (2, "a", "Oct", 5, None), (4, "b", "Dec", 1, "four"), ("", "a", "Oct", 1, "no id")],
+    [(1, "a", "Sep", 5, "one before"), (3, "a", "Jan", 1, "timed"), (4, "a", "Dec", 1, "four"), (5, "c", "Oct", 5, None)],
+    [(2, "a", "Feb", 5, "two first"), (5, "c", "Nov", 5, "five"), (4, "c", "Dec", 1, "a four"), (6, "c", "Oct", 1, "x")],
+    [(5, "c", "Jan", 5, None), (6, "c", "Oct", 1, "x"), (1, "a", "Aug", 9, None)]]
+
+
+@pytest.mark.parametrize("profile, copies, cut", [
+    ("clean", "drop", (0, 1, 2, 3, 4)), ("clean", "drop", (3, 2, 1, 0, 0)), ("flag", "keep", (1, 0, 0, 1, 2))])
+def test_no_cut_of_the_input_decides_what_is_stored(spark, tmp_path, folder, profile, copies, cut):
+    for step in sorted(set(cut)):
+        rows = [row for piece, at in zip(PIECES, cut) if at == step for row in piece]
+        inbox = raw_file(tmp_path, f"{step}.csv", rows)
+        stream_ingest(spark, inbox, folder + "/s", folder + "/c", AS_OF, profile=profile, copies=copies)
+    ingest(spark, inbox, folder + "/b", AS_OF, profile=profile)
+    found = [sorted(map(repr, tables.interactions(spark, folder + end).drop("batch_id").collect())) for end in ("/s", "/b")]
+    assert found[0] == found[1]
+    counts = stream_metrics(spark, folder + "/s")
+    assert counts["records"] == sum(map(len, PIECES))
+
+
+def test_kept_tables_follow_a_replaced_row(spark, tmp_path, folder):
+    from caseflow.operators.features import extract_features
+    from caseflow.plans import kept
+    for step, piece in enumerate(PIECES[:3]):
+        inbox = raw_file(tmp_path, f"{step}.csv", piece)
+        stream_ingest(spark, inbox, folder + "/s", folder + "/c", AS_OF, profile="clean")
+        kept.keep_up(spark, folder + "/s", AS_OF, buckets=2)
+        inter = tables.interactions(spark, folder + "/s")
+        now = kept.kept(spark, folder + "/s")
+        mine, other = kept.kept_features(now, AS_OF), extract_features(inter, AS_OF)
+        assert sorted(mine.collect()) == sorted(other.select(mine.columns).collect())
+    assert now.first > 1 and now.version == 3
+
+
 def test_unknown_profile(spark, tmp_path, folder):
     inbox = add(tmp_path, "1.csv", [])
     with pytest.raises(ValueError):
