@@ -38,8 +38,7 @@ def op4_quotation_linking(spark, sf_dir):
 
 
 def op5_packing(spark, sf_dir):
-    packed = pack(_table(spark, sf_dir, "documents"))
-    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return pack(_table(spark, sf_dir, "documents"), ids=False)
 
 
 def op6_mixing(spark, sf_dir):

@@ -1,6 +1,7 @@
 """Packing: every id in exactly one piece, windows that fit, little padding."""
 
 import random
+import zlib
 from collections import defaultdict
 
 import numpy as np
@@ -76,3 +77,21 @@ def test_differencing_is_even():
     # The textbook case: 8, 7, 6, 5, 4 in two parts differ by 2.
     of = difference([8, 7, 6, 5, 4], 2)
     assert sorted(np.bincount(of, [8, 7, 6, 5, 4])) == [14, 16]
+
+
+@pytest.mark.parametrize("low, high, windows", [(2049, 2300, 1500), (1366, 1500, 750)])
+def test_pieces_just_over_a_part_of_a_window(low, high, windows):
+    rng = random.Random(low)
+    of, _ = pack_lengths([rng.randint(low, high) for _ in range(1500)])
+    assert of.max() + 1 == windows
+
+
+def test_what_is_remembered_changes_no_id(spark):
+    rows = [(i, f"{'word' * (i % 7)} {i} some, more: Words.") for i in range(40)] + [(40, "x" * 300 + " y " * 90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    some = pack(docs, remembered=3).collect()
+    check(rows, some, 4096)
+    everything = pack(docs).collect()
+    assert sorted(some) == sorted(everything)
+    assert sorted(tuple(r)[:-1] for r in everything) == sorted(map(tuple, pack(docs, ids=False).collect()))
+    assert all(r.ids_crc32 == zlib.crc32(bytes(r.ids)) for r in everything)
