@@ -70,7 +70,9 @@ def predict(
     """One prediction per customer whose conversation is not resolved.
 
     ``limit`` takes the first customers before anything else is read. ``responses`` (customer_id,
-    response) carries enhancement answers; without one the rule reason is both message and reasoning.
+    response) carries enhancement answers; without one the rule reason is both message and reasoning, and
+    so it is where a customer has several that differ (``error`` is conflicting_answers). Answers to prompts
+    in parts are put together by ``answer_prompts``.
     ``activity``: what the rules read, where it need not be found from the interactions.
     """
     profiles = customers(profiles)
@@ -91,19 +93,30 @@ def answer(cases: DataFrame, as_of, rules=DEFAULT_RULES) -> DataFrame:
 
 def _answered(decided, as_of, responses=None):
     if responses is None:
-        answered = decided.withColumn("response", F.lit(None).cast("string"))
+        answered = decided.withColumns({
+            "response": F.lit(None).cast("string"), "conflict": F.lit(None).cast("boolean")})
     else:
-        # One answer for each customer, however many came.
-        answers = responses.groupBy("customer_id").agg(F.min("response").alias("response"))
-        answered = decided.join(answers, "customer_id", "left")
+        answered = decided.join(_one_answer(responses, "customer_id"), "customer_id", "left")
     return (
         answered.transform(apply_enhancement, "response")
+        .transform(_name_conflict)
         .transform(issue_status)
         .withColumn("send_time", send_time(as_of))
         .select(
             "customer_id", "channel", "message", "send_time", "reasoning", "issue_status", "error"))
 
 
+def _one_answer(answers, *key):
+    """The answer of each key, however often it came; none where several differ."""
+    least, most = F.min("response"), F.max("response")
+    return answers.groupBy(*key).agg(
+        F.when(least == most, least).alias("response"), (least != most).alias("conflict"))
+
+
+def _name_conflict(df):
+    return df.withColumn("error", F.when(F.col("conflict"), "conflicting_answers").otherwise(F.col("error")))
+
+
 def with_chat_log(
         predictions: DataFrame, interactions: DataFrame, variant="prediction",
         part_bits=PART_BITS, long=FIND) -> DataFrame:
@@ -144,6 +157,50 @@ def build_prompt(
         "customer_id", "part", "parts", F.concat(*pieces).alias("prompt"))
 
 
+def prompt_hash(prompt):
+    """What an answer names its prompt by."""
+    return F.sha2(prompt, 256)
+
+
+def answer_prompts(decided: DataFrame, prompts: DataFrame, answers: DataFrame, as_of) -> DataFrame:
+    """Predictions from the answers to ``build_prompt``, ``part`` of ``parts``.
+
+    ``answers``: customer_id, part, prompt_hash, response. An answer counts only for the prompt it was given to, so
+    one to an earlier state of the history is none. Where every part of a customer has an answer, there is a row for each
+    part; the whole message is its parts in order, and the row of part 0 stands for the prediction. Otherwise the customer
+    has one row with the rule reason, and ``error`` says what the first such part lacks: missing_answer,
+    invalid_response, or conflicting_answers (several that differ; equal ones are one). No customer's parts come
+    together in one task.
+    """
+    key = ["customer_id", "part", "prompt_hash"]
+    asked = prompts.select("customer_id", "part", "parts", prompt_hash("prompt").alias("prompt_hash"))
+    parts = durable(
+        asked.join(_one_answer(answers, *key), key, "left")
+        .withColumn("reasoning", F.lit(None).cast("string"))
+        .transform(apply_enhancement, "response")
+        .withColumn("error", F.coalesce("error", F.when(F.col("response").isNull(), "missing_answer")))
+        .transform(_name_conflict)
+        .select("customer_id", "part", "parts", "message", "reasoning", "error"))
+    first_lack = F.min(F.when(F.col("error").isNotNull(), F.struct("part", "error")))["error"]
+    outcomes = parts.groupBy("customer_id").agg(F.coalesce(
+        first_lack, F.when(F.count(F.lit(1)) < F.max("parts"), "missing_answer")).alias("lack"))
+    cases = durable(
+        decided.select("customer_id", "channel", F.col("reasoning").alias("rule"))
+        .join(outcomes.withColumn("asked", F.lit(True)), "customer_id", "left"))
+    whole = F.col("asked").isNotNull() & F.col("lack").isNull()
+    answered = join_unique(
+        parts.drop("error"), cases.filter(whole).select("customer_id", "channel", "asked"), "customer_id").filter("asked")
+    fallen_back = cases.filter(~whole).select(
+        "customer_id", "channel", F.lit(0).cast("long").alias("part"), F.lit(1).cast("long").alias("parts"),
+        F.col("rule").alias("message"), F.col("rule").alias("reasoning"),
+        F.coalesce("lack", F.lit("missing_answer")).alias("error"))
+    return (
+        answered.drop("asked").withColumn("error", F.lit(None).cast("string")).unionByName(fallen_back)
+        .transform(issue_status)
+        .withColumn("send_time", send_time(as_of))
+        .select("customer_id", "channel", "message", "send_time", "reasoning", "issue_status", "error", *LOG_COLUMNS))
+
+
 def apply_enhancement(df: DataFrame, response) -> DataFrame:
     """Read message and reasoning from the JSON answer in the named column.
 

@@ -156,6 +156,22 @@ def responses(spark, sf_dir) -> DataFrame:
         .select("customer_id", F.expr(RESPONSE).alias("response")))
 
 
+def part_answers(prompts, conversations) -> DataFrame:
+    """An answer to each prompt, which repeats the prompt and came twice. By the customer's number of messages, part 0 has
+    none, a broken one, one to another prompt, or two that differ."""
+    n = conversations.select("customer_id", (F.col("total_interactions") % 6).alias("kind"))
+    whole = F.to_json(F.struct(F.col("prompt").alias("message"), F.col("part").cast("string").alias("reasoning")))
+    given = prompts.join(n, "customer_id", "left").fillna({"kind": 0}).select(
+        "customer_id", "part", F.explode(F.array(F.lit(0), F.lit(1))).alias("copy"), "kind",
+        F.sha2("prompt", 256).alias("prompt_hash"), whole.alias("response"))
+    first = F.col("part") == 0
+    return given.filter(~first | (F.col("kind") != 1)).select(
+        "customer_id", "part",
+        F.when(first & (F.col("kind") == 3), F.sha2("prompt_hash", 256)).otherwise(F.col("prompt_hash")).alias("prompt_hash"),
+        F.when(first & (F.col("kind") == 2), F.lit("broken"))
+        .when(first & (F.col("kind") == 4) & (F.col("copy") == 1), F.lit("{}")).otherwise(F.col("response")).alias("response"))
+
+
 RESPONSE = """CASE total_interactions % 6
   WHEN 0 THEN CASE WHEN total_interactions % 12 = 0 THEN '{"message": "x"} junk' ELSE
     '{"message": "Hello ' || customer_id || '", "reasoning": "said so"}' END

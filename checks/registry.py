@@ -861,6 +861,25 @@ def build_prompt(spark, sf):
     return predict.build_prompt(predict.recommend(cases, inter, AS_OF), inter, template)
 
 
+@query("""SELECT d.customer_id, channel,
+CASE WHEN error IS NULL THEN coalesce(history, 'No detailed conversation history available.') ELSE reasoning END AS message,
+error FROM (
+  SELECT d.*, CASE c.n % 6 WHEN 1 THEN 'missing_answer' WHEN 2 THEN 'invalid_response' WHEN 3 THEN 'missing_answer'
+    WHEN 4 THEN 'conflicting_answers' END AS error
+  FROM decided d LEFT JOIN conv c ON d.customer_id = c.customer_id) d
+LEFT JOIN rendered r ON d.customer_id = r.customer_id""", "decided rendered conv")
+def prompt_answers(spark, sf):
+    inter = fx.interactions(spark, sf)
+    decided = predict.recommend(fx.profiles(spark, sf).select("customer_id", "created_at"), inter, AS_OF)
+    prompts = predict.build_prompt(decided, inter, "{history}", part_bits=2)
+    answers = fx.part_answers(prompts, fx.conversations(spark, sf))
+    rows = predict.answer_prompts(decided, prompts, answers, AS_OF)
+    # The answers repeat their prompts, so the parts in order are the whole history.
+    in_order = F.sort_array(F.collect_list(F.struct("part", "message")))
+    return rows.groupBy("customer_id", "channel", "error").agg(
+        F.array_join(F.transform(in_order, lambda part: part["message"]), "").alias("message"))
+
+
 @query("""SELECT customer_id,
 CASE channel WHEN 'scheduling_phone_call' THEN 'escalated' ELSE 'pending_customer_response' END
   AS prediction_status,

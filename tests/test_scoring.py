@@ -202,6 +202,49 @@ def test_prompts(world):
     assert parts.count() >= 4
 
 
+def test_answers_that_differ_are_not_chosen_from(spark, world):
+    answers = spark.createDataFrame(
+        [("busy", '{"message": "a"}'), ("busy", '{"message": "b"}'), ("quiet", '{"message": "c"}'),
+         ("quiet", '{"message": "c"}')], "customer_id string, response string")
+    got = by_customer(predict.predict(*world, AS_OF, responses=answers))
+    assert got["busy"]["error"] == "conflicting_answers" and got["busy"]["message"] == got["busy"]["reasoning"]
+    assert got["quiet"]["error"] is None and got["quiet"]["message"] == "c"
+
+
+@pytest.mark.parametrize("last, error", [
+    ("whole", None), ("twice", None), ("none", "missing_answer"), ("null", "missing_answer"),
+    ("stale", "missing_answer"), ("broken", "invalid_response"), ("differs", "conflicting_answers")])
+def test_answers_in_parts(spark, world, last, error):
+    profiles, _, df = world
+    cases = predict.recommend(profiles.select("customer_id"), df, AS_OF)
+    prompts = predict.build_prompt(cases, df, "{history}", part_bits=1)
+    asked = prompts.select("*", predict.prompt_hash("prompt").alias("hash")).collect()
+    parts = max(r["parts"] for r in asked if r["customer_id"] == "busy")
+    assert parts >= 4
+    rows = []
+    for r in asked:
+        answer = json.dumps({"message": r["prompt"], "reasoning": str(r["part"])})
+        one = (r["customer_id"], r["part"], r["hash"], answer)
+        if (r["customer_id"], r["part"]) != ("busy", parts - 1):
+            rows.append(one)
+            continue
+        rows += {
+            "whole": [one], "twice": [one, one], "none": [], "null": [(*one[:3], None)], "stale": [(*one[:2], "old", answer)],
+            "broken": [(*one[:3], "{")], "differs": [one, (*one[:3], "{}")]}[last]
+    answers = spark.createDataFrame(rows, "customer_id string, part long, prompt_hash string, response string")
+    got = predict.answer_prompts(cases, prompts, answers, AS_OF).collect()
+    busy = sorted((r for r in got if r["customer_id"] == "busy"), key=lambda r: r["part"])
+    if error is None:
+        assert [(r["part"], r["parts"], r["reasoning"]) for r in busy] == [(i, parts, str(i)) for i in range(parts)]
+        whole = sorted((r["part"], r["prompt"]) for r in asked if r["customer_id"] == "busy")
+        assert [r["message"] for r in busy] == [prompt for _, prompt in whole]
+    else:
+        assert [(r["part"], r["parts"], r["error"]) for r in busy] == [(0, 1, error)]
+        assert busy[0]["message"] == busy[0]["reasoning"] and busy[0]["channel"] == "scheduling_phone_call"
+    assert {r["customer_id"] for r in got} == {r["customer_id"] for r in cases.collect()}
+    assert all(r["error"] is None for r in got if r["customer_id"] != "busy")
+
+
 @pytest.mark.parametrize("few", [True, False])
 def test_score_requests(spark, world, monkeypatch, few):
     monkeypatch.setattr(predict, "is_small", lambda ids: few)
