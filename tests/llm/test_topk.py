@@ -34,6 +34,22 @@ def test_table(spark):
     assert top_k(docs.limit(0), "vec_id % 20 = 0").collect() == []
 
 
+def test_ids_with_several_vectors(spark):
+    """A queried id with more vectors than k, some of them shared with other ids, and candidates with several."""
+    rng = random.Random(3)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(4)]) for i in range(1, 60)]
+    rows += [(20, [9.0 + i, 9.0, 9.0, 9.0]) for i in range(30)]
+    rows += [(7, rows[-1][1]), (40, rows[-1][1]), (40, [8.0] * 4), (8, [8.0] * 4), (9, [7.0] * 4), (9, [7.5] * 4)]
+    docs = spark.createDataFrame([(*r, "clash", "clash") for r in rows], SCHEMA).repartition(3)
+    for k in (1, 2, 20):
+        assert sorted(map(tuple, top_k(docs, "vec_id % 20 = 0", k=k).collect())) == brute(rows, k)
+    few = spark.createDataFrame(
+        [(20, [3.0], "", ""), (20, [2.0], "", ""), (20, [1.0], "", ""), (1, [1.0], "", ""), (2, [0.5], "", ""),
+         (3, [0.25], "", "")], SCHEMA)
+    got = top_k(few, "vec_id % 20 = 0", k=2)
+    assert sorted(r["vec_id"] for r in got.collect()) == [1, 1, 1, 2, 2, 2]
+
+
 @pytest.mark.parametrize("n, k, spread", [(1, 3, 1.0), (500, 5, 1.0), (3000, 3, 4.0), (3000, 21, 0.0)])
 def test_threshold_search(n, k, spread):
     rng = np.random.default_rng(n + k)
