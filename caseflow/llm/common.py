@@ -16,15 +16,37 @@ SPREAD = 64
 HOT_ROWS = 2000
 # An id list up to this length may be broadcast; a longer one is joined by shuffle.
 BROADCAST_IDS = 1_000_000
+# Spark's setting that removes the shuffle files of a query at its end.
+CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 # Text handled at once inside a task.
 SLICE_BYTES = 8 << 20
 
 
 def store(df: DataFrame) -> DataFrame:
     """Write the rows once to the shared folder and go on from there, whatever executors are lost."""
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/llm-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
+    before = spark.conf.get(CLEAN_SHUFFLES, None)
+    # The shuffles of the write are of no use once the rows are stored.
+    spark.conf.set(CLEAN_SHUFFLES, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEAN_SHUFFLES)
+        else:
+            spark.conf.set(CLEAN_SHUFFLES, before)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored.stored_at = path
+    return stored
+
+
+def used_up(*tables: DataFrame) -> None:
+    """Remove stored tables that no later step reads: what was made from them must be stored itself."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def texts(docs: DataFrame, doc_id="doc_id", text="text", **more) -> DataFrame:

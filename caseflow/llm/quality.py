@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from caseflow.llm.common import BROADCAST_IDS, hot_keys, slices, spread_join, store, texts, words_of
+from caseflow.llm.common import BROADCAST_IDS, hot_keys, slices, spread_join, store, texts, used_up, words_of
 from caseflow.llm.token_counts import ROW_BITS
 
 ORDER = 4
@@ -341,7 +341,9 @@ def score(docs: DataFrame, trusted_ids: DataFrame, frequent=FREQUENT_GRAMS) -> D
         "doc_id", "text", "lang", F.coalesce(~F.col("calibrates"), F.lit(False)).alias("trusted"))
     grams = store(count_grams(flagged))
     surprise = store(gram_surprise(grams))
-    gains = store(with_pair(pair_gains(store(count_pairs(flagged)), frequent)))
+    counts = store(count_pairs(flagged))
+    gains = store(with_pair(pair_gains(counts, frequent)))
+    used_up(grams, counts)
     context = docs.sparkSession.sparkContext
     known = context.broadcast(_listed(surprise, frequent))
     known_pairs = context.broadcast((_listed(gains, frequent), pair_filter(gains)))
@@ -354,12 +356,14 @@ def score(docs: DataFrame, trusted_ids: DataFrame, frequent=FREQUENT_GRAMS) -> D
 
     others = rarer("rest", surprise.select("g", "surprise"), F.col("surprise"), "others")
     paired = rarer("pairs", gains.select(F.col("k").alias("g"), "gain"), F.col("gain") - UNPAIRED, "paired")
-    return (
+    scored = store(
         rows.drop("rest", "pairs").join(others, "row", "left").join(paired, "row", "left")
         .join(marks, F.col("doc_id") == F.col("_id"), "left")
         .select("row", "doc_id", "lang", "chars", (F.col("known") + F.coalesce("others", F.lit(0.0))).alias("nll"),
                 "words", "fresh", (F.col("gained") + F.coalesce("paired", F.lit(0.0))).alias("gain"),
                 F.coalesce("calibrates", F.lit(False)).alias("calibrates")))
+    used_up(surprise, gains, rows, marks)
+    return scored
 
 
 def classify(docs: DataFrame, labels: DataFrame, width=4.0, slack=0.15, weight=200, frequent=FREQUENT_GRAMS,
@@ -371,9 +375,9 @@ def classify(docs: DataFrame, labels: DataFrame, width=4.0, slack=0.15, weight=2
     """
     docs = texts(docs, doc_id, text, lang=docs[lang].cast("string"))
     trusted = labels.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("q")).filter("q = 1")
-    scored = store(score(docs, trusted, frequent).withColumn(
+    scored = score(docs, trusted, frequent).withColumn(
         "x", F.when(F.col("chars") > 0, F.col("nll") / F.col("chars"))).withColumn(
-        "again", F.log((F.col("words") + FEW_WORDS) / (F.col("fresh") + FEW_WORDS))))
+        "again", F.log((F.col("words") + FEW_WORDS) / (F.col("fresh") + FEW_WORDS)))
     calibration = scored.filter("calibrates AND x IS NOT NULL")
     at = [0.05, 0.5, 0.95]
 
