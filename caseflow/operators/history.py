@@ -1,7 +1,8 @@
 """Whole, ordered message histories as text, without ever holding one customer in one task.
 
-A history of up to ``2 ** part_bits`` messages is one row. A longer one becomes several rows, numbered by
-``part``, whose texts follow each other; nothing is dropped.
+A history of up to ``2 ** part_bits`` messages and ``part_bytes`` bytes of text is one row. A longer one becomes several
+rows, numbered by ``part``, whose texts follow each other; nothing is dropped. A part has at most as many messages, and
+its texts less than ``part_bytes`` besides its last one.
 """
 
 from pyspark.sql import DataFrame, Window, functions as F
@@ -12,6 +13,9 @@ from caseflow.operators.skew import is_small, join_unique
 from caseflow.storage import durable
 
 PART_BITS = 13
+PART_BYTES = 64 << 20
+# A row id is the number of the partition, then the number of the row within it.
+ROW_BITS = 33
 FIND = object()
 BY_TIME = ("interaction_timestamp", "external_id")
 
@@ -32,17 +36,25 @@ def _single(rows):
     return _whole(_collect(rows, "customer_id"))
 
 
-def _split(rows, part_bits):
+def _split(rows, part_bits, part_bytes):
     """Histories that need several parts.
 
     A range shuffle on (customer, order) spreads one customer over many tasks in order. Row ids count
-    up within a task, so a block of consecutive ids is a run of consecutive messages. The placement is
+    up within a task, so a block of consecutive ids is a run of consecutive messages; the bytes up to a message, summed
+    within its task, cut the blocks where texts are long. The placement is
     stored once, because the parts are numbered from it and it differs between two range shuffles.
     """
+    row = F.col("row")
+    in_task = Window.partitionBy(F.shiftright(row, ROW_BITS)).orderBy("row").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
     placed = durable(
         rows.repartitionByRange("customer_id", "order")
         .sortWithinPartitions("customer_id", "order", "item")
-        .withColumn("block", F.shiftright(F.monotonically_increasing_id(), part_bits)))
+        .withColumn("row", F.monotonically_increasing_id())
+        .withColumn("upto", F.sum("size").over(in_task) - F.col("size"))
+        .withColumn("block", F.struct(
+            F.shiftright(row, part_bits).alias("rows"), F.floor(F.col("upto") / part_bytes).alias("bytes")))
+        .drop("row", "upto", "size"))
     in_order = Window.partitionBy("customer_id").orderBy("block")
     before = in_order.rowsBetween(Window.unboundedPreceding, -1)
     numbered = (
@@ -56,28 +68,33 @@ def _split(rows, part_bits):
         numbered, ["customer_id", "block"]).drop("block")
 
 
-def long_histories(df: DataFrame, key="participant_external_id", part_bits=PART_BITS):
-    """The customers whose history needs several parts, or None. Runs a job over the key column."""
+def _bytes(text):
+    return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
+
+
+def long_histories(
+        df: DataFrame, key="participant_external_id", part_bits=PART_BITS, text="content_text", part_bytes=PART_BYTES):
+    """The customers whose history needs several parts, or None. Runs a job over the key and the lengths of the texts."""
     long = (
         df.filter(F.col(key).cast("string") != "").groupBy(F.col(key).alias("customer_id"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") > 2 ** part_bits)
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(_bytes(text)).alias("bytes"))
+        .filter((F.col("n") > 2 ** part_bits) | (F.col("bytes") > part_bytes))
         .select("customer_id", F.lit(True).alias("is_long")))
     return None if long.isEmpty() else durable(long)
 
 
 def history_parts(
         df: DataFrame, item, key="participant_external_id", order=BY_TIME,
-        part_bits=PART_BITS, long=FIND) -> DataFrame:
+        part_bits=PART_BITS, long=FIND, text="content_text", part_bytes=PART_BYTES) -> DataFrame:
     """``customer_id, part, parts, offset, items``: each history in order, in parts of bounded length.
 
-    ``item`` is the Column kept per message and ``offset`` the number of messages before the part. The
-    range shuffle is planned only for the customers in ``long``, which is found out when not given.
+    ``item`` is the Column kept per message, ``text`` the column whose bytes are bounded, ``offset`` the number of messages before
+    the part. The range shuffle is planned only for the customers in ``long``, which is found out when not given.
     """
     if long is FIND:
-        long = long_histories(df, key, part_bits)
+        long = long_histories(df, key, part_bits, text, part_bytes)
     rows = df.filter(F.col(key).cast("string") != "").select(
-        F.col(key).alias("customer_id"), F.struct(*order).alias("order"), item.alias("item"))
+        F.col(key).alias("customer_id"), F.struct(*order).alias("order"), item.alias("item"), _bytes(text).alias("size"))
     columns = ["customer_id", "part", "parts", "offset", "items"]
     if long is None:
         return _single(rows).select(columns)
@@ -86,12 +103,13 @@ def history_parts(
     else:
         marked = join_unique(rows, long, "customer_id")
     single = _single(marked.filter("is_long is null").drop("is_long"))
-    split = _split(marked.filter("is_long").drop("is_long"), part_bits)
+    split = _split(marked.filter("is_long").drop("is_long"), part_bits, part_bytes)
     return single.select(columns).unionByName(split.select(columns))
 
 
 def bucketed_parts(
-        history: DataFrame, long_part: DataFrame, long: DataFrame, item, key, part_bits=PART_BITS) -> DataFrame:
+        history: DataFrame, long_part: DataFrame, long: DataFrame, item, key, part_bits=PART_BITS,
+        text="content_text", part_bytes=PART_BYTES) -> DataFrame:
     """The parts of ``history_parts`` from a history bucketed by ``key``: only customers in ``long`` are shuffled.
 
     ``long_part`` holds further messages of the customers in ``long``.
@@ -99,7 +117,7 @@ def bucketed_parts(
     long = long.select(F.col(long.columns[0]).alias(key), F.lit(True).alias("is_long"))
 
     def shaped(rows):
-        return rows.select(key, F.struct(*BY_TIME).alias("order"), item.alias("item"), "is_long")
+        return rows.select(key, F.struct(*BY_TIME).alias("order"), item.alias("item"), _bytes(text).alias("size"), "is_long")
 
     if is_small(long):
         marked = shaped(history.join(F.broadcast(long), key, "left"))
@@ -108,7 +126,7 @@ def bucketed_parts(
     single = _whole(marked.filter("is_long is null").groupBy(key).agg(
         F.sort_array(F.collect_list(F.struct("order", "item"))).alias("items")))
     rows = marked.filter("is_long").unionByName(shaped(long_part.withColumn("is_long", F.lit(True))))
-    split = _split(rows.select(F.col(key).alias("customer_id"), "order", "item"), part_bits)
+    split = _split(rows.select(F.col(key).alias("customer_id"), "order", "item", "size"), part_bits, part_bytes)
     columns = ["customer_id", "part", "parts", "offset", "items"]
     return single.withColumnRenamed(key, "customer_id").select(columns).unionByName(split.select(columns))
 
@@ -141,7 +159,8 @@ def collect_history(df: DataFrame, part_bits=PART_BITS, long=FIND) -> DataFrame:
 
 def chat_log(
         df: DataFrame, variant="prediction", key="participant_external_id", order=BY_TIME,
-        speaker=None, text="content_text", part_bits=PART_BITS, long=FIND, parts=None) -> DataFrame:
+        speaker=None, text="content_text", part_bits=PART_BITS, long=FIND, parts=None,
+        part_bytes=PART_BYTES) -> DataFrame:
     """The history as lines of ``speaker: text``. ``parts`` makes the parts of the lines where they are not made from ``df``.
 
     ``prediction`` names the speaker and strips the whole log; ``evaluation`` calls everyone
@@ -164,11 +183,11 @@ def chat_log(
             .otherwise(joined))
     else:
         raise ValueError(f"unknown chat log variant: {variant}")
-    found = parts(line) if parts else history_parts(df, line, key, order, part_bits, long)
+    found = parts(line) if parts else history_parts(df, line, key, order, part_bits, long, text, part_bytes)
     return found.select("customer_id", "part", "parts", joined.alias("chat_log"))
 
 
-def render_history(df: DataFrame, part_bits=PART_BITS, long=FIND) -> DataFrame:
+def render_history(df: DataFrame, part_bits=PART_BITS, long=FIND, part_bytes=PART_BYTES) -> DataFrame:
     """The history as numbered ``Interaction i (time) by who: text`` pieces without separator."""
     item = F.concat(
         F.lit(" ("), F.coalesce(iso_utc(F.col("interaction_timestamp")), F.lit("No timestamp")),
@@ -176,5 +195,5 @@ def render_history(df: DataFrame, part_bits=PART_BITS, long=FIND) -> DataFrame:
         F.coalesce("content_text", F.lit("No content")))
     numbered = F.transform("items", lambda row, i: F.concat(
         F.lit("Interaction "), (F.col("offset") + i + 1).cast("string"), row["item"]))
-    return history_parts(df, item, part_bits=part_bits, long=long).select(
+    return history_parts(df, item, part_bits=part_bits, long=long, part_bytes=part_bytes).select(
         "customer_id", "part", "parts", F.array_join(numbered, "").alias("history"))

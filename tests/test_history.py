@@ -57,6 +57,29 @@ def test_part_sizes_are_bounded(skewed):
     assert max(r["n"] for r in sizes) <= 16 and sum(r["n"] for r in sizes) == 600
 
 
+@pytest.mark.parametrize("bits", [3, 13])
+def test_long_texts_are_cut_by_bytes(interactions, bits):
+    """Few messages of much text, among them one above the bound, next to customers with short histories."""
+    rows = [(f"{i:04d}", "wordy", f"2024-01-01 00:{i // 60:02d}:{i % 60:02d}", f"{i:03d}é" * (1000 if i == 70 else 20 + i % 50))
+            for i in range(120)]
+    rows += [(f"9{i:03d}", f"u{i % 5}", "2024-01-02", None if i % 3 else "short") for i in range(40)]
+    df, bound = interactions(rows), 1500
+    parts = history.chat_log(df, part_bits=bits, part_bytes=bound).orderBy("customer_id", "part").collect()
+    for who in {row[1] for row in rows}:
+        mine = [p for p in parts if p["customer_id"] == who]
+        assert [(p["part"], p["parts"]) for p in mine] == [(i, len(mine)) for i in range(len(mine))]
+        assert "\n".join(p["chat_log"] for p in mine) == expected_log(rows, who)
+        for p in mine:
+            sizes = [len(line.removeprefix(f"{who}: ").encode()) for line in p["chat_log"].split("\n")]
+            assert sum(sizes[:-1]) < bound and len(sizes) <= 2 ** bits
+    assert sum(p["customer_id"] == "wordy" for p in parts) > 15
+    assert max(p["parts"] for p in parts if p["customer_id"] != "wordy") == 1
+    texts = history.render_history(df, bits, part_bytes=bound).orderBy("part").collect()
+    whole = "".join(r["history"] for r in texts if r["customer_id"] == "wordy")
+    positions = [whole.index(f"Interaction {i} (") for i in range(1, 121)]
+    assert positions == sorted(positions)
+
+
 def test_short_histories_need_one_shuffle(skewed):
     _, df = skewed
     plan = plan_of(history.chat_log(df))
