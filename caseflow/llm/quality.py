@@ -381,12 +381,17 @@ def classify(docs: DataFrame, labels: DataFrame, width=4.0, slack=0.15, weight=2
     calibration = scored.filter("calibrates AND x IS NOT NULL")
     at = [0.05, 0.5, 0.95]
 
+    def per_language(table):
+        # Half of the rows may have one language: a checked list is broadcast, only a longer one is joined by shuffle.
+        table = store(table)
+        return F.broadcast(table) if table.count() <= BROADCAST_IDS else table
+
     def fences(*by):
         centre = calibration.groupBy(*by).agg(
             F.percentile_approx("x", 0.5, 10_000).alias("median"),
             F.percentile_approx(F.col("gain") / F.col("words"), 0.5, 10_000).alias("usual"))
         if by:
-            drawn = calibration.join(centre, list(by))
+            drawn = calibration.join(per_language(centre), list(by))
         else:
             drawn = calibration.withColumns({
                 name: F.lit(value).cast("double") for name, value in centre.first().asDict().items()})
@@ -400,7 +405,7 @@ def classify(docs: DataFrame, labels: DataFrame, width=4.0, slack=0.15, weight=2
             F.try_divide(F.lit(1.0), F.sqrt(F.count(F.lit(1)))).alias("doubt")).alias("own"))
 
     # One row per language; the fence of all languages is four numbers.
-    own = fences("lang").filter("lang IS NOT NULL")
+    own = per_language(fences("lang").filter("lang IS NOT NULL"))
     every = fences().first()["own"]
     fenced = scored.join(own, "lang", "left").withColumn("fence", F.coalesce("own", F.struct(
         F.lit(every["median"]).cast("double").alias("median"),
