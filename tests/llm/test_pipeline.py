@@ -47,7 +47,7 @@ def test_empty_documents(spark):
 def test_registered():
     names = set(contract.queries())
     assert set(QUERIES) < names and "pipeline" in names and set(ORACLES) < set(contract.oracle_sql())
-    assert {int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES} == set(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
