@@ -1,10 +1,16 @@
 """Where intermediate results live that must outlast an executor."""
 
+import itertools
 import re
 import tempfile
+import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Rows of a file in a scratch folder: what one task wrote is read again by several.
+SCRATCH_ROWS = 100_000
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
@@ -32,3 +38,22 @@ def durable(df: DataFrame) -> DataFrame:
     """Store the rows once in the shared folder and go on from there."""
     _checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """``keep(df)``: store rows once in the shared folder, as compressed columns, and go on from there. The folder goes
+    with the end of the block, so what is made from it must be written by then."""
+    folder = f"{shared_dir(spark).rstrip('/')}/scratch-{uuid.uuid4().hex}"
+    numbers = itertools.count()
+
+    def keep(df: DataFrame) -> DataFrame:
+        path = f"{folder}/{next(numbers)}"
+        df.write.option("compression", "zstd").option("maxRecordsPerFile", SCRATCH_ROWS).parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    try:
+        yield keep
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

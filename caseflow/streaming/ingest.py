@@ -16,7 +16,7 @@ from caseflow.plans.session import job_settings, now_text
 from caseflow.schemas import RAW_TWEET
 from caseflow.sources import sinks, tables
 from caseflow.sources.tweets import CSV_OPTIONS
-from caseflow.storage import durable
+from caseflow.storage import scratch
 
 LEFT_OUT = "left_out"
 # Words of 64 bits that the identities of a month are spread over.
@@ -60,52 +60,62 @@ def _bits(rows):
     return rows.withColumns({"word": F.pmod(F.xxhash64("identity"), F.lit(1 << WORD_BITS)), "mask": mask})
 
 
-def known_identities(firsts: DataFrame, root, batch_id) -> DataFrame:
+def known_identities(ids: DataFrame, root, batch_id, keep) -> DataFrame:
     """(identity, known, known_stored, known_batch): the best copy seen before of each identity of a micro-batch.
 
-    The bits of each month say which identities may lie in it; only the months that they name are asked exactly.
+    The bits of each month say which identities may lie in it; only the months that they name are asked exactly, and
+    the copies themselves are read only of the identities that were found.
     """
-    spark = firsts.sparkSession
+    spark = ids.sparkSession
     bits = tables.table(spark, root, "identity_bits").filter(F.col("batch_id") != batch_id)
-    named = bits.join(_bits(firsts.select("identity")), "word").filter(F.col("bits").bitwiseAND(F.col("mask")) == F.col("mask"))
+    named = bits.join(_bits(ids), "word").filter(F.col("bits").bitwiseAND(F.col("mask")) == F.col("mask"))
     months = [row["id_month"] for row in named.select("id_month").distinct().collect()]
     asked = F.col("id_month").isin([month for month in months if month is not None])
     if None in months:
         asked = asked | F.col("id_month").isNull()
     seen = tables.table(spark, root, "identities").filter((F.col("batch_id") != batch_id) & asked)
-    return seen.join(firsts.select("identity"), "identity", "left_semi").groupBy("identity").agg(
+    found = keep(ids.join(seen.select("identity"), "identity", "left_semi"))
+    return seen.join(found, "identity", "left_semi").groupBy("identity").agg(
         F.min(F.struct(_order().alias("order"), "is_stored", "batch_id")).alias("best")).select(
         "identity", F.col("best.order").alias("known"), F.col("best.is_stored").alias("known_stored"),
         F.col("best.batch_id").alias("known_batch"))
 
 
-def mark_left_out(rows: DataFrame, root, batch_id, loaded: DataFrame, profile="flag", late_before=None) -> DataFrame:
+def mark_left_out(rows: DataFrame, root, batch_id, loaded: DataFrame, keep, profile="flag", late_before=None) -> DataFrame:
     """The rows with ``left_out``: null, or why a row is not stored; and what is known of their identity.
 
     ``late``: older than ``late_before``; ``copy``: a copy of another row, of this micro-batch or of one before, of
-    which the earliest counts; ``stored``: its identity is stored by an earlier micro-batch or is in ``loaded``;
-    ``no_text``: the profile ``clean`` wants a text, and the earliest copy has none.
+    which the earliest counts; ``stored``: its identity is stored by an earlier micro-batch or is in ``loaded``, of which
+    the months of the rows are asked; ``no_text``: the profile ``clean`` wants a text, and the earliest copy has none.
+
+    Texts are stored twice and shuffled once: the first rows are judged where the search for them brings them, and the
+    others are told by their number.
     """
     late = F.lit(False)
     if late_before is not None:
         late = F.coalesce(F.col("interaction_timestamp") < instant(late_before), F.lit(False))
-    numbered = durable(rows.withColumns({
+    numbered = keep(rows.withColumns({
         "identity": identity(), "_late": late, "_row": F.monotonically_increasing_id()}))
+    months = _months(numbered)
+    in_months = F.col("event_month").isin([m for m in months if m is not None])
+    if None in months:
+        in_months = in_months | F.col("event_month").isNull()
+    in_loads = loaded.filter(in_months).select(identity().alias("identity")).distinct().withColumn("_loaded", F.lit(True))
+    ids = numbered.filter("not _late").select("identity").distinct()
     # The first of each identity is found inside each task before the shuffle.
     order = Window.partitionBy("identity").orderBy(_order(), "_row")
-    firsts = durable(
-        numbered.filter("not _late").withColumn("_rank", F.row_number().over(order)).filter("_rank = 1").drop("_rank"))
-    in_loads = loaded.select(identity().alias("identity")).distinct().withColumn("_loaded", F.lit(True))
-    judged = (
-        firsts.join(known_identities(firsts, root, batch_id), "identity", "left").join(in_loads, "identity", "left")
-        .withColumn("_better", F.col("known").isNull() | (_order() < F.col("known"))))
+    firsts = numbered.filter("not _late").withColumn("_rank", F.row_number().over(order)).filter("_rank = 1")
     no_text = F.col("content_text").isNull() if profile == "clean" else F.lit(False)
-    judged = judged.select("_row", "_better", "known_stored", "known_batch", F.when(F.col("_loaded"), "stored").when(
-        ~F.col("_better"), F.when(F.col("known_stored"), "stored").otherwise("copy")).when(no_text, "no_text")
-        .otherwise("").alias("_reason"))
-    return numbered.join(judged, "_row", "left").withColumn(
-        "left_out", F.when(F.col("_late"), "late").otherwise(F.nullif(F.coalesce("_reason", F.lit("copy")), F.lit("")))
-    ).drop("_row", "_late", "_reason")
+    judged = keep(
+        firsts.join(known_identities(ids, root, batch_id, keep), "identity", "left").join(in_loads, "identity", "left")
+        .withColumn("_better", F.col("known").isNull() | (_order() < F.col("known")))
+        .withColumn("left_out", F.when(F.col("_loaded"), "stored").when(
+            ~F.col("_better"), F.when(F.col("known_stored"), "stored").otherwise("copy")).when(no_text, "no_text"))
+        .select(*numbered.columns, "_better", "known_stored", "known_batch", "left_out"))
+    further = keep(numbered.select("_row").join(judged.select("_row"), "_row", "left_anti"))
+    others = numbered.join(further, "_row", "left_semi").withColumn(
+        "left_out", F.when(F.col("_late"), "late").otherwise("copy"))
+    return judged.unionByName(others, allowMissingColumns=True).drop("_row", "_late")
 
 
 def remember(marked: DataFrame, root, batch_id) -> None:
@@ -145,45 +155,41 @@ def store_micro_batch(
     """Store one micro-batch of raw tweets in its own folders. A replayed one replaces itself."""
     spark = batch.sparkSession
     batch_id = f"{name}-{number:010d}"
-    rows = durable(stream_rows(batch, as_of, platform))
-    months = _months(rows)
+    rows = stream_rows(batch, as_of, platform)
     # What this stream stored is known by its identities; rows of loads are looked for in the months of the rows.
     loaded = tables.table(spark, root, "interactions").filter(~F.col("batch_id").startswith(f"{name}-"))
-    in_months = F.col("event_month").isin([m for m in months if m is not None])
-    if None in months:
-        in_months = in_months | F.col("event_month").isNull()
     late_before = None
     if delay is not None:
         # The high mark of the micro-batches before this one: one small row each.
         late_before = stream_batches(spark, root, name).filter(F.col("number") < number).agg(
             (F.max("max_timestamp") - F.expr(f"interval {delay}")).cast("string").alias("mark")).first()["mark"]
-    if copies == "keep":
-        marked = durable(mark_unfit(rows, profile, late_before))
-    else:
-        marked = durable(mark_left_out(rows, root, batch_id, loaded.filter(in_months), profile, late_before))
-    folder = sinks.write_interactions(
-        marked.filter("left_out is null").drop("left_out").transform(_quality, profile), root, batch_id, as_of)
-    if copies != "keep":
-        remember(marked, root, batch_id)
-    marked.filter("left_out is not null").select(*rows.columns, "left_out").write.mode("overwrite").parquet(
-        f"{tables.path_of(root, LEFT_OUT)}/batch_id={batch_id}")
-    written = spark.read.schema(schemas.INTERACTION_STORED).parquet(folder).agg(
-        F.count(F.lit(1)).alias("stored"),
-        F.max("interaction_timestamp").cast("string").alias("max_timestamp")).first()
-    # A stored row that a better copy replaced is a copy left out.
-    replaced = tables.table(spark, root, "superseded").filter(F.col("by_batch") == batch_id).count()
-    reasons = [F.count_if(F.coalesce(F.col("left_out") == why, F.lit(False))).alias(f"left_out_{why}")
-               for why in ("late", "copy", "stored", "no_text")]
-    read = marked.agg(
-        F.count(F.lit(1)).alias("records"),
-        F.count_if(F.col("interaction_timestamp").isNull()).alias("without_time"),
-        F.count_if(F.coalesce(F.col("external_id"), F.lit("")) == "").alias("without_id"), *reasons)
-    read.withColumns({
-        "stored": F.lit(written["stored"] - replaced).cast("long"),
-        "left_out_copy": F.col("left_out_copy") + F.lit(replaced),
-        "max_timestamp": F.lit(written["max_timestamp"]).cast("timestamp"),
-        "number": F.lit(number).cast("long")}).coalesce(1).write.mode("overwrite").parquet(
-        f"{tables.path_of(root, METRICS)}/stream={name}/batch={number}")
+    with scratch(spark) as keep:
+        if copies == "keep":
+            marked = keep(mark_unfit(rows, profile, late_before))
+        else:
+            marked = mark_left_out(rows, root, batch_id, loaded, keep, profile, late_before)
+        folder = sinks.write_interactions(
+            marked.filter("left_out is null").drop("left_out").transform(_quality, profile), root, batch_id, as_of)
+        if copies != "keep":
+            remember(marked, root, batch_id)
+        marked.filter("left_out is not null").select(*rows.columns, "left_out").write.mode("overwrite").parquet(
+            f"{tables.path_of(root, LEFT_OUT)}/batch_id={batch_id}")
+        written = spark.read.schema(schemas.INTERACTION_STORED).parquet(folder).count()
+        # A stored row that a better copy replaced is a copy left out.
+        replaced = tables.table(spark, root, "superseded").filter(F.col("by_batch") == batch_id).count()
+        reasons = [F.count_if(F.coalesce(F.col("left_out") == why, F.lit(False))).alias(f"left_out_{why}")
+                   for why in ("late", "copy", "stored", "no_text")]
+        read = marked.agg(
+            F.count(F.lit(1)).alias("records"),
+            # Of all rows read: a copy that is left out has been seen too.
+            F.max("interaction_timestamp").alias("max_timestamp"),
+            F.count_if(F.col("interaction_timestamp").isNull()).alias("without_time"),
+            F.count_if(F.coalesce(F.col("external_id"), F.lit("")) == "").alias("without_id"), *reasons)
+        read.withColumns({
+            "stored": F.lit(written - replaced).cast("long"),
+            "left_out_copy": F.col("left_out_copy") + F.lit(replaced),
+            "number": F.lit(number).cast("long")}).coalesce(1).write.mode("overwrite").parquet(
+            f"{tables.path_of(root, METRICS)}/stream={name}/batch={number}")
 
 
 def stream_ingest(

@@ -1,9 +1,12 @@
+from pathlib import Path
+
 import pytest
 
 from caseflow.plans.ingest import ingest
 from caseflow.plans.rollups import build_rollups
 from caseflow.schemas import RAW_TWEET
 from caseflow.sources import sinks, tables
+from caseflow.storage import shared_dir
 from caseflow.streaming.ingest import left_out, stream_ingest, stream_metrics
 from caseflow.streaming.scoring import score_stream
 
@@ -64,6 +67,23 @@ def test_late_rows_are_left_out_when_asked(spark, tmp_path, folder):
     assert stream_metrics(spark, root)["left_out_late"] == 1
 
 
+def test_copies_left_out_count_for_the_latest_time(spark, tmp_path, folder):
+    root, state = folder + "/t", folder + "/s"
+    for name, rows in (("1.csv", [(1, "a", 10, 1, "one"), (1, "a", 10, 5, "one again")]), ("2.csv", [(2, "a", 10, 2, "late")])):
+        stream_ingest(spark, add(tmp_path, name, rows), root, state, AS_OF, delay="1 hour")
+    assert stored(spark, root) == ["1"] and stream_metrics(spark, root)["left_out_late"] == 1
+
+
+def test_a_micro_batch_leaves_no_intermediate_rows(spark, tmp_path, folder):
+    def files():
+        return {path for path in Path(shared_dir(spark)).rglob("*") if path.is_file()}
+
+    before = files()
+    inbox = add(tmp_path, "1.csv", [(1, "a", 10, 1, "one"), (1, "a", 10, 5, "one again"), (2, "b", 10, 1, "two")])
+    stream_ingest(spark, inbox, folder + "/t", folder + "/s", AS_OF)
+    assert stored(spark, folder + "/t") == ["1", "2"] and files() <= before
+
+
 @pytest.mark.parametrize("profile", ["flag", "clean"])
 def test_stream_stores_what_the_batch_stores(spark, tmp_path, folder, profile):
     # Files in the wrong order of time, rows without id, author or readable time.
