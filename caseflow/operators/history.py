@@ -101,7 +101,8 @@ def history_parts(
     if is_small(long):
         marked = rows.join(F.broadcast(long), "customer_id", "left")
     else:
-        marked = join_unique(rows, long, "customer_id")
+        # Read three times: for the short histories, and for the ranges of the long ones and their bounds.
+        marked = durable(join_unique(rows, long, "customer_id"))
     single = _single(marked.filter("is_long is null").drop("is_long"))
     split = _split(marked.filter("is_long").drop("is_long"), part_bits, part_bytes)
     return single.select(columns).unionByName(split.select(columns))

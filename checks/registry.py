@@ -14,6 +14,7 @@ from caseflow.plans.scoring import evaluate_batch, predict_batch
 from caseflow.schemas import FEATURE_COLUMNS, INTERACTION, PREDICTION_COLUMNS
 from caseflow.sources import sinks, tables
 from caseflow.sources.tweets import read_tweets, scan_csv
+from caseflow.storage import durable
 from caseflow.streaming.ingest import stream_batches, stream_ingest
 from caseflow.streaming.scoring import score_stream
 from checks import fixtures as fx
@@ -871,7 +872,8 @@ LEFT JOIN rendered r ON d.customer_id = r.customer_id""", "decided rendered conv
 def prompt_answers(spark, sf):
     inter = fx.interactions(spark, sf)
     decided = predict.recommend(fx.profiles(spark, sf).select("customer_id", "created_at"), inter, AS_OF)
-    prompts = predict.build_prompt(decided, inter, "{history}", part_bits=2)
+    # Prompts are sent out and their answers come back, so they are stored.
+    prompts = durable(predict.build_prompt(decided, inter, "{history}", part_bits=2))
     answers = fx.part_answers(prompts, fx.conversations(spark, sf))
     rows = predict.answer_prompts(decided, prompts, answers, AS_OF)
     # The answers repeat their prompts, so the parts in order are the whole history.

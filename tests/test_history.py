@@ -86,6 +86,15 @@ def test_short_histories_need_one_shuffle(skewed):
     assert plan.count("Exchange") == 1 and "Python" not in plan
 
 
+def test_many_long_histories_are_marked_once(skewed, monkeypatch):
+    """The join that marks them is stored, not repeated for the short ones, the long ones and the bounds of their ranges."""
+    rows, df = skewed
+    monkeypatch.setattr(history, "is_small", lambda frame: False)
+    parts = history.collect_history(df, part_bits=3)
+    assert "_salt" not in plan_of(parts)
+    assert parts.selectExpr("sum(size(messages))").first()[0] == len(rows)
+
+
 def test_join_parts_keeps_customers_without_messages(spark, skewed):
     _, df = skewed
     customers = spark.createDataFrame([("hot", 1), ("nobody", 2), ("u1", 3)], "customer_id string, n int")
