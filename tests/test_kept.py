@@ -12,6 +12,8 @@ from caseflow.plans import kept as keeping
 from caseflow.plans.rollups import build_features, build_rollups
 from caseflow.plans.scoring import predict_batch, score_requests
 from caseflow.sources import sinks, tables
+from caseflow.sources.tweets import read_tweets
+from checks import fixtures, registry
 from conftest import plan_of
 
 AS_OF = "2024-03-02T10:20:30+00:00"
@@ -176,3 +178,14 @@ def test_a_version_that_failed_is_written_over(spark, folder, monkeypatch):
     assert keeping.keep_up(spark, folder, AS_OF) == 2
     assert same(keeping.kept_features(keeping.kept(spark, folder), AS_OF),
                 extract_features(tables.interactions(spark, folder), AS_OF))
+
+
+def test_files_of_three_loads_hold_each_row_once(spark, monkeypatch):
+    """Each load reads all rows up to its mark; files that held the earlier ones again grew faster than the input."""
+    folders, sf, new_folder = [], "/root/testdata/sf0.001", fixtures.new_folder
+    monkeypatch.setattr(fixtures, "new_folder", lambda *args: folders.append(new_folder(*args)) or folders[-1])
+    root = registry._keep(spark, sf, {})
+    files = [f for f in folders if "/tweets-" in f]
+    written = sum(read_tweets(spark, f).count() for f in files)
+    timed = fixtures.raw_tweets(spark, sf).filter("created_at <> 'garbage'").count()
+    assert written == timed == tables.interactions(spark, root).count()
