@@ -35,6 +35,8 @@ GROUP_PIECES = 1500
 WINDOW_BITS = 24
 # Pre-tokens whose ids a Python worker remembers.
 REMEMBERED = 500_000
+# Text handled at once inside a task: its words and ids take many times its bytes.
+PACK_BYTES = 2 << 20
 # Pieces handed over at once.
 BATCH_PIECES = 2048
 
@@ -94,7 +96,7 @@ def token_pieces(docs: DataFrame, window=WINDOW, end_id=END_ID, vocabulary=VOCAB
         narrow = id_type(encoder.tokenizer, end_id)
         number = TaskContext.get().partitionId() << ROW_BITS
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=PACK_BYTES):
                 distinct, codes, rows = pre_tokens(part.column("text"))
                 flat, first, many = encoder.encode(distinct.to_pylist())
                 size = many[codes]

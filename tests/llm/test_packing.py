@@ -3,10 +3,13 @@
 import random
 import zlib
 from collections import defaultdict
+from unittest import mock
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from caseflow.llm import packing
 from caseflow.llm.packing import difference, pack, pack_lengths
 from caseflow.llm.token_counts import load_tokenizer
 
@@ -95,3 +98,16 @@ def test_what_is_remembered_changes_no_id(spark):
     assert sorted(some) == sorted(everything)
     assert sorted(tuple(r)[:-1] for r in everything) == sorted(map(tuple, pack(docs, ids=False).collect()))
     assert all(r.ids_crc32 == zlib.crc32(bytes(r.ids)) for r in everything)
+
+
+def test_tasks_handle_little_text_at_once(monkeypatch):
+    """The words and ids of a slice take many times its bytes, and several workers share an executor's memory."""
+    handled, pre_tokens = [], packing.pre_tokens
+    monkeypatch.setattr(packing, "pre_tokens", lambda column: handled.append(column.nbytes) or pre_tokens(column))
+    monkeypatch.setattr(packing, "TaskContext", mock.Mock(**{"get.return_value.partitionId.return_value": 0}))
+    docs = mock.MagicMock()
+    packing.token_pieces(docs)
+    cut = docs.mapInArrow.call_args.args[0]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(40)), "text": ["word " * 40_000] * 40})
+    assert sum(out.num_rows for out in cut([batch])) == 40 * 10
+    assert max(handled) <= 3 << 20
