@@ -52,6 +52,10 @@ FILTER_BITS = 27
 GAIN_SLACK, AGAIN_SLACK = 0.15, 0.5
 # Every 5th trusted document calibrates the fences and is not counted.
 FOLDS = 5
+# Pairs are counted and joined in so many ranges of their numbers, and documents judged in so many parts, one after the
+# other: what a round shuffles and stores goes with its end.
+PAIR_RANGES = 3
+JUDGED_PARTS = 2
 
 
 def word_grams(words):
@@ -77,9 +81,10 @@ def part_grams(split):
     again = np.zeros(len(codes), bool)
     again[1:] = (codes[1:] == codes[:-1]) & (rows[1:] == rows[:-1])
     codes = np.where(again, len(distinct), codes)
-    words = [*distinct.to_pylist(), AGAIN]
+    words = [*distinct.to_numpy(zero_copy_only=False), AGAIN]
     grams, word = word_grams(words)
-    unique, number = np.unique(grams, return_inverse=True)
+    coded = pa.array(grams).dictionary_encode()
+    unique, number = coded.dictionary.to_numpy(), coded.indices.to_numpy()
     return unique, number, word, len(words), codes, rows
 
 
@@ -93,19 +98,35 @@ def pair_number(before, words):
     return _mix(_mix(before + np.uint64(1)) + words).view(np.int64)
 
 
+def word_hashes(distinct):
+    """A 64-bit hash of each word: the mixed sum of its mixed bytes and their places."""
+    np.seterr(over="ignore")
+    large = distinct.cast(pa.large_string())
+    if not len(large):
+        return np.zeros(0, np.uint64)
+    ends = np.frombuffer(large.buffers()[1], np.int64)[large.offset:large.offset + len(large) + 1]
+    length, start = np.diff(ends), ends - ends[0]
+    data = np.frombuffer(large.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]].astype(np.uint64)
+    place = (np.arange(len(data)) - np.repeat(start[:-1], length)).astype(np.uint64)
+    mixed = _mix((data + (place << np.uint64(8)) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed)])
+    return _mix(sums[start[1:]] - sums[start[:-1]] + length.astype(np.uint64))
+
+
 def part_pairs(distinct, codes, rows):
     """(64-bit pair, hash of the word before or 0, hash of the word) of each word of a slice."""
-    import xxhash
-
-    np.seterr(over="ignore")
-    hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in distinct.to_pylist()), np.uint64, len(distinct))
-    words = hashes[codes]
+    words = word_hashes(distinct)[codes]
     before = np.zeros(len(words), np.uint64)
     inside = rows[1:] == rows[:-1]
     before[1:][inside] = words[:-1][inside]
     return pair_number(before, words), before.view(np.int64), words.view(np.int64)
 
 
+def pair_range(pair, ranges):
+    """The range that a pair is counted and joined in."""
+    return (pair.view(np.uint64) >> np.uint64(32)) % np.uint64(ranges)
+
+
 def fresh_words(words, rows, n):
     """Per row the words that do not stand earlier in it after the same BEFORE words."""
     runs = words.view(np.uint64)
@@ -121,51 +142,66 @@ def fresh_words(words, rows, n):
     return np.bincount(rows, minlength=n) - np.bincount(of_row[order[1:]][again], minlength=n)
 
 
-def count_pairs(docs: DataFrame) -> DataFrame:
-    """(a, b, c): how often word b stands after a in trusted text; without b, how often a stands there at all."""
+def count_pairs(docs: DataFrame, at=0, ranges=1) -> DataFrame:
+    """(a, b, c): how often word b stands after a in trusted text, for the pairs of range ``at``; in range 0 also rows without
+    b, how often a stands there at all."""
     def count(batches):
         for batch in batches:
             for part in slices(batch, limit=GRAM_BYTES):
                 pair, a, b = part_pairs(*words_of(part.column("text")))
-                _, at, c = np.unique(pair, return_index=True, return_counts=True)
-                order = np.argsort(a[at])
-                at, c = at[order], c[order]
-                yield pa.RecordBatch.from_arrays([pa.array(a[at]), pa.array(b[at]), pa.array(c)], ["a", "b", "c"])
-                # The mark before the first word stands once a text.
-                word, n = np.unique(np.concatenate([a[a == 0], b]), return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(word), pa.nulls(len(word), pa.int64()), pa.array(n)], ["a", "b", "c"])
+                here = np.flatnonzero(pair_range(pair, ranges) == at)
+                _, first, c = np.unique(pair[here], return_index=True, return_counts=True)
+                first = here[first]
+                order = np.argsort(a[first])
+                first, c = first[order], c[order]
+                yield pa.RecordBatch.from_arrays([pa.array(a[first]), pa.array(b[first]), pa.array(c)], ["a", "b", "c"])
+                if at == 0:
+                    # The mark before the first word stands once a text.
+                    word, n = np.unique(np.concatenate([a[a == 0], b]), return_counts=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(word), pa.nulls(len(word), pa.int64()), pa.array(n)], ["a", "b", "c"])
 
     return docs.filter("trusted").select("text").mapInArrow(count, "a long, b long, c long").groupBy("a", "b").agg(
         F.sum("c").alias("c"))
 
 
-def pair_gains(counts: DataFrame, frequent=FREQUENT_GRAMS) -> DataFrame:
-    """(a, b, gain, c) of every pair of trusted text; any other pair gains ln(1 - PAIRED)."""
+def count_words(counts: DataFrame, frequent=FREQUENT_GRAMS):
+    """(stored table of w and n, number of words in trusted text, broadcast list of the most frequent ones, whether it has all)."""
     words = store(counts.filter("b IS NULL").select(F.col("a").alias("w"), F.col("c").alias("n")))
     total = words.filter("w <> 0").agg(F.sum("n")).first()[0] or 1
-    listed = store(words.orderBy(F.desc("n"), "w").limit(frequent))
-    joined = counts.filter("b IS NOT NULL")
-    for side in ("a", "b"):
-        # The counts of frequent words come in place; the pairs of a rarer word are few.
-        known, every = (t.select(F.col("w").alias(side), F.col("n").alias(f"c{side}")) for t in (listed, words))
-        short = F.broadcast(known)
-        joined = joined.join(short, side).unionByName(
-            spread_join(joined.join(short, side, "left_anti"), every, side, hot_keys(every, side, f"c{side}")))
-    ratio = F.col("c") * F.lit(float(total)) / (F.col("ca").cast("double") * F.col("cb"))
-    return joined.select("a", "b", F.log(PAIRED * ratio + (1 - PAIRED)).alias("gain"), "c")
+    listed = _listed(words.select("w", F.col("n").alias("value"), "n"), frequent)
+    return words, total, words.sparkSession.sparkContext.broadcast(listed), words.count() <= frequent
 
 
-def with_pair(gains: DataFrame) -> DataFrame:
-    """(k, gain, c): each pair under its 64-bit number."""
-    def pack(batches):
+def pair_gains(counts: DataFrame, frequent=FREQUENT_GRAMS, words=None) -> DataFrame:
+    """(k, gain, c) of every pair of trusted text under its 64-bit number; any other pair gains ln(1 - PAIRED)."""
+    words, total, listed, whole = words or count_words(counts, frequent)
+
+    def number(batches):
         np.seterr(over="ignore")
+        keys, values = listed.value
         for batch in batches:
-            a, b = (batch.column(side).to_numpy().view(np.uint64) for side in ("a", "b"))
+            a, b = (batch.column(side).to_numpy() for side in ("a", "b"))
+            filled = []
+            for side in (a, b):
+                at, found = look_up(keys, side)
+                filled.append(pa.array(values[at] if len(keys) else np.zeros(len(side), np.int64), mask=~found))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(pair_number(a, b)), batch.column("gain"), batch.column("c")], ["k", "gain", "c"])
-
-    return gains.mapInArrow(pack, "k long, gain double, c long")
+                [pa.array(pair_number(a.view(np.uint64), b.view(np.uint64))), *batch.columns, *filled],
+                ["k", "a", "b", "c", "ca", "cb"])
+
+    numbered = counts.filter("b IS NOT NULL").select("a", "b", "c").mapInArrow(
+        number, "k long, a long, b long, c long, ca long, cb long")
+    joined = numbered.filter("ca IS NOT NULL AND cb IS NOT NULL")
+    if not whole:
+        # The pairs of a word that is not listed are few.
+        rarer = numbered.filter("ca IS NULL OR cb IS NULL").drop("ca", "cb")
+        for side in ("a", "b"):
+            every = words.select(F.col("w").alias(side), F.col("n").alias(f"c{side}"))
+            rarer = spread_join(rarer, every, side, hot_keys(every, side, f"c{side}"))
+        joined = joined.unionByName(rarer)
+    ratio = F.col("c") * F.lit(float(total)) / (F.col("ca").cast("double") * F.col("cb"))
+    return joined.select("k", F.log(PAIRED * ratio + (1 - PAIRED)).alias("gain"), "c")
 
 
 def count_grams(docs: DataFrame) -> DataFrame:
@@ -188,19 +224,40 @@ def count_grams(docs: DataFrame) -> DataFrame:
 
 
 def _listed(table, frequent):
-    """The most frequent keys and their values, in order of the keys."""
+    """The most frequent keys and their values, in order of the keys: at most ``frequent``, of equally frequent ones all or none.
+    Nothing but the numbers of rows by frequency is shuffled for it."""
     key, value, n = table.columns
-    listed = table.orderBy(F.desc(n), key).limit(frequent).select(key, value).toArrow()
+    least, rows = None, 0
+    for size, count in table.groupBy(n).count().orderBy(F.desc(n)).collect():
+        rows += count
+        if rows > frequent:
+            break
+        least = size
+    listed = table.filter(F.lit(False) if least is None else F.col(n) >= least).select(key, value).toArrow()
     keys, values = (listed[c].to_numpy() for c in (key, value))
     order = np.argsort(keys)
     return keys[order], values[order]
 
 
+def look_up(keys, wanted):
+    """(place in the sorted keys, whether it is there) of each value; places are right where it is there."""
+    if not len(keys):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    # Values in order are looked up several times faster.
+    order = np.argsort(wanted)
+    at = np.empty(len(wanted), np.int64)
+    at[order] = np.minimum(np.searchsorted(keys, wanted[order]), len(keys) - 1)
+    return at, keys[at] == wanted
+
+
 def pair_filter(gains: DataFrame):
     """Bits set at the known pairs, in 64-bit words: what is not set is not known."""
     bit = F.col("k").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
-    set_bits = gains.groupBy(F.shiftright(bit, 6).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(k & 63 as int))")).alias("bits")).toArrow()
+    # Stored, so that the shuffle goes before documents are judged.
+    stored = store(gains.groupBy(F.shiftright(bit, 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(k & 63 as int))")).alias("bits")))
+    set_bits = stored.toArrow()
+    used_up(stored)
     bits = np.zeros(1 << FILTER_BITS - 6, np.uint64)
     bits[set_bits["word"].to_numpy()] = set_bits["bits"].to_numpy().view(np.uint64)
     return bits
@@ -213,27 +270,31 @@ def _lists(of_row, n, **values):
         pa.StructArray.from_arrays([pa.array(v.astype(np.int64)) for v in values.values()], list(values)))
 
 
-def part_gains(part, split, known, bits):
-    """Per document of a slice: (words, fresh words, gain by the known list, list of pairs that may be known besides)."""
+def part_gains(part, split, known, bits, ranges=1):
+    """Per document of a slice: (words, fresh words, gain by the known list, for each range a list of pairs that may be known
+    besides)."""
     n = part.num_rows
     keys, values = known
     distinct, codes, rows = split
     pair, _, words = part_pairs(distinct, codes, rows)
-    at = np.minimum(np.searchsorted(keys, pair), max(0, len(keys) - 1))
-    found = keys[at] == pair if len(keys) else np.zeros(len(pair), bool)
-    gain = np.where(found, values[at], UNPAIRED) if len(keys) else np.full(len(pair), UNPAIRED)
     place = pair & ((1 << FILTER_BITS) - 1)
     maybe = bits[place >> 6] >> (place & 63).astype(np.uint64) & np.uint64(1) == 1
     # Trusted text holds its own pairs, which says nothing about it.
     judged = ~part.column("trusted").to_numpy(zero_copy_only=False).astype(bool)
-    left = np.flatnonzero(maybe & ~found & judged[rows])
+    left = np.flatnonzero(maybe & judged[rows])
+    at, found = look_up(keys, pair[left])
+    gain = np.full(len(pair), UNPAIRED)
+    gain[left[found]] = values[at[found]]
+    left = left[~found]
     left = left[np.lexsort((pair[left], rows[left]))]
     some, own = pair[left], rows[left]
     start = np.flatnonzero(np.r_[len(left) > 0, (some[1:] != some[:-1]) | (own[1:] != own[:-1])][:len(left)])
     f = np.diff(np.r_[start, len(left)])
+    some, own = some[start], own[start]
+    of = pair_range(some, ranges)
     sums = np.bincount(rows, gain, n)
     return (np.bincount(rows, minlength=n), fresh_words(words, rows, n), pa.array(sums, mask=~judged),
-            _lists(own[start], n, g=some[start], f=f))
+            [_lists(own[of == r], n, g=some[of == r], f=f[of == r]) for r in range(ranges)])
 
 
 def discounts(tables):
@@ -289,19 +350,19 @@ def gram_surprise(grams: DataFrame) -> DataFrame:
     return grams.join(p.withColumnRenamed("k", "g"), "g").select("g", (-F.log("p")).alias("surprise"), "n")
 
 
-def _sum_known(docs, known, known_pairs):
+def _sum_known(docs, known, known_pairs, at=0, parts=1, ranges=1):
     def add(batches):
         keys, values = known.value
         pairs_listed, bits = known_pairs.value
-        row = TaskContext.get().partitionId() << ROW_BITS
+        row = TaskContext.get().partitionId() * parts + at << ROW_BITS
         for batch in batches:
             for part in slices(batch, limit=GRAM_BYTES):
                 n = part.num_rows
                 split = words_of(part.column("text"))
                 unique, number, word, words, codes, rows = part_grams(split)
-                at = np.minimum(np.searchsorted(keys, unique), max(0, len(keys) - 1))
-                found = keys[at] == unique if len(keys) else np.zeros(len(unique), bool)
-                value = np.where(found, values[at], 0.0) if len(keys) else np.zeros(len(unique))
+                listed, found = look_up(keys, unique)
+                value = np.zeros(len(unique))
+                value[found] = values[listed[found]]
                 per_word = np.bincount(word, value[number], words)
                 nll = np.bincount(rows, per_word[codes], n)
                 chars = np.bincount(rows, np.bincount(word, minlength=words)[codes], n).astype(np.int64)
@@ -317,17 +378,18 @@ def _sum_known(docs, known, known_pairs):
                 pairs, f = np.unique(key, return_counts=True)
                 of_row, code = np.divmod(pairs, max(1, len(unique)))
                 lists = _lists(of_row, n, g=unique[code], f=f)
-                said, fresh, gain, pair_lists = part_gains(part, split, pairs_listed, bits)
+                said, fresh, gain, pair_lists = part_gains(part, split, pairs_listed, bits, ranges)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.arange(row, row + n)), part.column("doc_id"), part.column("lang"),
-                     pa.array(chars), pa.array(nll), lists, pa.array(said), pa.array(fresh), gain, pair_lists],
-                    ["row", "doc_id", "lang", "chars", "known", "rest", "words", "fresh", "gained", "pairs"])
+                     pa.array(chars), pa.array(nll), lists, pa.array(said), pa.array(fresh), gain, *pair_lists],
+                    ["row", "doc_id", "lang", "chars", "known", "rest", "words", "fresh", "gained", *of_ranges])
                 row += n
 
     kind = docs.schema["doc_id"].dataType.simpleString()
+    of_ranges = [f"pairs{r}" for r in range(ranges)]
     return docs.select("doc_id", "text", "lang", "trusted").mapInArrow(
         add, f"row long, doc_id {kind}, lang string, chars long, known double, rest array<struct<g:long,f:long>>, "
-             "words long, fresh long, gained double, pairs array<struct<g:long,f:long>>")
+             "words long, fresh long, gained double" + "".join(f", {c} array<struct<g:long,f:long>>" for c in of_ranges))
 
 
 def score(docs: DataFrame, trusted_ids: DataFrame, frequent=FREQUENT_GRAMS) -> DataFrame:
@@ -341,29 +403,43 @@ def score(docs: DataFrame, trusted_ids: DataFrame, frequent=FREQUENT_GRAMS) -> D
         "doc_id", "text", "lang", F.coalesce(~F.col("calibrates"), F.lit(False)).alias("trusted"))
     grams = store(count_grams(flagged))
     surprise = store(gram_surprise(grams))
-    counts = store(count_pairs(flagged))
-    gains = store(with_pair(pair_gains(counts, frequent)))
-    used_up(grams, counts)
+    used_up(grams)
+    gains, words = [], None
+    for r in range(PAIR_RANGES):
+        counts = store(count_pairs(flagged, r, PAIR_RANGES))
+        words = words or count_words(counts, frequent)
+        gains.append(store(pair_gains(counts, frequent, words)))
+        used_up(counts)
+    used_up(words[0])
+    every = reduce(DataFrame.unionByName, gains)
     context = docs.sparkSession.sparkContext
     known = context.broadcast(_listed(surprise, frequent))
-    known_pairs = context.broadcast((_listed(gains, frequent), pair_filter(gains)))
-    rows = store(_sum_known(flagged, known, known_pairs))
+    known_pairs = context.broadcast((_listed(every, frequent), pair_filter(every)))
 
-    def rarer(lists, table, value, name):
+    def rarer(rows, lists, table, value, name):
         return (
             rows.select("row", F.explode(lists).alias("one")).select("row", "one.g", "one.f")
             .join(table, "g").groupBy("row").agg(F.sum(F.col("f") * value).alias(name)))
 
-    others = rarer("rest", surprise.select("g", "surprise"), F.col("surprise"), "others")
-    paired = rarer("pairs", gains.select(F.col("k").alias("g"), "gain"), F.col("gain") - UNPAIRED, "paired")
-    scored = store(
-        rows.drop("rest", "pairs").join(others, "row", "left").join(paired, "row", "left")
-        .join(marks, F.col("doc_id") == F.col("_id"), "left")
-        .select("row", "doc_id", "lang", "chars", (F.col("known") + F.coalesce("others", F.lit(0.0))).alias("nll"),
-                "words", "fresh", (F.col("gained") + F.coalesce("paired", F.lit(0.0))).alias("gain"),
-                F.coalesce("calibrates", F.lit(False)).alias("calibrates")))
-    used_up(surprise, gains, rows, marks)
-    return scored
+    scored = []
+    for at in range(JUDGED_PARTS):
+        part = flagged.filter(F.pmod(F.xxhash64("doc_id"), F.lit(JUDGED_PARTS)) == at)
+        rows = store(_sum_known(part, known, known_pairs, at, JUDGED_PARTS, PAIR_RANGES))
+        others = rarer(rows, "rest", surprise.select("g", "surprise"), F.col("surprise"), "others")
+        summed = [store(rarer(
+            rows, f"pairs{r}", gains[r].select(F.col("k").alias("g"), "gain"), F.col("gain") - UNPAIRED, "paired"))
+            for r in range(PAIR_RANGES)]
+        paired = reduce(DataFrame.unionByName, summed).groupBy("row").agg(F.sum("paired").alias("paired"))
+        scored.append(store(
+            rows.drop("rest", *(f"pairs{r}" for r in range(PAIR_RANGES)))
+            .join(others, "row", "left").join(paired, "row", "left")
+            .join(marks, F.col("doc_id") == F.col("_id"), "left")
+            .select("row", "doc_id", "lang", "chars", (F.col("known") + F.coalesce("others", F.lit(0.0))).alias("nll"),
+                    "words", "fresh", (F.col("gained") + F.coalesce("paired", F.lit(0.0))).alias("gain"),
+                    F.coalesce("calibrates", F.lit(False)).alias("calibrates"))))
+        used_up(rows, *summed)
+    used_up(surprise, *gains, marks)
+    return reduce(DataFrame.unionByName, scored)
 
 
 def classify(docs: DataFrame, labels: DataFrame, width=4.0, slack=0.15, weight=200, frequent=FREQUENT_GRAMS,

@@ -5,9 +5,11 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from caseflow.llm import quality
 from caseflow.llm.quality import (
     AGAIN, END, START, classify, count_grams, count_pairs, fresh_words, gram_surprise, keep_good, pair_gains, word_grams)
 
@@ -178,3 +180,45 @@ def test_fresh_words_by_hand():
     codes = np.array([distinct.setdefault(w, len(distinct)) + 1 for r in rows for w in r.split()], np.int64)
     of_row = np.repeat(np.arange(len(rows)), [len(r.split()) for r in rows])
     assert fresh_words(codes, of_row, 5).tolist() == [5, 4, 1, 3, 0]
+
+
+def test_no_step_stores_or_lists_all_pairs_at_once(spark, prose, monkeypatch):
+    docs, labels = prose
+    flagged = docs.join(labels, "doc_id", "left").select(
+        "text", ((F.col("quality") == 1) & (F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) != 0))
+        .alias("trusted")).na.fill(False)
+    whole = {(r.a, r.b): r.c for r in count_pairs(flagged).collect() if r.b is not None}
+    held = []
+
+    def stored(df, plain=quality.store):
+        table = plain(df)
+        if {"a", "b", "c"} <= set(df.columns) or "gain" in df.columns and "k" in df.columns:
+            held.append(table.count())
+        return table
+
+    monkeypatch.setattr(quality, "store", stored)
+    classify(docs, labels, frequent=20).collect()
+    assert held and max(held) < 0.7 * len(whole)
+
+
+@pytest.mark.parametrize("ranges", [1, 3])
+def test_ranges_of_pairs_hold_each_pair_once(spark, ranges):
+    docs = spark.createDataFrame([("a b a b", True), ("b c é", True), ("a b", True), ("", True)], "text string, trusted boolean")
+    parts = [count_pairs(docs, r, ranges).collect() for r in range(ranges)]
+    assert sorted(r.c for p in parts for r in p if r.b is not None) == [1, 1, 1, 1, 2, 3]
+    assert sorted(r.c for p in parts for r in p if r.b is None) == [1, 1, 3, 3, 4]
+
+
+def test_word_hashes_differ():
+    words = ["", "a", "b", "ab", "ba", "aa", "aaa", "é", "\x00", "\x00\x00", *(f"w{i}" for i in range(100_000))]
+    column = pa.array(["out", *words])
+    got = quality.word_hashes(column[1:])
+    assert len(set(got.tolist())) == len(words) and (got == quality.word_hashes(pa.array(words))).all()
+    assert len(quality.word_hashes(pa.array([], pa.string()))) == 0
+
+
+def test_listed_are_the_most_frequent_without_a_sort(spark):
+    table = spark.createDataFrame([(k, k / 2, n) for k, n in ((7, 9), (3, 5), (4, 5), (1, 1))], "k long, v double, n long")
+    for frequent, wanted in ((0, []), (1, [7]), (2, [7]), (3, [3, 4, 7]), (9, [1, 3, 4, 7])):
+        keys, values = quality._listed(table, frequent)
+        assert keys.tolist() == wanted and values.tolist() == [k / 2 for k in wanted]
