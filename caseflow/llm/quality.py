@@ -28,6 +28,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -60,17 +61,23 @@ JUDGED_PARTS = 2
 
 def word_grams(words):
     """(4-gram, word number) for each character and the end of each word; a 4-gram is 16 bits a character."""
-    marked = [START * (ORDER - 1) + word + END for word in words]
-    chars = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    chars = np.minimum(chars, np.uint64(0xFFFF))
-    length = np.fromiter(map(len, marked), np.int64, len(marked))
-    grams = length - (ORDER - 1)
-    start = np.cumsum(length) - length
-    word = np.repeat(np.arange(len(words)), grams)
-    last = np.arange(grams.sum()) - np.repeat(np.cumsum(grams) - grams - start, grams) + ORDER - 1
-    packed = chars[last]
+    words = pa.array(words, pa.large_string()) if isinstance(words, list) else words.cast(pa.large_string())
+    n = len(words)
+    ends = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + n + 1] if n else np.zeros(1, np.int64)
+    data = (words.buffers()[2] or b"")[ends[0]:ends[-1]] if n else b""
+    chars = np.frombuffer(bytes(data).decode().encode("utf-32-le"), np.uint32)
+    size = pc.utf8_length(words).to_numpy().astype(np.int64) if n else np.zeros(0, np.int64)
+    # Each word has its marks around it: ORDER - 1 before, one after.
+    marked = np.full(len(chars) + ORDER * n, ord(START), np.uint64)
+    grams = size + 1
+    number = np.arange(n)
+    marked[np.arange(len(chars)) + np.repeat(number * ORDER + ORDER - 1, size)] = np.minimum(chars, 0xFFFF)
+    marked[np.cumsum(size) + number * ORDER + ORDER - 1] = ord(END)
+    word = np.repeat(number, grams)
+    last = np.arange(len(word)) + (word + 1) * (ORDER - 1)
+    packed = marked[last]
     for back in range(1, ORDER):
-        packed |= chars[last - back] << np.uint64(16 * back)
+        packed |= marked[last - back] << np.uint64(16 * back)
     return packed.view(np.int64), word
 
 
@@ -81,7 +88,7 @@ def part_grams(split):
     again = np.zeros(len(codes), bool)
     again[1:] = (codes[1:] == codes[:-1]) & (rows[1:] == rows[:-1])
     codes = np.where(again, len(distinct), codes)
-    words = [*distinct.to_numpy(zero_copy_only=False), AGAIN]
+    words = pa.concat_arrays([distinct, pa.array([AGAIN], distinct.type)])
     grams, word = word_grams(words)
     coded = pa.array(grams).dictionary_encode()
     unique, number = coded.dictionary.to_numpy(), coded.indices.to_numpy()
@@ -177,29 +184,27 @@ def pair_gains(counts: DataFrame, frequent=FREQUENT_GRAMS, words=None) -> DataFr
     """(k, gain, c) of every pair of trusted text under its 64-bit number; any other pair gains ln(1 - PAIRED)."""
     words, total, listed, whole = words or count_words(counts, frequent)
 
-    def number(batches):
+    def number(batches, listed_only):
         np.seterr(over="ignore")
         keys, values = listed.value
         for batch in batches:
-            a, b = (batch.column(side).to_numpy() for side in ("a", "b"))
-            filled = []
-            for side in (a, b):
-                at, found = look_up(keys, side)
-                filled.append(pa.array(values[at] if len(keys) else np.zeros(len(side), np.int64), mask=~found))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(pair_number(a.view(np.uint64), b.view(np.uint64))), *batch.columns, *filled],
-                ["k", "a", "b", "c", "ca", "cb"])
-
-    numbered = counts.filter("b IS NOT NULL").select("a", "b", "c").mapInArrow(
-        number, "k long, a long, b long, c long, ca long, cb long")
-    joined = numbered.filter("ca IS NOT NULL AND cb IS NOT NULL")
+            a, b, c = (column.to_numpy() for column in batch.columns)
+            (at_a, found_a), (at_b, found_b) = look_up(keys, a), look_up(keys, b)
+            rows = np.flatnonzero((found_a & found_b) == listed_only)
+            k = pair_number(a[rows].view(np.uint64), b[rows].view(np.uint64))
+            sides = [values[at_a[rows]], values[at_b[rows]]] if listed_only and len(keys) else [a[rows], b[rows]]
+            names = ["k", "ca", "cb", "c"] if listed_only else ["k", "a", "b", "c"]
+            yield pa.RecordBatch.from_arrays([pa.array(k), *map(pa.array, sides), pa.array(c[rows])], names)
+
+    pairs = counts.filter("b IS NOT NULL").select("a", "b", "c")
+    joined = pairs.mapInArrow(lambda batches: number(batches, True), "k long, ca long, cb long, c long")
     if not whole:
         # The pairs of a word that is not listed are few.
-        rarer = numbered.filter("ca IS NULL OR cb IS NULL").drop("ca", "cb")
+        rarer = pairs.mapInArrow(lambda batches: number(batches, False), "k long, a long, b long, c long")
         for side in ("a", "b"):
             every = words.select(F.col("w").alias(side), F.col("n").alias(f"c{side}"))
             rarer = spread_join(rarer, every, side, hot_keys(every, side, f"c{side}"))
-        joined = joined.unionByName(rarer)
+        joined = joined.unionByName(rarer.drop("a", "b"))
     ratio = F.col("c") * F.lit(float(total)) / (F.col("ca").cast("double") * F.col("cb"))
     return joined.select("k", F.log(PAIRED * ratio + (1 - PAIRED)).alias("gain"), "c")
 

@@ -222,3 +222,11 @@ def test_listed_are_the_most_frequent_without_a_sort(spark):
     for frequent, wanted in ((0, []), (1, [7]), (2, [7]), (3, [3, 4, 7]), (9, [1, 3, 4, 7])):
         keys, values = quality._listed(table, frequent)
         assert keys.tolist() == wanted and values.tolist() == [k / 2 for k in wanted]
+
+
+def test_grams_of_words_from_arrow():
+    words = ["", "ab", "é😀x", "", AGAIN, "the"]
+    wanted = [(packed(mark[i - 3:i + 1]), n) for n, mark in enumerate(START * 3 + w + END for w in words) for i in range(3, len(mark))]
+    for column in (words, pa.array(["out", *words])[1:]):
+        grams, word = word_grams(column)
+        assert list(zip(grams.tolist(), word.tolist())) == wanted
