@@ -1,6 +1,7 @@
 """What several operators share: stored intermediate tables, skewed joins, slices of Arrow batches."""
 
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -18,24 +19,36 @@ HOT_ROWS = 2000
 BROADCAST_IDS = 1_000_000
 # Spark's setting that removes the shuffle files of a query at its end.
 CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# Spark's setting of how many bytes of rows go to a Python worker at once, besides 10,000 rows.
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 # Text handled at once inside a task.
 SLICE_BYTES = 8 << 20
 
 
+@contextmanager
+def settings(spark, values):
+    """Settings of the session for a while."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    try:
+        for key, value in values.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def store(df: DataFrame) -> DataFrame:
     """Write the rows once to the shared folder and go on from there, whatever executors are lost."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
-    before = spark.conf.get(CLEAN_SHUFFLES, None)
-    # The shuffles of the write are of no use once the rows are stored.
-    spark.conf.set(CLEAN_SHUFFLES, "true")
-    try:
+    # The shuffles of the write are of no use once the rows are stored. A batch is cut into slices in any case, and both the
+    # executor and its Python worker hold it whole.
+    with settings(spark, {CLEAN_SHUFFLES: "true", BATCH_BYTES: spark.conf.get(BATCH_BYTES, str(SLICE_BYTES))}):
         df.write.option("compression", "zstd").parquet(path)
-    finally:
-        if before is None:
-            spark.conf.unset(CLEAN_SHUFFLES)
-        else:
-            spark.conf.set(CLEAN_SHUFFLES, before)
     stored = spark.read.schema(df.schema).parquet(path)
     stored.stored_at = path
     return stored

@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, Window
 
 from caseflow.llm.common import BROADCAST_IDS, store
@@ -113,9 +114,10 @@ def route(capacity, members, quota, limit):
     return given
 
 
-def _small(spark, rows, schema):
-    """A table of one row per pattern."""
-    table = spark.createDataFrame(rows, schema)
+def _small(spark, rows, **types):
+    """A table of one row per pattern. It goes as Arrow, since Python workers, which stay, would read a list of rows."""
+    columns = zip(*rows) if rows else [()] * len(types)
+    table = spark.createDataFrame(pa.table({name: pa.array(c, types[name]) for name, c in zip(types, columns)}))
     return F.broadcast(table) if len(rows) <= BROADCAST_IDS else table
 
 
@@ -130,7 +132,7 @@ def _edges(units, need):
         if not state:
             break
         table = _small(spark, [(p, low, words) for p, (low, words) in state.items()],
-                       "pattern long, low long, need long")
+                       pattern=pa.int64(), low=pa.int64(), need=pa.int64())
         inside = units.join(table, "pattern").filter(
             F.shiftright(F.col("place") - F.col("low"), bits + LEVEL_BITS) == 0).filter("place >= low")
         part = F.shiftright(F.col("place") - F.col("low"), bits)
@@ -212,7 +214,7 @@ def mix(docs: DataFrame, weights=(3, 1, 2), share=1.5, limit=2, targets=None, se
     need = {i: given[i] - whole[i] * size for i, (_, size) in enumerate(patterns)}
 
     numbers = _small(spark, [(list(names), i) for i, (names, _) in enumerate(patterns)],
-                     "members array<string>, pattern long")
+                     members=pa.list_(pa.string()), pattern=pa.int64())
     same = F.col("a.members").eqNullSafe(F.col("b.members"))
 
     def numbered(rows):
@@ -224,7 +226,7 @@ def mix(docs: DataFrame, weights=(3, 1, 2), share=1.5, limit=2, targets=None, se
     edges |= _edges(units, {i: words for i, words in need.items() if words > 0 and i not in edges})
     cuts = _small(spark, [
         (i, whole[i], *edges.get(i, (0, 0))) for i in range(len(patterns))],
-        "pattern long, whole long, edge long, need long")
+        pattern=pa.int64(), whole=pa.int64(), edge=pa.int64(), need=pa.int64())
     next_ones = Window.partitionBy("pattern").orderBy("place")
     near = (
         units.join(cuts, "pattern").filter("need > 0 AND place >= edge")
@@ -251,7 +253,7 @@ def mix_report(docs: DataFrame, source="source", doc_id="doc_id", **options) ->
     """One row per document: doc_id, size, source_size, target, taken; for documents of one source each."""
     mixed = mix(docs, source=source, doc_id=doc_id, **options)
     sources = _small(docs.sparkSession, [(name, *of) for name, of in mixed.sources.items()],
-                     "source string, source_size long, target double")
+                     source=pa.string(), source_size=pa.int64(), target=pa.float64())
     rows = mixed.documents.select(
         F.col("doc")[doc_id].alias("doc_id"), F.col("doc")[source].cast("string").alias("of"), "size", "taken")
     return rows.join(sources, F.col("of").eqNullSafe(F.col("source"))).select(

@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from caseflow.llm.common import slices, texts
+from caseflow.llm.common import BATCH_BYTES, settings, slices, store, texts
 from caseflow.llm.token_counts import (
     ENCODE_AT_ONCE, FREQUENT_BYTES, ROW_BITS, VOCABULARY, load_tokenizer, pre_tokens)
 
@@ -36,7 +36,7 @@ WINDOW_BITS = 24
 # Pre-tokens whose ids a Python worker remembers.
 REMEMBERED = 500_000
 # Text handled at once inside a task: its words and ids take many times its bytes.
-PACK_BYTES = 2 << 20
+PACK_BYTES = 1 << 20
 # Pieces handed over at once.
 BATCH_PIECES = 2048
 
@@ -242,8 +242,9 @@ def pack(docs: DataFrame, window=WINDOW, end_id=END_ID, vocabulary=VOCABULARY, g
         1 + F.floor(F.coalesce(F.octet_length("text"), F.lit(0)) / F.lit(window)))).first()[0] or 0
     groups = max(1, math.ceil(most / group))
     narrow = id_type(load_tokenizer(vocabulary), end_id)
-    pieces = token_pieces(docs, window, end_id, vocabulary, remembered, ids).withColumn(
-        "group", F.pmod(F.xxhash64("piece"), F.lit(groups)))
+    with settings(docs.sparkSession, {BATCH_BYTES: str(PACK_BYTES)}):
+        pieces = store(token_pieces(docs, window, end_id, vocabulary, remembered, ids))
+    pieces = pieces.withColumn("group", F.pmod(F.xxhash64("piece"), F.lit(groups)))
 
     def place(table: pa.Table) -> pa.Table:
         # In order of their numbers, whatever order the shuffle brings.

@@ -32,13 +32,14 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from caseflow.llm.common import BROADCAST_IDS, hot_keys, slices, spread_join, store, texts, used_up, words_of
+from caseflow.llm.common import (
+    BATCH_BYTES, BROADCAST_IDS, hot_keys, settings, slices, spread_join, store, texts, used_up, words_of)
 from caseflow.llm.token_counts import ROW_BITS
 
 ORDER = 4
 FREQUENT_GRAMS = 500_000
 # Text handled at once inside a task: its n-grams take many times its bytes.
-GRAM_BYTES = 2 << 20
+GRAM_BYTES = 1 << 20
 START, END, AGAIN = "\x02", "\x03", "\x04"
 MASKS = [(1 << 16 * order) - 1 for order in range(5)]
 # Words that stand before a word for it and them to be a phrase.
@@ -456,7 +457,9 @@ def classify(docs: DataFrame, labels: DataFrame, width=4.0, slack=0.15, weight=2
     """
     docs = texts(docs, doc_id, text, lang=docs[lang].cast("string"))
     trusted = labels.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("q")).filter("q = 1")
-    scored = score(docs, trusted, frequent).withColumn(
+    with settings(docs.sparkSession, {BATCH_BYTES: str(GRAM_BYTES)}):
+        scored = score(docs, trusted, frequent)
+    scored = scored.withColumn(
         "x", F.when(F.col("chars") > 0, F.col("nll") / F.col("chars"))).withColumn(
         "again", F.log((F.col("words") + FEW_WORDS) / (F.col("fresh") + FEW_WORDS)))
     calibration = scored.filter("calibrates AND x IS NOT NULL")

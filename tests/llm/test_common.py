@@ -2,7 +2,9 @@
 
 import os
 
-from caseflow.llm.common import CLEAN_SHUFFLES, store, used_up
+import pyarrow as pa
+
+from caseflow.llm.common import BATCH_BYTES, CLEAN_SHUFFLES, SLICE_BYTES, settings, store, used_up
 
 
 def test_stored_rows_outlast_their_source(spark):
@@ -15,3 +17,18 @@ def test_stored_rows_outlast_their_source(spark):
     assert sorted(map(tuple, second.collect())) == [(0, 143), (1, 143), (2, 143)]
     empty = store(second.limit(0))
     assert empty.columns == ["k", "count"] and empty.collect() == []
+
+
+def test_batches_of_stored_rows_are_bounded_in_bytes(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], ["n", "bytes"])
+
+    before = spark.conf.get(BATCH_BYTES, None)
+    long = spark.range(0, 9000, 1, 1).selectExpr("repeat('word ', 800 + id % 2) AS text")
+    for limit, own in ((SLICE_BYTES, {}), (1 << 20, {BATCH_BYTES: str(1 << 20)})):
+        with settings(spark, own):
+            rows = store(long.mapInArrow(sizes, "n long, bytes long")).collect()
+        assert spark.conf.get(BATCH_BYTES, None) == before
+        assert sum(r.n for r in rows) == 9000 and sum(r.bytes for r in rows) > 4 * SLICE_BYTES
+        assert max(r.bytes for r in rows) < 1.1 * limit

@@ -4,9 +4,10 @@ import itertools
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
-from caseflow.llm.mixing import in_order, mix, mix_report, mixed_copies, route, weighted_targets
+from caseflow.llm.mixing import _small, in_order, mix, mix_report, mixed_copies, route, weighted_targets
 
 SCHEMA = "doc_id long, text string, source string, size string, taken string"
 
@@ -80,3 +81,13 @@ def test_copies_and_empty(spark):
     assert copies.columns == docs.columns
     assert abs(copies.count() - 150) <= 2
     assert mix_report(frame(spark, [])).collect() == []
+
+
+def test_tables_of_patterns_need_no_python_worker(spark):
+    types = {"members": pa.list_(pa.string()), "pattern": pa.int64()}
+    rows = [(["a", None], 0), ([None], 1), (["zero\u0000"], 2)]
+    for some in (rows, []):
+        table = _small(spark, some, **types)
+        plan = table._jdf.queryExecution().executedPlan().toString()
+        assert "LocalTableScan" in plan and "ExistingRDD" not in plan
+        assert [(r.members, r.pattern) for r in table.collect()] == some

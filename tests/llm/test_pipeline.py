@@ -1,12 +1,15 @@
 """The pipeline stage by stage, and the registered queries against SQL."""
 
+import importlib
 import re
 
 import pytest
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from caseflow.llm.quality import classify
+from caseflow.llm.common import BATCH_BYTES
+from caseflow.llm.packing import pack
+from caseflow.llm.quality import classify, keep_good
 from caseflow.llm.queries import ORACLES, QUERIES
 from checks.compare import _rows, connect
 
@@ -37,6 +40,23 @@ def test_stages(spark):
     assert after.agg({"length": "sum"}).first()[0] >= before.count()
 
 
+@pytest.mark.parametrize("module", ["quality", "packing"])
+def test_text_goes_to_workers_in_small_batches(spark, module, monkeypatch):
+    """Words, n-grams and ids take many times the bytes of a batch, and two workers share an executor's memory."""
+    docs, labels = (spark.read.parquet(f"{SF}/{name}.parquet") for name in ("documents", "labels"))
+    module, limits = importlib.import_module(f"caseflow.llm.{module}"), []
+
+    def stored(df, plain=module.store):
+        if "MapInArrow" in df._jdf.queryExecution().executedPlan().toString():
+            limits.append(int(spark.conf.get(BATCH_BYTES, str(64 << 20))))
+        return plain(df)
+
+    monkeypatch.setattr(module, "store", stored)
+    (keep_good(docs, labels) if module.__name__.endswith("quality") else pack(docs)).count()
+    assert limits and max(limits) <= 1 << 20
+    assert spark.conf.get(BATCH_BYTES, None) is None
+
+
 def test_empty_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
