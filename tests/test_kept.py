@@ -1,6 +1,8 @@
 """Tables kept up load by load: equal to a rebuild after every load, from the new loads and the old state alone."""
 
 import random
+import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -189,3 +191,70 @@ def test_files_of_three_loads_hold_each_row_once(spark, monkeypatch):
     written = sum(read_tweets(spark, f).count() for f in files)
     timed = fixtures.raw_tweets(spark, sf).filter("created_at <> 'garbage'").count()
     assert written == timed == tables.interactions(spark, root).count()
+
+
+def shuffle_files(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    names = (blocks.apply(i).name() for i in range(blocks.size()))
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+def test_jobs_leave_no_shuffles_and_no_stored_rows(spark, folder):
+    """Shuffle files stayed until the driver collected its garbage, and stored rows for good."""
+    add_load(spark, folder, 1, make_rows(1, 240, 1000))
+    before, shared = shuffle_files(spark), Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+
+    def kept_files():
+        return {f for f in shared.rglob("part-*") if "/tables-" not in str(f) and "/tweets-" not in str(f)}
+
+    files = kept_files()
+    keeping.keep_up(spark, folder, AS_OF, buckets=4, part_bits=5)
+    keeping.predict_kept(spark, folder, f"{folder}/out", AS_OF)
+    for _ in range(20):
+        left = shuffle_files(spark) - before
+        if not left:
+            break
+        time.sleep(0.5)
+    assert not left and kept_files() == files
+
+
+def test_short_logs_are_joined_where_they_lie(spark, loaded):
+    """With long histories about, all short logs were shuffled once more to meet their customers."""
+    now = keeping.kept(spark, loaded)
+    predictions = spark.range(20).select(F.concat(F.lit("u"), "id").alias("customer_id"), F.lit("x").alias("channel"))
+    rows = keeping._with_short_logs(predictions, now)
+    plan = plan_of(rows)
+    history = plan[plan.index("ObjectHashAggregate" if "ObjectHashAggregate" in plan else "SortAggregate"):]
+    assert "Bucketed: true" in history and "content_text" in history
+    assert "Exchange hashpartitioning" not in history.split("BroadcastExchange")[0]
+    got = {r["customer_id"]: r["chat_log"] for r in rows.collect()}
+    short = {r["participant_external_id"] for r in now.history().join(
+        now.long(), F.col("participant_external_id") == F.col("customer_id"), "left_anti").collect()}
+    assert {who for who, log in got.items() if log} == short and got["u19"] is None
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_exported_logs_are_whole_and_in_order(spark, loaded, tmp_path, monkeypatch, small):
+    monkeypatch.setattr(keeping, "is_small", lambda df: small)
+    out = str(tmp_path / "out")
+    keeping.predict_kept(spark, loaded, out, AS_OF)
+    rows = spark.read.options(header=True, multiLine=True, quote='"', escape='"').csv(out)
+    got = {}
+    for row in sorted(rows.collect(), key=lambda r: (r["customer_id"], int(r["part"]))):
+        got.setdefault(row["customer_id"], []).append(row)
+    want = {r["customer_id"]: r["chat_log"] for r in history.chat_log(tables.interactions(spark, loaded)).collect()}
+    assert got.keys() == want.keys() and len(got["hot"]) > 1
+    for who, parts in got.items():
+        assert [(int(p["part"]), int(p["parts"])) for p in parts] == [(i, len(parts)) for i in range(len(parts))]
+        assert len({(p["channel"], p["message"], p["send_time"]) for p in parts}) == 1
+        assert "\n".join(p["chat_log"] or "" for p in parts).strip() == want[who].strip()
+
+
+def test_files_of_the_loads_go_after_them(spark, monkeypatch):
+    """They stayed beside the tables made from them."""
+    folders, new_folder = [], fixtures.new_folder
+    monkeypatch.setattr(fixtures, "new_folder", lambda *args: folders.append(new_folder(*args)) or folders[-1])
+    monkeypatch.setattr(registry, "_KEPT", {})
+    root = registry._kept(spark, "/root/testdata/sf0.001")
+    assert tables.interactions(spark, root).count() > 0
+    assert not [f for f in folders if "/tweets-" in f and Path(f.removeprefix("file:")).exists()]
