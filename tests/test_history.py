@@ -128,3 +128,29 @@ def test_collect_history(interactions):
     df = interactions([(2, "a", "2024-01-02", "b"), (1, "a", "2024-01-01", None)])
     messages = history.collect_history(df).first()["messages"]
     assert [(m["external_id"], m["content_text"]) for m in messages] == [("1", None), ("2", "b")]
+
+
+@pytest.mark.parametrize("bits, size", [(0, 1 << 20), (2, 1 << 20), (4, 30), (13, 25), (13, 1 << 20)])
+def test_parts_by_customer_are_those_of_ranges(skewed, bits, size):
+    """What a task can hold takes one shuffle by customer; the messages of a part and their order are as bounded as before."""
+    data, df = skewed
+    rows = df.select(
+        F.col("participant_external_id").alias("customer_id"), F.struct(*history.BY_TIME).alias("order"),
+        F.col("content_text").alias("item"), history._bytes("content_text").alias("size"))
+    parts = history._split_by_customer(rows, bits, size)
+    assert plan_of(parts).count("Exchange ") == 1
+    by_customer = {}
+    for part in parts.collect():
+        by_customer.setdefault(part["customer_id"], []).append(part)
+    ranged = {}
+    for row in history._split(rows, bits, size).collect():
+        ranged.setdefault(row["customer_id"], []).append(row)
+    assert by_customer.keys() == ranged.keys() == {who for _, who, _, _ in data}
+    for who, found in by_customer.items():
+        found.sort(key=lambda p: p["part"])
+        items = [item for part in found for item in part["items"]]
+        assert items == [item for part in sorted(ranged[who], key=lambda p: p["part"]) for item in part["items"]]
+        assert [p["part"] for p in found] == list(range(len(found))) and {p["parts"] for p in found} == {len(found)}
+        sizes = [len(p["items"]) for p in found]
+        assert [p["offset"] for p in found] == [sum(sizes[:i]) for i in range(len(sizes))] and max(sizes) <= 2 ** bits
+        assert all(sum(len(i["item"] or "") for i in p["items"][:-1]) < size for p in found + ranged[who])

@@ -258,3 +258,26 @@ def test_files_of_the_loads_go_after_them(spark, monkeypatch):
     root = registry._kept(spark, "/root/testdata/sf0.001")
     assert tables.interactions(spark, root).count() > 0
     assert not [f for f in folders if "/tweets-" in f and Path(f.removeprefix("file:")).exists()]
+
+
+# --- histories that one task can hold
+
+def test_huge_histories_are_ranged_and_others_shuffled_by_customer(spark, loaded, monkeypatch):
+    now, found = keeping.kept(spark, loaded), []
+    split, held = history._split, history._split_by_customer
+    monkeypatch.setattr(history, "_split", lambda rows, *a: found.append(
+        {r[0] for r in rows.select("customer_id").distinct().collect()}) or split(rows, *a))
+    monkeypatch.setattr(history, "_split_by_customer", lambda rows, *a: found.append(
+        {r[0] for r in rows.select("customer_id").distinct().collect()}) or held(rows, *a))
+    long = {r["customer_id"] for r in now.long().collect()}
+    logs = {}
+    for bits in (7, 13):
+        monkeypatch.setattr(keeping, "PART_BITS", bits)
+        logs[bits] = {r["customer_id"]: (r["n"], r["log"]) for r in keeping.kept_chat_log(now).groupBy("customer_id").agg(
+            (F.count(F.lit(1)) == F.max("parts")).alias("n"), F.array_join(F.transform(F.sort_array(
+                F.collect_list(F.struct("part", "chat_log"))), lambda p: p["chat_log"]), "\n").alias("log")).collect()}
+    assert found == [long - {"hot"}, {"hot"}, long]
+    assert logs[7] == logs[13] and all(whole for whole, _ in logs[7].values())
+    # By bytes too: four for a character at most.
+    monkeypatch.setattr(keeping, "PART_BYTES", 4)
+    assert {r["customer_id"] for r in now.huge().collect()} == long
